@@ -8,6 +8,7 @@ inside it, and the scan skips the rest of history.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import timedelta
 from functools import cached_property
 
@@ -53,6 +54,23 @@ HEADER_AMOUNTS = {
     "total_tax": "order_total_tax_amount",
     "order_quantity": "order_quantity",
 }
+HEADER_DERIVED = {
+    "order_date": "order_created_at",
+    "channel": "order_app_name",
+    "financial_status": "order_financial_status",
+    "raw_date": "date",
+}
+HEADER_RECENCY = ("date", "ingested_at")
+HEADER_TIES = ("order_processed_at", "order_financial_status", "order_subtotal_price")
+LINE_RECENCY = ("order_created_at", "date", "ingested_at")
+LINE_VALUES = (
+    "line_item__product_id", "line_item__quantity", "line_item__price",
+    "line_item__total_discount", "line_item__variant_unit_cost",
+)
+LINE_LABELS = (
+    "line_item__sku", "line_item__title", "line_item__vendor",
+    "order_app_name", "order_shipping_address_country", "order_shipping_address_province",
+)
 DAILY_DIMENSIONS = ("order_date", "channel", "ship_country", "ship_province", "store_location")
 PRODUCT_DIMENSIONS = (
     "order_date", "product_id", "sku", "product_title", "vendor",
@@ -87,34 +105,57 @@ class Facts:
         self.raw = raw
         self.zone = zone
 
+    def fact(self, name: str, period: Period | None = None, columns: Collection[str] | None = None) -> DataFrame:
+        """A fact by name. ``period`` and ``columns`` only narrow what is read; both may be ignored."""
+        build = getattr(self, name)
+        if name == "product_sales":
+            return build(period)
+        if name in PERIOD_COLUMN:
+            return build(period, columns)
+        return build()
+
     # ---- shared stages -------------------------------------------------------
 
-    def clean_orders(self, period: Period | None = None) -> DataFrame:
-        """One header per valid order: rows with a store first, then the newest."""
+    def clean_orders(self, period: Period | None = None, columns: Collection[str] | None = None) -> DataFrame:
+        """One header per valid order: rows with a store first, then the newest.
+
+        ``columns`` names the output columns the caller needs. The chosen row travels as one value, which
+        the optimizer cannot prune, so naming them keeps both the scan and the shuffle narrow. The
+        tie-breakers are always read, so every caller picks the same row.
+        """
         rows = self.raw.orders.where(C.valid_order()).where(created_within(period))
-        columns = [*HEADER.values(), *HEADER_AMOUNTS.values(), "order_financial_status", "date", "ingested_at"]
+        made = {name: F.col(src) for name, src in HEADER.items()}
+        made |= {name: C.amount(src) for name, src in HEADER_AMOUNTS.items()}
+        made |= {
+            "order_date": C.business_day("order_created_at", self.zone),
+            "channel": C.sales_channel("order_app_name"),
+            "financial_status": F.lower("order_financial_status"),
+            "raw_date": F.col("date"),
+        }
+        source = HEADER | HEADER_AMOUNTS | HEADER_DERIVED
+        wanted = [c for c in made if columns is None or c in columns or c == "order_id"]
+        if period is not None and "order_date" not in wanted:
+            wanted.append("order_date")
+        payload = dict.fromkeys([*HEADER_RECENCY, *HEADER_TIES, "order_location_name", *[source[c] for c in wanted]])
         picked = best_row(
-            rows.select(*dict.fromkeys(columns)), ["order_id"], latest=["date", "ingested_at"], prefer=[located_first()]
-        )
-        out = picked.select(
-            *[F.col(src).alias(name) for name, src in HEADER.items()],
-            *[C.amount(src).alias(name) for name, src in HEADER_AMOUNTS.items()],
-            C.business_day("order_created_at", self.zone).alias("order_date"),
-            C.sales_channel("order_app_name").alias("channel"),
-            F.lower("order_financial_status").alias("financial_status"),
-            F.col("date").alias("raw_date"),
+            rows.select("order_id", *[c for c in payload if c != "order_id"]),
+            ["order_id"],
+            latest=HEADER_RECENCY,
+            prefer=[located_first()],
+            ties=HEADER_TIES,
         )
+        out = picked.select(*[made[c].alias(c) for c in wanted])
         return out if period is None else out.where(period.covers("order_date"))
 
     def clean_lines(self, period: Period | None = None) -> DataFrame:
-        """One row per (order, line) of a valid order."""
+        """One row per (order, line) of a valid order, with the amounts of the line."""
         rows = self.raw.orders.where(C.valid_order() & C.real_line()).where(created_within(period))
-        return self._pick_lines(rows)
+        return self._pick_lines(rows, ())
 
-    def merchandise_lines(self, period: Period | None = None) -> DataFrame:
+    def merchandise_lines(self, period: Period | None = None, labels: Collection[str] = LINE_LABELS) -> DataFrame:
         """Same, for lines that are merchandise; the title rule acts before the choice of row."""
         rows = self.raw.orders.where(C.valid_order() & C.merchandise_line()).where(created_within(period))
-        out = self._pick_lines(rows).withColumns(
+        out = self._pick_lines(rows, labels).withColumns(
             {
                 "order_date": C.business_day("order_created_at", self.zone),
                 "channel": C.sales_channel("order_app_name"),
@@ -122,18 +163,15 @@ class Facts:
         )
         return out if period is None else out.where(period.covers("order_date"))
 
-    def _pick_lines(self, rows: DataFrame) -> DataFrame:
-        columns = [
-            "order_id", "line_item__id", "order_location_name", "order_created_at", "date", "ingested_at",
-            "line_item__product_id", "line_item__quantity", "line_item__price", "line_item__total_discount",
-            "line_item__variant_unit_cost", "line_item__sku", "line_item__title", "line_item__vendor",
-            "order_app_name", "order_shipping_address_country", "order_shipping_address_province",
-        ]
+    @staticmethod
+    def _pick_lines(rows: DataFrame, labels: Collection[str]) -> DataFrame:
+        # Values rank before labels, so leaving labels out never changes which row is picked.
         return best_row(
-            rows.select(*columns),
+            rows.select("order_id", "line_item__id", "order_location_name", *LINE_RECENCY, *LINE_VALUES, *labels),
             ["order_id", "line_item__id"],
-            latest=["order_created_at", "date", "ingested_at"],
+            latest=LINE_RECENCY,
             prefer=[located_first()],
+            ties=LINE_VALUES,
         )
 
     @cached_property
@@ -167,8 +205,13 @@ class Facts:
 
     # ---- facts ---------------------------------------------------------------
 
-    def orders(self, period: Period | None = None) -> DataFrame:
-        header = self.clean_orders(period).drop("order_quantity", "raw_date")
+    def orders(self, period: Period | None = None, columns: Collection[str] | None = None) -> DataFrame:
+        """Order fact. With ``columns``, the line items are only read when a column comes from them."""
+        from_lines = {"total_units", "cogs", "gross_profit", "gross_margin_pct"}
+        need = None if columns is None else {*columns, "net_sales"} if from_lines & set(columns) else set(columns)
+        header = self.clean_orders(period, need).drop("order_quantity", "raw_date")
+        if need is not None and not from_lines & need:
+            return header
         joined = header.join(self.order_lines_total(period), "order_id", "left")
         cogs = F.coalesce("cogs", F.lit(0).cast(R.PRODUCT))
         profit = F.col("net_sales") - cogs
@@ -180,19 +223,20 @@ class Facts:
             C.ratio(profit, F.col("net_sales")).alias("gross_margin_pct"),
         )
 
-    def daily_sales(self, period: Period | None = None) -> DataFrame:
-        def money(c):
-            return C.rounded(F.sum(c)).alias(c)
-
-        return self.clean_orders(period).groupBy(*DAILY_DIMENSIONS).agg(
-            money("net_sales"),
-            money("total_discounts"),
-            money("shipping_revenue"),
-            money("gross_revenue"),
-            F.sum("order_quantity").alias("total_units"),
+    def daily_sales(self, period: Period | None = None, columns: Collection[str] | None = None) -> DataFrame:
+        measures = {
+            **{
+                c: C.rounded(F.sum(c))
+                for c in ("net_sales", "total_discounts", "shipping_revenue", "gross_revenue")
+            },
+            "total_units": F.sum("order_quantity"),
             # order_id is unique here, so a plain count replaces the distinct one
-            C.ratio(F.sum("net_sales"), F.count("order_id"), 2).alias("aov"),
-        )
+            "aov": C.ratio(F.sum("net_sales"), F.count("order_id"), 2),
+        }
+        inputs = {"total_units": "order_quantity", "aov": "net_sales"}
+        wanted = [c for c in measures if columns is None or c in columns]
+        header = self.clean_orders(period, {*DAILY_DIMENSIONS, *[inputs.get(c, c) for c in wanted]})
+        return header.groupBy(*DAILY_DIMENSIONS).agg(*[measures[c].alias(c) for c in wanted])
 
     def product_sales(self, period: Period | None = None) -> DataFrame:
         """Grouped first and costed afterwards: the cost depends on the product alone, which is one of the
@@ -334,7 +378,7 @@ class Facts:
     def preferred(self) -> DataFrame:
         """Store and channel of each customer's latest order that has one."""
         return (
-            self.clean_orders()
+            self.clean_orders(columns={"order_customer_id", "store_location", "channel", "raw_date"})
             .where("order_customer_id IS NOT NULL")
             .groupBy(F.col("order_customer_id").alias("customer_id"))
             .agg(
@@ -418,7 +462,7 @@ class Facts:
         """Products with a seller, their contract, buy date, store, and the channel of the latest sale."""
         attributes = pivot_attributes(self.raw.metafields, R.SELLER_ATTRIBUTES, newest=False)
         sold = best_row(
-            self.merchandise_lines().select(
+            self.merchandise_lines(labels=("order_app_name",)).select(
                 F.col("line_item__product_id").cast("string").alias("product_id"), "order_date", "channel"
             ),
             ["product_id"],
