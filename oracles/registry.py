@@ -1,6 +1,6 @@
 """SQL for every registered query that SQL can express."""
 
-from oracles import cards
+from oracles import cards, operators
 from oracles.facts import EDGE, edge, full
 
 FACT_TABLES = {
@@ -19,4 +19,5 @@ FACT_TABLES = {
 def statements() -> dict[str, str]:
     out = {key: full(edge(table, EDGE[table])) for key, table in FACT_TABLES.items()}
     out |= cards.statements()
+    out |= operators.statements()
     return out

@@ -432,7 +432,7 @@ def t11_safe_ratio(x: Context) -> DataFrame:
 
 @query
 def t12_round_decimal(x: Context) -> DataFrame:
-    half = (C.amount("p_retailprice") / F.lit(8)).cast(R.MONEY)
+    half = (C.amount("p_retailprice") * F.lit(0.125).cast("decimal(4,3)")).cast(R.MONEY)
     return to_edge(x.tables.table("part").select("p_partkey", *[C.rounded(half, n).alias(f"round_{n}") for n in (0, 1, 2)]))
 
 
