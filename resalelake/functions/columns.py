@@ -5,7 +5,7 @@ Every helper takes and returns a Column built from Spark built-ins, so whole pla
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -135,7 +135,7 @@ def full_name(first: str | Column, last: str | Column) -> Column:
 
 def has_word(c: str | Column, words: tuple[str, ...]) -> Column:
     text = F.lower(F.coalesce(col(c), F.lit("")))
-    return reduce(Column.__or__, [text.contains(w) for w in words])
+    return text.rlike("|".join(re.escape(w) for w in words))
 
 
 def has_tag(c: str | Column, tag: str = R.CONSIGNOR_TAG) -> Column:
@@ -144,10 +144,19 @@ def has_tag(c: str | Column, tag: str = R.CONSIGNOR_TAG) -> Column:
 
 # ---- mappings ----------------------------------------------------------------
 
+def constant_map(table: dict[str, object]) -> Column:
+    """A small constant table as a map literal."""
+    quoted = [
+        x if isinstance(x, int) else "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        for item in table.items()
+        for x in item
+    ]
+    return F.expr(f"map({', '.join(map(str, quoted))})")
+
+
 def lookup(c: str | Column, table: dict[str, str]) -> Column:
     """Value of a constant table, null when absent. The table is a plan literal, so nothing is joined."""
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), col(c))
+    return F.try_element_at(constant_map(table), col(c))
 
 
 def sales_channel(app: str | Column = "order_app_name") -> Column:
@@ -178,8 +187,7 @@ def bucket(value: Column, edges=R.AGE_BUCKETS, last: str = R.OLDEST_BUCKET, unkn
 
 def bucket_rank(label: Column, edges=R.AGE_BUCKETS) -> Column:
     order = {name: i for i, (_, name) in enumerate(edges, 1)}
-    pairs = [F.lit(x) for item in order.items() for x in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), label), F.lit(len(edges) + 1))
+    return F.coalesce(F.try_element_at(constant_map(order), label), F.lit(len(edges) + 1))
 
 
 # ---- predicates --------------------------------------------------------------

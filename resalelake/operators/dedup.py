@@ -27,7 +27,7 @@ def best_row(
     order = [p.alias(f"_prefer{i}") for i, p in enumerate(prefer)]
     top = F.max(F.struct(*order, *ranked)).alias("_top")
     picked = df.groupBy(*keys).agg(top)
-    return picked.select(*[F.col(c) if c in keys else F.col("_top")[c].alias(c) for c in df.columns])
+    return picked.selectExpr(*[c if c in keys else f"_top.{c}" for c in df.columns])
 
 
 def best_row_by(

@@ -8,7 +8,7 @@ inside it, and the scan skips the rest of history.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from datetime import timedelta
 from functools import cached_property
 
@@ -100,6 +100,14 @@ def created_within(period: Period | None) -> Column:
     return out
 
 
+def _header_column(name: str, source: str, derive: Callable[[], Column] | None) -> Column:
+    if derive is not None:
+        return derive().alias(name)
+    if name in HEADER_AMOUNTS:
+        return F.expr(f"try_cast({source} AS DECIMAL(18,4)) AS {name}")
+    return F.expr(f"{source} AS {name}")
+
+
 class Facts:
     def __init__(self, raw: RawTables, zone: str = R.STORE_ZONE):
         self.raw = raw
@@ -124,19 +132,11 @@ class Facts:
         tie-breakers are always read, so every caller picks the same row.
         """
         rows = self.raw.orders.where(C.valid_order()).where(created_within(period))
-        made = {name: F.col(src) for name, src in HEADER.items()}
-        made |= {name: C.amount(src) for name, src in HEADER_AMOUNTS.items()}
-        made |= {
-            "order_date": C.business_day("order_created_at", self.zone),
-            "channel": C.sales_channel("order_app_name"),
-            "financial_status": F.lower("order_financial_status"),
-            "raw_date": F.col("date"),
-        }
-        source = HEADER | HEADER_AMOUNTS | HEADER_DERIVED
+        made = HEADER | HEADER_AMOUNTS | HEADER_DERIVED
         wanted = [c for c in made if columns is None or c in columns or c == "order_id"]
         if period is not None and "order_date" not in wanted:
             wanted.append("order_date")
-        payload = dict.fromkeys([*HEADER_RECENCY, *HEADER_TIES, "order_location_name", *[source[c] for c in wanted]])
+        payload = dict.fromkeys([*HEADER_RECENCY, *HEADER_TIES, "order_location_name", *[made[c] for c in wanted]])
         picked = best_row(
             rows.select("order_id", *[c for c in payload if c != "order_id"]),
             ["order_id"],
@@ -144,7 +144,12 @@ class Facts:
             prefer=[located_first()],
             ties=HEADER_TIES,
         )
-        out = picked.select(*[made[c].alias(c) for c in wanted])
+        derive = {
+            "order_date": lambda: C.business_day("order_created_at", self.zone),
+            "channel": lambda: C.sales_channel("order_app_name"),
+            "financial_status": lambda: F.lower("order_financial_status"),
+        }
+        out = picked.select(*[_header_column(c, made[c], derive.get(c)) for c in wanted])
         return out if period is None else out.where(period.covers("order_date"))
 
     def clean_lines(self, period: Period | None = None) -> DataFrame:

@@ -551,8 +551,10 @@ def p17_relative_windows(x: Context) -> DataFrame:
 
 @query
 def p18_keywords(x: Context) -> DataFrame:
-    notes = quality.notes_with(x.tables.table("conversations"), "text", R.SELLER_WORDS)
-    return notes.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+    note = """CASE c_custkey % 6 WHEN 0 THEN 'Wants to CONSIGN bags' WHEN 1 THEN concat('May sell to us: ', c_mktsegment)
+        WHEN 2 THEN NULL ELSE c_mktsegment END"""
+    people = x.tables.table("customer").withColumn("note", F.expr(note))
+    return quality.notes_with(people, "note", R.SELLER_WORDS).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- joins -------------------------------------------------------------------

@@ -9,26 +9,63 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.functions.columns import iso_week_text, month_text, year_month_text
 from resalelake.session import pin_runtime
 from resalelake.sources.raw import RawTables
 
 AS_OF = date(2001, 7, 15)
-E = F.expr
 
+# table -> declared schema, columns that identify a row
+TABLES = {
+    "region": ("r_regionkey int, r_name string", ("r_regionkey",)),
+    "nation": ("n_nationkey int, n_name string, n_regionkey int", ("n_nationkey",)),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        ("c_custkey",),
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        ("p_partkey",),
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string",
+        ("o_orderkey",),
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz",
+        ("l_orderkey", "l_linenumber"),
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+        ("event_id",),
+    ),
+}
 
-def _select(df: DataFrame, **columns: str | Column) -> DataFrame:
-    return df.select(*[(E(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
+# Tables that grow with orders; the others are small enough for one task.
+SPREAD = ("orders", "lineitem", "events", "part", "customer")
+
+
+def _select(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr(*[f"{c} AS {name}" for name, c in columns.items()])
+
+
+def _periods(day: str) -> dict[str, str]:
+    return {
+        "week": f"CAST(weekofyear({day}) AS STRING)",
+        "year": f"CAST(year({day}) AS STRING)",
+        "year_month": f"concat_ws('|', CAST(year({day}) AS STRING), CAST(month({day}) AS STRING))",
+    }
 
 
 def _versions(df: DataFrame, when: str | None = None) -> DataFrame:
     """Two rows per input row, ``old`` 0 and 1; with ``when`` only matching rows get the second."""
-    both = F.array(F.lit(0), F.lit(1))
-    flags = both if when is None else F.when(E(when), both).otherwise(F.array(F.lit(0)))
-    return df.withColumn("old", F.explode(flags))
+    flags = "array(0, 1)" if when is None else f"CASE WHEN {when} THEN array(0, 1) ELSE array(0) END"
+    return df.withColumn("old", F.expr(f"explode({flags})"))
 
 
 class DriverTables:
@@ -37,23 +74,32 @@ class DriverTables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A driver table under its declared schema.
+
+        A file written as one row group is read by one task, which would then do all the work before the
+        first shuffle. When the input has fewer splits than the session has cores, its rows are spread by
+        key; inputs that split well (anything large) are left as they are.
+        """
+        schema, key = TABLES[name]
+        df = self.spark.read.schema(schema).parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in SPREAD and df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, *key)
+        return df
 
     def orders(self) -> DataFrame:
         price = "CAST(o_totalprice AS DECIMAL(18,4))"
-        day = E("CAST(o_orderdate AS DATE)")
+        day = "CAST(o_orderdate AS DATE)"
         headers = _select(
             # The repeated ingest comes two days later and lost its store. Exploding before the join
             # keeps one scan of each table, and lets header-only readers skip the line items.
             _versions(self.table("orders"), "o_orderkey % 5 = 0"),
             o_orderkey="o_orderkey",
             account_name="'fixture-store'",
-            date=day + F.col("old") * 2,
-            ingested_at=day + F.col("old") * 2,
-            month=month_text(day),
-            week=iso_week_text(day),
-            year=F.year(day).cast("string"),
-            year_month=year_month_text(day),
+            date=f"{day} + old * 2",
+            ingested_at=f"{day} + old * 2",
+            month=f"lpad(CAST(month({day}) AS STRING), 2, '0')",
+            **_periods(day),
             source="'fixture'",
             order_id="CAST(o_orderkey AS STRING)",
             order_name="concat('#', CAST(o_orderkey AS STRING))",
@@ -93,9 +139,10 @@ class DriverTables:
         )
         items = self.table("lineitem")
         # Per-order quantity comes from its own partial aggregate instead of a window over the join.
-        quantity = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            E("CAST(SUM(CAST(l_quantity AS DECIMAL(18,4))) AS DECIMAL(18,4))").alias("order_quantity")
+        quantity = items.groupBy("l_orderkey").agg(
+            F.expr("CAST(SUM(CAST(l_quantity AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS order_quantity")
         )
+        quantity = quantity.withColumnRenamed("l_orderkey", "o_orderkey")
         lines = _select(
             items,
             o_orderkey="l_orderkey",
@@ -133,7 +180,7 @@ class DriverTables:
         )
 
     def metafields(self) -> DataFrame:
-        slots = E(
+        slots = F.expr(
             "explode(array(named_struct('ns', 'buy', 'k', 'contract_type'), named_struct('ns', 'buy', 'k', 'date'), "
             "named_struct('ns', 'buy', 'k', 'seller_name'), named_struct('ns', 'buy', 'k', 'msrp'), "
             "named_struct('ns', 'buy', 'k', 'condition_notes'), named_struct('ns', 'custom', 'k', 'condition'), "
@@ -189,7 +236,7 @@ class DriverTables:
         )
 
     def refunds(self) -> DataFrame:
-        day = E("CAST(l_shipdate AS DATE) + 10")
+        day = "(CAST(l_shipdate AS DATE) + 10)"
         price = "CAST(l_extendedprice AS DECIMAL(18,4))"
         return _select(
             self.table("lineitem").where("l_returnflag = 'R' AND l_orderkey % 2 = 0"),
@@ -208,9 +255,7 @@ class DriverTables:
             f"WHEN l_linenumber = 6 THEN CAST(0 AS DECIMAL(18,4)) ELSE {price} END",
             line_item__refunds_total_tax="CASE WHEN l_linenumber = 7 THEN NULL "
             f"ELSE CAST({price} * CAST(l_tax AS DECIMAL(18,4)) AS DECIMAL(18,4)) END",
-            week=iso_week_text(day),
-            year=F.year(day).cast("string"),
-            year_month=year_month_text(day),
+            **_periods(day),
         )
 
     def meta_ads(self) -> DataFrame:
@@ -229,7 +274,7 @@ class DriverTables:
             impressions="event_id % 1000",
             clicks="event_id % 50",
             reach="event_id % 700",
-            purchases=E(bought.format("1", "0")).cast("bigint"),
+            purchases=bought.format("1L", "0L"),
             purchase_value=bought.format("CAST(CAST(value AS DECIMAL(18,4)) * 3 AS DECIMAL(18,4))", zero),
             purchase_roas=bought.format("CAST(3 AS DECIMAL(18,4))", zero),
             account_currency="'CAD'",
@@ -268,7 +313,7 @@ class DriverTables:
         )
 
     def email_metrics(self) -> DataFrame:
-        daily = self.table("events").groupBy("user_id", E("CAST(ts AS DATE)").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+        daily = self.table("events").groupBy("user_id", F.expr("CAST(ts AS DATE) AS d")).agg(F.count(F.lit(1)).alias("n"))
         return _select(
             daily,
             date="make_date(2001, 7, day(d))",
