@@ -265,6 +265,21 @@ CATALOGUE = {
     "cat_refunds_by_channel_mtd": pick(f"channel, {ORDERS} AS refund_orders, {money('SUM(refund_subtotal)')} AS refund_value", R, rm, tail="GROUP BY 1"),
 }
 
+LY = f"date_trunc('month', order_date) = date_trunc('month', {AS_OF} - INTERVAL 1 YEAR)"
+WINDOWED = {
+    "cat_net_sales_daily_trend": pick(f"order_date, {NET} AS net_sales", D, last30("order_date"), tail="GROUP BY 1"),
+    "cat_retail_ly_net_sales": pick(f"{NET} AS retail_net_sales_ly", D, RETAIL, LY),
+    "cat_retail_gross_profit_mtd": pick(f"{PROFIT} AS retail_gross_profit", O, RETAIL, om),
+    "cat_retail_aov_mtd": pick(f"{AOV} AS retail_aov", O, RETAIL, om),
+    "cat_retail_aov_ly": pick(f"{AOV} AS retail_aov_ly", O, RETAIL, LY),
+    "cat_retail_daily_sales": pick(f"order_date, {NET} AS net_sales", D, RETAIL, last30("order_date"), tail="GROUP BY 1"),
+    "cat_ecomm_total_orders_mtd": pick(f"{ORDERS} AS total_orders", O, ECOMM, om),
+    "cat_ecomm_aov_mtd": pick(f"{AOV} AS ecomm_aov", O, ECOMM, om),
+    "cat_total_marketing_spend_mtd": pick(f"{SPEND} AS total_spend", M, mtd("date")),
+    "cat_spend_by_channel_mtd": pick(f"source, {SPEND} AS spend", M, mtd("date"), tail="GROUP BY 1"),
+    "cat_daily_spend_by_channel": pick(f"date, source, {SPEND} AS spend", M, last30("date"), tail="GROUP BY 1, 2"),
+}
+
 
 def statements() -> dict[str, str]:
-    return {key: full(sql) for key, sql in {**TABS, **CATALOGUE}.items()}
+    return {key: full(sql) for key, sql in {**TABS, **CATALOGUE, **WINDOWED}.items()}

@@ -81,6 +81,11 @@ UNION ALL
 SELECT {DOC_BASE}, {LINE_ID} || '-w', 0.0::DOUBLE, '', 0.0::DOUBLE, '', 'Paper Bag', 0.0::DOUBLE, 'house'
 FROM {DOCS} WHERE l_linenumber % 3 = 0"""
 
+SQL["s2_flatten_landed_json"] = f"""SELECT {APP} AS order_app_name, {STORE} AS order_location_name,
+  count(*) + count(*) FILTER (WHERE l_linenumber % 3 = 0) AS rows, count(DISTINCT o_orderkey) AS orders,
+  max({LINE_ID} || CASE WHEN l_linenumber % 3 = 0 THEN '-w' ELSE '' END) AS last_line
+  FROM {DOCS} WHERE d >= DATE '2001-01-01' GROUP BY 1, 2"""
+
 SQL["s3_flatten_refunds"] = f"""
 SELECT d AS date, CAST(l_orderkey AS STRING) AS order_id, 'gid://fixture/Refund/' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS order_refunds,
   CAST(CASE WHEN l_orderkey % 3 = 0 THEN -1.5 ELSE 0 END AS DOUBLE) AS order_refund_discrepancy_amount,

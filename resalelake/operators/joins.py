@@ -26,7 +26,9 @@ def attach(
 
     A hash of ``spread`` (columns that vary inside a key, null-safe, stable across task retries) splits
     each key into ``salts`` parts; the dimension is copied once per part. The dimension must be the
-    smaller side. No broadcast is forced: Spark picks one from the sizes it knows or measures.
+    smaller side. Because both sides are shuffled for this join alone, adaptive execution can split a part
+    further when it is still oversized. No broadcast is forced: Spark picks one from the sizes it knows or
+    measures.
     """
     keys = [key] if isinstance(key, str) else list(key)
     joined = _salted(big, spread, salts).join(_copied(dim, salts), [*keys, "_salt"], "left")

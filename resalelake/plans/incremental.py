@@ -50,7 +50,8 @@ def merge_days(
     The combined days go to a side folder first, because a table cannot be overwritten while it is being
     read. Only touched days are read (their partitions are pruned at run time) and written.
     """
-    touched = rows.select("date").distinct()
+    # One row per calendar day, so the size of this side is bounded by the calendar.
+    touched = F.broadcast(rows.select("date").distinct())
     stored = spark.read.schema(rows.schema).parquet(table).select(*rows.columns)
     merged = clean(stored.join(touched, "date", "left_semi").select(*rows.columns).unionByName(rows))
     side = f"{table.rstrip('/')}-incoming"

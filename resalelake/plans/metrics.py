@@ -7,10 +7,10 @@ card. The runner tells the fact which columns and which days the card needs befo
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resalelake.functions import columns as C
@@ -503,6 +503,30 @@ def catalogue_cards() -> list[Card]:
     ]
 
 
+def windowed_cards() -> list[Card]:
+    """Catalogue cards that are a tab card (or another catalogue card) over a fixed window."""
+    known = {c.key: c for c in [*tab_cards(), *catalogue_cards()]}
+
+    def over(window: Window, key: str, base: str, renamed: str | None = None) -> Card:
+        card = known[base]
+        show = {renamed: measure for measure in card.show.values()} if renamed else card.show
+        return replace(card, key=key, window=window, show=show)
+
+    return [
+        over(LAST_30, "cat_net_sales_daily_trend", "leadership_net_sales_daily_trend"),
+        over(LAST_YEAR_MONTH, "cat_retail_ly_net_sales", "cat_retail_net_sales_mtd", "retail_net_sales_ly"),
+        over(MTD, "cat_retail_gross_profit_mtd", "retail_gross_profit", "retail_gross_profit"),
+        over(MTD, "cat_retail_aov_mtd", "retail_aov", "retail_aov"),
+        over(LAST_YEAR_MONTH, "cat_retail_aov_ly", "retail_aov", "retail_aov_ly"),
+        over(LAST_30, "cat_retail_daily_sales", "retail_sales_by_day"),
+        over(MTD, "cat_ecomm_total_orders_mtd", "ecomm_orders", "total_orders"),
+        over(MTD, "cat_ecomm_aov_mtd", "ecomm_aov", "ecomm_aov"),
+        over(MTD, "cat_total_marketing_spend_mtd", "marketing_total_marketing_spend"),
+        over(MTD, "cat_spend_by_channel_mtd", "marketing_spend_by_channel"),
+        over(LAST_30, "cat_daily_spend_by_channel", "marketing_daily_spend_by_channel"),
+    ]
+
+
 # ---- cards over two facts ----------------------------------------------------
 # Scalars of different facts meet by union and one final aggregate; nothing is cross joined.
 
@@ -619,17 +643,3 @@ def period_change(card: Card, facts: Facts, as_of: date, period: P.Period) -> Da
     return both.select(
         "value", "previous", change.alias("change"), C.ratio(change, F.col("previous"), 1, percent=True).alias("change_pct")
     )
-
-
-class PublishedFacts(Facts):
-    """The same facts, read back from the folder they were published to."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def fact(self, name: str, period: P.Period | None = None, columns=None) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        if period is not None and name in PERIOD_COLUMN:
-            df = df.where(period.covers(PERIOD_COLUMN[name]))
-        return df

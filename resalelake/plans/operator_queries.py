@@ -16,8 +16,8 @@ from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.filters import Filters
 from resalelake.operators.joins import attach, match_or_keep
 from resalelake.operators.reshape import pivot_attributes
-from resalelake.plans import incremental, metrics, quality
-from resalelake.plans.facts import FACT_NAMES, Facts, to_edge
+from resalelake.plans import incremental, metrics, quality, warehouse
+from resalelake.plans.facts import Facts, to_edge
 from resalelake.session import shared_folder
 from resalelake.sources import contracts, payloads, sinks
 from resalelake.sources.driver_tables import AS_OF, DriverTables
@@ -85,10 +85,10 @@ SCANS = {
 QUERIES |= {f"s1_raw_{table}": _scan(table, columns) for table, columns in SCANS.items()}
 
 
-def _json(df: DataFrame, **columns) -> DataFrame:
-    """Rows as JSON documents, the way a landing folder holds them."""
-    fields = [(F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
-    return df.select(F.to_json(F.struct(*fields)).alias("body"))
+def _documents(df: DataFrame, kind: str, **columns: str) -> DataFrame:
+    """Rows as parsed documents under the payload's declared schema; fields not given are null."""
+    fields = payloads.payload_schema(kind).fields
+    return df.selectExpr(*[f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
 
 
 def order_payloads(x: Context) -> DataFrame:
@@ -100,8 +100,9 @@ def order_payloads(x: Context) -> DataFrame:
     wrap = """named_struct('id', concat(l_orderkey, '-', l_linenumber, '-w'), 'price', 'free', 'product_id', CAST(NULL AS STRING),
         'quantity', CAST(NULL AS BIGINT), 'sku', CAST(NULL AS STRING), 'title', 'Paper Bag', 'total_discount', CAST(NULL AS STRING),
         'vendor', 'house')"""
-    return _json(
+    return _documents(
         joined,
+        "order",
         id="o_orderkey",
         name="concat('#', o_orderkey)",
         created_at="concat(CAST(o_orderdate AS DATE), 'T', lpad(o_orderkey % 24, 2, '0'), ':15:00-07:00')",
@@ -122,34 +123,46 @@ def order_payloads(x: Context) -> DataFrame:
 
 @query
 def s2_flatten_orders(x: Context) -> DataFrame:
-    flat = payloads.flatten_orders(payloads.parse(order_payloads(x), "order"), "fixture-store", RUN_DAY)
+    flat = payloads.flatten_orders(order_payloads(x), "fixture-store", RUN_DAY)
     return to_edge(flat.drop("account_name", "source", "order_currency", "line_item__variant_unit_cost",
                              "order_customer_last_visit_utm_campaign", "order_customer_last_visit_utm_medium",
                              "order_customer_last_visit_utm_source"))
 
 
+@query
+def s2_flatten_landed_json(x: Context) -> DataFrame:
+    """The same documents written to a landing folder as JSON lines, read back and flattened."""
+    path = x.folder("landing")
+    order_payloads(x).where("created_at >= '2001-01-01'").write.json(path)
+    flat = payloads.flatten_orders(payloads.read_landing(x.spark, "order", path), "fixture-store", RUN_DAY)
+    return flat.groupBy("order_app_name", "order_location_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("order_id").alias("orders"), F.max("line_item__id").alias("last_line"))
+
+
 @query
 def s3_flatten_refunds(x: Context) -> DataFrame:
     line = "named_struct('quantity', CAST(l_quantity AS BIGINT), 'subtotal', CAST(CAST(l_extendedprice AS DECIMAL(18,4)) AS STRING), 'total_tax', '0.5')"
     other = "named_struct('quantity', CAST(NULL AS BIGINT), 'subtotal', 'n/a', 'total_tax', CAST(NULL AS STRING))"
     adjustments = "array(named_struct('kind', 'other', 'amount', '7'), named_struct('kind', 'shipping_refund', 'amount', '9.99'))"
     both = f"concat({adjustments}, array(named_struct('kind', 'refund_discrepancy', 'amount', '-1.5')))"
-    docs = _json(
+    docs = _documents(
         x.tables.table("lineitem").where("l_returnflag = 'R'"),
+        "refund",
         id="l_orderkey",
         name="concat('#', l_orderkey)",
         refunds=f"""array(named_struct('id', l_orderkey * 10 + l_linenumber, 'created_at', concat(CAST(l_shipdate AS DATE), 'T03:00:00Z'),
             'order_adjustments', CASE l_orderkey % 3 WHEN 0 THEN {both} WHEN 1 THEN {adjustments} END,
             'refund_line_items', CASE l_linenumber % 3 WHEN 0 THEN array({line}, {other}) WHEN 1 THEN array({line}) END))""",
     )
-    flat = payloads.flatten_refunds(payloads.parse(docs, "refund"), "fixture-store", RUN_DAY, id_prefix="gid://fixture/Refund/")
+    flat = payloads.flatten_refunds(docs, "fixture-store", RUN_DAY, id_prefix="gid://fixture/Refund/")
     return to_edge(flat.drop("account_name", "source", "line_item__refunds", "order_name"))
 
 
 @query
 def s4_flatten_customers(x: Context) -> DataFrame:
-    docs = _json(
+    docs = _documents(
         x.tables.table("customer"),
+        "customer",
         id="c_custkey",
         first_name="CASE WHEN c_custkey % 7 > 0 THEN 'Customer' END",
         last_name="c_name",
@@ -159,14 +172,15 @@ def s4_flatten_customers(x: Context) -> DataFrame:
         tags="c_mktsegment",
         default_address="CASE WHEN c_custkey % 3 > 0 THEN named_struct('city', concat('City ', c_nationkey), 'country', 'Canada', 'country_code', 'CA') END",
     )
-    return to_edge(payloads.flatten_customers(payloads.parse(docs, "customer"), RUN_DAY))
+    return to_edge(payloads.flatten_customers(docs, RUN_DAY))
 
 
-def product_payloads(x: Context) -> DataFrame:
+def product_payloads(x: Context, kind: str = "product") -> DataFrame:
     first = "named_struct('price', CAST(CAST(p_retailprice AS DECIMAL(18,4)) AS STRING), 'inventory_quantity', p_partkey % 4, 'inventory_item_id', p_partkey * 10)"
     second = "named_struct('price', '1', 'inventory_quantity', 2, 'inventory_item_id', p_partkey * 10 + 1)"
-    return _json(
+    return _documents(
         x.tables.table("part"),
+        kind,
         id="p_partkey",
         title="p_name",
         status="CASE WHEN p_partkey % 13 = 0 THEN 'archived' ELSE 'active' END",
@@ -192,25 +206,26 @@ def inventory_items(x: Context) -> DataFrame:
 
 @query
 def s5_flatten_products(x: Context) -> DataFrame:
-    return to_edge(payloads.flatten_products(payloads.parse(product_payloads(x), "product"), RUN_DAY))
+    return to_edge(payloads.flatten_products(product_payloads(x), RUN_DAY))
 
 
 @query
 def s6_enrich_product_costs(x: Context) -> DataFrame:
-    flat = payloads.flatten_products(payloads.parse(product_payloads(x), "product"), RUN_DAY, inventory_items(x))
+    flat = payloads.flatten_products(product_payloads(x), RUN_DAY, inventory_items(x))
     return to_edge(flat.select("product_id", "product_price", "product_variant_inventory_item_cost"))
 
 
 @query
 def s7_flatten_metafields(x: Context) -> DataFrame:
-    return payloads.flatten_metafields(payloads.parse(product_payloads(x), "metafields"), RUN_DAY)
+    return payloads.flatten_metafields(product_payloads(x, "metafields"), RUN_DAY)
 
 
 @query
 def s8_flatten_ad_insights(x: Context) -> DataFrame:
     bought = "array(named_struct('action_type', 'view', 'value', '9'), named_struct('action_type', 'purchase', 'value', {}))"
-    docs = _json(
+    docs = _documents(
         x.tables.table("events"),
+        "ad_insight",
         date_start="make_date(2001, 7, day(ts))",
         campaign_id="concat('m', user_id % 12)",
         campaign_name="concat('Campaign ', user_id % 12)",
@@ -223,14 +238,15 @@ def s8_flatten_ad_insights(x: Context) -> DataFrame:
         actions=f"CASE WHEN event_type = 'purchase' THEN {bought.format(repr('2'))} WHEN event_type = 'view' THEN array(named_struct('action_type', 'view', 'value', '9')) END",
         action_values=f"CASE WHEN event_type = 'purchase' THEN {bought.format('CAST(CAST(value AS DECIMAL(18,4)) * 3 AS STRING)')} END",
     )
-    flat = payloads.flatten_ad_insights(payloads.parse(docs, "ad_insight"), SYNCED)
+    flat = payloads.flatten_ad_insights(docs, SYNCED)
     return to_edge(flat.drop("synced_at"))
 
 
 @query
 def s9_flatten_cost_report(x: Context) -> DataFrame:
-    docs = _json(
+    docs = _documents(
         x.tables.table("events"),
+        "cost_report",
         position="event_id",
         date="CAST(make_date(2001, 7, day(ts)) AS STRING)",
         campaign_id="concat('g', user_id % 9)",
@@ -241,7 +257,7 @@ def s9_flatten_cost_report(x: Context) -> DataFrame:
         conversions="CASE WHEN event_type = 'purchase' THEN '1.505' ELSE '0' END",
         conversions_value="CAST(CAST(value AS DECIMAL(18,4)) * 2 AS STRING)",
     )
-    flat = payloads.flatten_cost_report(payloads.parse(docs, "cost_report"), SYNCED)
+    flat = payloads.flatten_cost_report(docs, SYNCED)
     return to_edge(flat.drop("synced_at"))
 
 
@@ -348,15 +364,15 @@ def s17_widen_table(x: Context) -> DataFrame:
 
 @query
 def s18_publish_facts(x: Context) -> DataFrame:
-    root = x.folder("facts")
-    sinks.publish(x.facts, root, ("daily_sales", "marketing"))
-    published = metrics.PublishedFacts(x.spark, root)
-    return metrics.marketing_efficiency(published, AS_OF)
+    """Facts built over written stages, published, and a card read from what was published."""
+    stages, root = x.folder("stages"), x.folder("facts")
+    warehouse.publish(warehouse.stage(x.raw, stages, ("clean_orders",)), root, ("daily_sales", "marketing"))
+    return metrics.marketing_efficiency(warehouse.PublishedFacts(x.spark, root), AS_OF)
 
 
 @query
 def s18_fact_views(x: Context) -> DataFrame:
-    sinks.expose(x.spark, x.facts, ("customers",), prefix="v_fact_")
+    warehouse.expose(x.spark, x.facts, ("customers",), prefix="v_fact_")
     return x.spark.sql("SELECT purchase_segment, customer_type, count(*) AS customers FROM v_fact_customers GROUP BY ALL")
 
 
@@ -457,13 +473,13 @@ def p2_channel_mapping(x: Context) -> DataFrame:
 
 @query
 def p3_source_app(x: Context) -> DataFrame:
-    docs = payloads.parse(order_payloads(x), "order")
+    docs = order_payloads(x)
     return docs.groupBy("source_name", C.source_app("source_name").alias("app")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def p4_store_names(x: Context) -> DataFrame:
-    docs = payloads.parse(order_payloads(x), "order")
+    docs = order_payloads(x)
     return docs.groupBy("location_id", C.store_name("location_id").alias("store")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -902,7 +918,7 @@ def f6_conditionals(x: Context) -> DataFrame:
 
 @query
 def f7_arrays(x: Context) -> DataFrame:
-    docs = payloads.parse(order_payloads(x), "order")
+    docs = order_payloads(x)
     zero = F.lit(0).cast("bigint")
     units = F.aggregate(F.coalesce("line_items", F.array()), zero, lambda a, li: a + F.coalesce(li["quantity"], zero))
     bags = F.get(F.filter("line_items", lambda li: F.lower(li["title"]) == "paper bag"), 0)["id"]
@@ -973,7 +989,7 @@ def e7_inventory_to_sales_channel(x: Context) -> DataFrame:
 def i1_lookback_ingest(x: Context) -> DataFrame:
     """Two daily runs with overlapping look-back; the second replaces the days it covers."""
     path = x.folder("lookback")
-    documents = payloads.parse(order_payloads(x), "order")
+    documents = order_payloads(x)
     columns = ["order_id", "date", "line_item__id", "order_financial_status", "order_net_sales"]
     runs = []
     for as_of in (date(2001, 7, 13), date(2001, 7, 15)):
@@ -1058,7 +1074,7 @@ def i5_daily_sales_stream(x: Context) -> DataFrame:
 
 @query
 def i6_backfill_by_creation(x: Context) -> DataFrame:
-    documents = payloads.parse(order_payloads(x), "order")
+    documents = order_payloads(x)
     chosen = incremental.created_between(documents, P.Period(date(2001, 1, 1), date(2001, 6, 30)))
     rows = payloads.flatten_orders(chosen, "fixture-store", RUN_DAY)
     return rows.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("order_id").alias("orders"))

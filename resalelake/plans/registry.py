@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from resalelake.operators.filters import Filters
 from resalelake.operators.periods import Period
 from resalelake.plans.facts import FACT_NAMES, Facts, to_edge
+from resalelake.plans.metrics import SPECIAL, Card, catalogue_cards, run, tab_cards, windowed_cards
 from resalelake.plans.operator_queries import QUERIES, Context
-from resalelake.plans.metrics import SPECIAL, Card, catalogue_cards, run, tab_cards
 from resalelake.sources.driver_tables import AS_OF, DriverTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +46,7 @@ def _operator(fn) -> Query:
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"fact_{name}": _fact(name) for name in FACT_NAMES}
-    out |= {card.key: _card(card) for card in [*tab_cards(), *catalogue_cards()]}
+    out |= {card.key: _card(card) for card in [*tab_cards(), *catalogue_cards(), *windowed_cards()]}
     out |= {key: _special(build) for key, build in SPECIAL.items()}
     out |= {key: _operator(fn) for key, fn in QUERIES.items()}
     return out
