@@ -40,10 +40,19 @@ def match_or_keep(
 ) -> DataFrame:
     """Left join that may fan out, where the *right* side can have hot keys.
 
-    Matched rows come from a salted inner join. Rows without a match come from an anti join against the
-    distinct keys. Both are exact, and no task holds a whole key of the right side.
+    Left rows whose key exists on the right are copied once per part of that key; the others stay single
+    and keep nulls. A copy that meets no row of its part is dropped, so nothing is lost or doubled, both
+    sides are read once for the join, and no task holds a whole key of the right side.
     """
-    present = right.select(key).where(F.col(key).isNotNull()).distinct()
-    matched = _copied(left, salts).join(_salted(right, spread_right, salts), [key, "_salt"]).drop("_salt")
-    alone = left.join(present, key, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    present = right.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    flagged = attach(left, present, key, [c for c in left.columns if c != key], salts)
+    known = F.coalesce("_known", F.lit(False))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    copies = flagged.select(
+        *left.columns,
+        known.alias("_known"),
+        F.explode(F.when(known, every).otherwise(F.array(F.lit(0).cast("bigint")))).alias("_salt"),
+    )
+    parts = _salted(right, spread_right, salts).withColumn("_met", F.lit(True))
+    joined = copies.join(parts, [key, "_salt"], "left")
+    return joined.where("_met OR NOT _known").drop("_salt", "_known", "_met")
