@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ class Filters:
     channel: str | tuple[str, ...] | None = None
     contract_type: str | tuple[str, ...] | None = None
     ship_province: str | tuple[str, ...] | None = None
+    snapshot_date: date | None = None
 
     def apply(self, df: DataFrame, day: str | None = None, only: tuple[str, ...] | None = None) -> DataFrame:
         """Filter a fact. ``day`` is the date column the period applies to; ``only`` lists the slots
@@ -29,6 +31,6 @@ class Filters:
             if slot.name == "period" or value is None or slot.name not in df.columns:
                 continue
             if only is None or slot.name in only:
-                values = (value,) if isinstance(value, str) else value
+                values = value if isinstance(value, tuple) else (value,)
                 out = out.where(F.col(slot.name).isin(*values))
         return out

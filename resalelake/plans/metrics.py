@@ -209,7 +209,7 @@ def run(card: Card, facts: Facts, as_of: date, filters: Filters | None = None) -
         df = df.where(period.covers(day_column(card)))
     if card.where is not None:
         df = df.where(card.where())
-    df = filters.apply(df, only=card.slots)
+    df = filters.apply(df, only=card.slots)  # a slot left empty adds nothing
     if card.table is not None:
         df = df.select(*_named(card.table))
     else:
@@ -291,6 +291,7 @@ def _send_date() -> Column:
 def tab_cards() -> list[Card]:
     both = (*_STORE, *_CHANNEL)
     stock = ("store_location", "contract_type")
+    on_day = ("snapshot_date", *_STORE)
     retail, ecomm = _channel("Retail"), _channel("Ecomm")
     people = {"slots": both}
     return [
@@ -321,12 +322,12 @@ def tab_cards() -> list[Card]:
         _by("leadership_gross_margin_pct_by_day", "orders", ("order_date",), {"margin_pct": "gross_margin_pct"}, order=("order_date",)),
         _by("leadership_returns_by_day", "refunds", ("refund_date",), {"return_orders": "return_orders"}, order=("refund_date",)),
         _by("leadership_refunded_value_by_day", "refunds", ("refund_date",), {"refunded_value": "refunded_value"}, order=("refund_date",)),
-        _number("inventory_units_on_hand", "inventory", "units", "units_on_hand", slots=stock),
-        _number("inventory_on_hand_retail_value", "inventory", "retail_value", slots=stock),
-        _number("inventory_on_hand_cost_excl_consignment", "inventory", "owned_cost", "cost", slots=_STORE),
-        _number("inventory_pct_consignment_in_stock", "inventory", "consignment_pct", "pct_consignment", slots=_STORE),
+        _number("inventory_units_on_hand", "inventory", "units", "units_on_hand", slots=("snapshot_date", *stock)),
+        _number("inventory_on_hand_retail_value", "inventory", "retail_value", slots=("snapshot_date", *stock)),
+        _number("inventory_on_hand_cost_excl_consignment", "inventory", "owned_cost", "cost", slots=on_day),
+        _number("inventory_pct_consignment_in_stock", "inventory", "consignment_pct", "pct_consignment", slots=on_day),
         _by("inventory_units_by_location", "inventory", ("store_location",), {"units": "units"},
-            where=lambda: F.col("store_location").isNotNull(), order=("-units", "store_location")),
+            where=lambda: F.col("store_location").isNotNull(), slots=("snapshot_date",), order=("-units", "store_location")),
         _number("inventory_pct_aging_over_90_days", "inventory", "over_90_pct", "pct_over_90", slots=stock, **_dated_stock()),
         _by("inventory_products_by_aging_bucket", "inventory", ("aging_bucket",), {"products": "products"}, slots=_STORE,
             finish=_bucket_order, **_dated_stock()),
@@ -342,7 +343,7 @@ def tab_cards() -> list[Card]:
         _by("inventory_condition_grade_summary_table", "inventory", ("condition_grade",),
             {"products": "products", "units": "units", "retail_value": "retail_value", "avg_days_in_stock": "avg_days"},
             slots=_STORE, order=("-retail_value", "condition_grade"), **_graded()),
-        Card("inventory_full_inventory_table", "inventory", slots=stock, order=("-retail_value",), table={c: c for c in (
+        Card("inventory_full_inventory_table", "inventory", slots=("snapshot_date", *stock), order=("-retail_value",), table={c: c for c in (
             "product_title", "product_vendor", "product_type", "units_on_hand", "retail_price", "unit_cost", "retail_value",
             "contract_type", "condition_grade", "store_location", "seller_name", "buy_date", "days_in_inventory", "aging_bucket")}),
         Card("inventory_product_sales_table", "product_sales", day="order_date", slots=both, order=("-gross_revenue",),

@@ -140,6 +140,9 @@ def test_inventory_quirks(facts):
     assert (rows["3"].days_in_inventory, rows["3"].aging_bucket, rows["3"].store_location) == (40, "31-60 days", "79 Yorkville, Toronto")
     assert rows["1"].aging_bucket == "180+ days"
     assert built.inventory(unknown_bucket="undated").where("product_id = '1'").first().aging_bucket == "undated"
+    card = next(c for c in metrics.tab_cards() if c.key == "inventory_units_on_hand")
+    assert metrics.run(card, built, DAY, Filters(snapshot_date=DAY, contract_type="buyout")).first()[0] == 2
+    assert metrics.run(card, built, DAY, Filters(snapshot_date=date(2026, 5, 1))).first()[0] is None
     earlier = {r.product_id: r.units_on_hand for r in built.inventory(as_of=date(2026, 5, 2)).collect()}
     assert earlier == {"5": 9} and rows["5"].units_on_hand == 2
 
