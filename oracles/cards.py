@@ -190,7 +190,7 @@ CATALOGUE = {
     "cat_retail_upt_mtd": pick(f"{UPT} AS upt", O, RETAIL, om),
     "cat_retail_units_sold_mtd": pick(f"{total('units_sold')} AS units_sold", PS, RETAIL, om),
     "cat_retail_returns_mtd": pick(f"{ORDERS} AS return_orders, {money('SUM(refund_subtotal)')} AS refund_value", R, RETAIL, rm),
-    "cat_retail_mtd_vs_ly": f"""SELECT day(order_date) AS day_of_month,
+    "cat_retail_mtd_vs_ly": f"""SELECT CAST(day(order_date) AS INT) AS day_of_month,
         {total(f"CASE WHEN year(order_date) = year({AS_OF}) THEN net_sales ELSE 0 END")} AS this_year,
         {total(f"CASE WHEN year(order_date) = year({AS_OF}) - 1 THEN net_sales ELSE 0 END")} AS last_year
         FROM {D} WHERE {RETAIL} AND month(order_date) = month({AS_OF}) GROUP BY 1""",

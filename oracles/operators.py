@@ -1,7 +1,7 @@
 """SQL for the operator queries."""
 
 from oracles.cards import AS_OF, CATALOGUE, last30, mtd
-from oracles.facts import CHANNEL, LOCATED, QUOTED, VALID, attribute, day, edge, full, inventory, money, num, ratio
+from oracles.facts import CHANNEL, EDGE, LOCATED, QUOTED, VALID, attribute, day, edge, full, inventory, money, num, ratio
 from oracles.fixtures import dec
 
 
@@ -316,7 +316,7 @@ SQL["w2_change_on_previous_period"] = f"""SELECT value, previous, value - previo
   FROM (SELECT {money("SUM(net_sales) FILTER (WHERE order_date BETWEEN DATE '2001-06-16' AND DATE '2001-07-15')")} AS value,
     {money("SUM(net_sales) FILTER (WHERE order_date BETWEEN DATE '2001-05-17' AND DATE '2001-06-15')")} AS previous FROM clean_orders)"""
 SQL["w3_cumulative_this_year_last_year"] = f"""SELECT day_of_month, CAST(SUM(a) OVER w AS DOUBLE) AS this_year, CAST(SUM(b) OVER w AS DOUBLE) AS last_year
-  FROM (SELECT day(order_date) AS day_of_month, SUM(CASE WHEN year(order_date) = 2001 THEN net_sales ELSE 0 END) AS a,
+  FROM (SELECT CAST(day(order_date) AS INT) AS day_of_month, SUM(CASE WHEN year(order_date) = 2001 THEN net_sales ELSE 0 END) AS a,
     SUM(CASE WHEN year(order_date) = 2000 THEN net_sales ELSE 0 END) AS b
     FROM fact_daily WHERE channel = 'Retail' AND month(order_date) = month({AS_OF}) GROUP BY 1)
   WINDOW w AS (ORDER BY day_of_month ROWS UNBOUNDED PRECEDING)"""
@@ -389,6 +389,7 @@ SQL["i1_lookback_ingest"] = f"""SELECT DISTINCT CAST(o_orderkey AS STRING) AS or
   FROM (SELECT *, d + CAST(o_orderkey % 3 AS INT) AS u, {LINE_ID} AS id FROM {DOCS}
     UNION ALL SELECT *, d + CAST(o_orderkey % 3 AS INT), {LINE_ID} || '-w' FROM {DOCS} WHERE l_linenumber % 3 = 0)
   WHERE u BETWEEN DATE '2001-07-11' AND DATE '2001-07-15'"""
+SQL["i1_refresh_months"] = edge("fact_daily", EDGE["fact_daily"])
 SQL["i2_drop_repeats_stream"] = f"SELECT order_id, order_created_at, order_app_name FROM {H} WHERE old = 0"
 SQL["i2_latest_wins_stream"] = """SELECT date, campaign_id, ad_id, CAST(CASE WHEN CAST(ad_id AS BIGINT) % 4 = 0 THEN spend + 1 ELSE spend END AS DOUBLE) AS spend,
   CASE WHEN CAST(ad_id AS BIGINT) % 4 = 0 THEN 2 ELSE 1 END AS version FROM raw_meta_ads"""

@@ -21,6 +21,7 @@ from resalelake.plans.facts import Facts, to_edge
 from resalelake.session import shared_folder
 from resalelake.sources import contracts, payloads, sinks
 from resalelake.sources.driver_tables import AS_OF, DriverTables
+from resalelake.sources.raw import RawTables
 from resalelake.streaming import jobs
 
 RUN_DAY = date(2001, 7, 16)
@@ -1001,6 +1002,16 @@ def i1_lookback_ingest(x: Context) -> DataFrame:
     return best_row(landed, ["order_id", "line_item__id"], latest=["run_day", "date"]).select("order_id", "line_item__id", "date", "run_day")
 
 
+@query
+def i1_refresh_months(x: Context) -> DataFrame:
+    """Facts published from what had landed when May closed in the store's zone, then the later months refreshed."""
+    root = x.folder("refresh")
+    known = RawTables(lambda name: x.raw.orders.where("ingested_at < DATE '2001-06-02'"))
+    warehouse.publish(Facts(known), root, ("daily_sales",))
+    warehouse.refresh(x.facts, root, P.Period(date(2001, 6, 10)), ("daily_sales",))
+    return to_edge(warehouse.PublishedFacts(x.spark, root).fact("daily_sales"))
+
+
 def _landing(x: Context, df: DataFrame, label: str) -> str:
     path = x.folder(label)
     df.write.parquet(path)

@@ -107,6 +107,18 @@ def test_published_facts_read_only_the_months_asked_for(spark, tmp_path):
     assert published.fact("inventory").count() == facts.inventory().count()
 
 
+def test_refresh_touches_only_its_months(spark, tmp_path):
+    root = str(tmp_path / "facts")
+    facts = Facts(DriverTables(spark, SMALL).raw())
+    warehouse.publish(facts, root, ("orders",))
+    kept = sorted((tmp_path / "facts/orders/month_start=2001-05-01").iterdir())
+    before = sorted(map(str, warehouse.PublishedFacts(spark, root).fact("orders").collect()))
+    for _ in range(2):
+        warehouse.refresh(facts, root, Period(date(2001, 6, 10), date(2001, 7, 2)), ("orders",))
+    assert sorted((tmp_path / "facts/orders/month_start=2001-05-01").iterdir()) == kept
+    assert sorted(map(str, warehouse.PublishedFacts(spark, root).fact("orders").collect())) == before
+
+
 def test_contract_checks(spark):
     df = spark.createDataFrame([("x", "1"), ("2", None)], "customer_id string, extra string")
     found = contracts.schema_differences(df, "customers")
