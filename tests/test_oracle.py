@@ -13,11 +13,13 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from resalelake.plans import registry  # noqa: E402
 
 SF = os.environ.get("ORACLE_SF", "0.001")
 FOLDER = f"/root/testdata/sf{SF}"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-KEYS = list(queries())
+#: The training-data operators have their own tests.
+KEYS = list(registry.queries())
 PICKED = KEYS if os.environ.get("ORACLE_ALL") else [k for k in KEYS if k.startswith("fact_")] + KEYS[9::12]
 
 
@@ -31,7 +33,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(KEYS)
+    assert set(oracle_sql()) >= set(KEYS)
 
 
 def test_entry_runs(spark):
