@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
         if not batch.num_rows:
             continue
         at = batch.schema.get_field_index(column)
-        sizes = np.asarray(pa.compute.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+        sizes = np.asarray(pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
         ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:

@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.llm import line_dedup, sharding
+from resalelake.llm import line_dedup, packing, sharding, simhash, winnow
 from resalelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The vocabulary file of packed documents.
+PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
-def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def line_dedup_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.withColumnsRenamed({"__n_lines": "n_lines", "__n_removed": "n_removed"})
 
@@ -25,11 +46,19 @@ def minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), PACK_VOCABULARY)
+
+
 QUERIES: dict[str, Query] = {
-    "op8_line_dedup": line_dedup_query,
+    "op2_benchmark_winnowing": benchmark_winnowing,
+    "op7_simhash_near_dedup": simhash_near_dedup,
+    "op8_line_dedup": line_dedup_windows,
     "op9_minimax_shards": minimax_shards,
+    "op10_best_fit_packing": best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_benchmark_winnowing": winnow.ORACLE.format(docs="documents", items="benchmark"),
     "op8_line_dedup": line_dedup.ORACLE.format(docs="documents"),
 }
