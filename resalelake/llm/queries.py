@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.llm import line_dedup, packing, sharding, simhash, winnow
+from resalelake.llm import bitpack, line_dedup, packing, pq, sharding, simhash, warc, winnow
 from resalelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The vocabulary file of the token-id files.
+ID_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: The vocabulary file of packed documents.
 PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -29,6 +31,18 @@ def benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.read_digests(bitpack.write_ids(table(spark, sf_dir, "documents"), ID_VOCABULARY))
+
+
+def warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.normalise(warc.write_archives(table(spark, sf_dir, "pages"))))
+
+
+def pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,6 +66,9 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_benchmark_winnowing": benchmark_winnowing,
+    "op3_bit_packed_ids": bit_packed_ids,
+    "op4_warc_normaliser": warc_normaliser,
+    "op5_pq_near_dedup": pq_near_dedup,
     "op7_simhash_near_dedup": simhash_near_dedup,
     "op8_line_dedup": line_dedup_windows,
     "op9_minimax_shards": minimax_shards,
@@ -60,5 +77,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_benchmark_winnowing": winnow.ORACLE.format(docs="documents", items="benchmark"),
+    "op4_warc_normaliser": warc.ORACLE.format(pages="pages"),
+    "op5_pq_near_dedup": pq.ORACLE.format(vectors="embeddings"),
     "op8_line_dedup": line_dedup.ORACLE.format(docs="documents"),
 }

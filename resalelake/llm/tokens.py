@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
-import numpy as np
-
-#: Bytes of cached units and ids after which a cache starts anew.
-CACHE_BYTES = 32 << 20
+#: Bytes, about, of cached units and ids after which a cache starts anew.
+CACHE_BYTES = 256 << 20
 #: A space that white space or the end follows: no cut there.
 _RUN = re.compile(rb" (?:[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z)")
 _SPACE = re.compile(rb"[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z")
 
 
+def _little(ids: list[int]) -> bytes:
+    """As little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """``encode`` gives, for each text as UTF-8 bytes, its ids as little-endian unsigned 32-bit integers."""
 
@@ -37,7 +41,7 @@ class Encoder:
 
     def _ids(self, units: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [_little(e.ids) for e in found]
 
     def _learn(self, cache: dict[bytes, bytes], units: set[bytes], lead: bytes) -> None:
         missing = list(units.difference(cache))
@@ -45,7 +49,7 @@ class Encoder:
             return
         for unit, ids in zip(missing, self._ids([lead + u for u in missing])):
             cache[unit] = ids
-            self.kept += len(unit) + len(ids) + 160
+            self.kept += len(unit) + len(ids) + 200
 
     def _units(self, text: bytes) -> list[bytes]:
         """The first unit, and the others without their leading space."""
@@ -63,7 +67,7 @@ class Encoder:
         return units
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if self.kept > CACHE_BYTES * 4:
+        if self.kept > CACHE_BYTES:
             self.inner, self.first, self.kept = {}, {b"": b""}, 0
         units = [self._units(t) for t in texts]
         if not self.leading:
