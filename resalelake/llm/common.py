@@ -128,9 +128,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, from prefix sums; equal spans have equal hashes anywhere."""
-    up, down = _power_tables(len(raw) + 1)
+def span_sums(raw: np.ndarray) -> np.ndarray:
+    """Prefix sums from which the hash of any span follows."""
+    up, _ = _power_tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[raw] * up[: len(raw)], out=sums[1:])
+    return sums
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each byte span; equal spans have equal hashes anywhere."""
+    sums = span_sums(raw) if sums is None else sums
+    _, down = _power_tables(len(raw) + 1)
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))

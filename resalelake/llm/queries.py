@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.llm import bitpack, line_dedup, packing, pq, sharding, simhash, warc, winnow
+from resalelake.llm import bitpack, line_dedup, packing, pq, sharding, simhash, toxicity, warc, winnow
 from resalelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,13 @@ def pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def nonnegative_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    score = F.col("__score")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), score.alias("score"), (score >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -69,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op3_bit_packed_ids": bit_packed_ids,
     "op4_warc_normaliser": warc_normaliser,
     "op5_pq_near_dedup": pq_near_dedup,
+    "op6_nonnegative_pu_toxicity": nonnegative_pu_toxicity,
     "op7_simhash_near_dedup": simhash_near_dedup,
     "op8_line_dedup": line_dedup_windows,
     "op9_minimax_shards": minimax_shards,
