@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.llm import bitpack, line_dedup, packing, pq, sharding, simhash, toxicity, warc, winnow
+from resalelake.llm import bitpack, line_dedup, lm_mixing, packing, pq, sharding, simhash, toxicity, warc, winnow
 from resalelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ ID_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_mixing.score(table(spark, sf_dir, "documents"))
+
+
 def benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -72,6 +76,7 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_context_mixing_scores": context_mixing_scores,
     "op2_benchmark_winnowing": benchmark_winnowing,
     "op3_bit_packed_ids": bit_packed_ids,
     "op4_warc_normaliser": warc_normaliser,
