@@ -1,16 +1,18 @@
 """Embedding near-dedup by product quantisation.
 
 Equal vectors of a label are one class first. A coarse quantiser puts each class into an inverted list; the residual is
-coded by ``SUBSPACES`` codebooks. Queries look up asymmetric distances (query exact, code quantised) and rerank what
-is left by exact cosine in double precision. Two bounds make the search lossless:
+coded by ``SUBSPACES`` codebooks. Every class queries the ``PROBES`` nearest lists of its label, looks up asymmetric
+distances there (query exact, code quantised) and reranks what is left by exact cosine in double precision.
 
-* Vectors within ``reach`` of each other: the other one's list is probed unless the query lies farther than ``reach``
-  beyond the plane between the two centroids. So the probes are sufficient by geometry, not by a fixed number.
+* Of the nearest lists, those are left out that cannot hold a link: ones the query lies farther than ``reach`` from, seen
+  from the plane between the two centroids.
 * An asymmetric distance is off by at most the code's own error, which is stored; candidates are those within ``reach``
-  plus that error.
+  plus that error. So within the probed lists nothing is lost, and with up to ``PROBES`` lists nothing at all.
 
-Each pair is met once, from the list with the higher number. The groups of one list are cut into blocks of about ``BLOCK``
-codes and ``BLOCK`` queries, so a hot list is many bounded tasks. A block returns sums of links and a spanning forest, not pairs.
+Lists hold about ``LIST_CODES`` classes of a label however many there are, so the work grows with the table. A pair is found
+when either side probes the other's list; where both do, the list with the lower number counts it. The groups of one list are cut
+into blocks of about ``BLOCK`` codes and ``BLOCK`` queries, so a hot list is many bounded tasks. A block returns sums of links
+and a spanning forest, not pairs.
 
 Only the quantisers are fitted on a sample (``SAMPLE`` classes by hash); all vectors are coded.
 
@@ -37,6 +39,8 @@ SUBSPACES = 16
 CODES = 256
 SAMPLE = 20_000
 MOST_LISTS = 4096
+LIST_CODES = 128
+PROBES = 16
 BLOCK = 4096
 SLACK = 1e-6
 GROUP = ["label", "dim", "list", "tile", "part"]
@@ -69,41 +73,36 @@ class Index:
         residuals = points - self.centres[_nearest(points, self.centres)]
         parts = residuals.reshape(len(points), subspaces, -1)
         self.books = np.stack([kmeans(np.ascontiguousarray(parts[:, m]), CODES) for m in range(subspaces)])
-        self.gaps = np.sqrt(np.maximum(((self.centres[:, None] - self.centres[None]) ** 2).sum(-1), 1e-300)) if len(self.centres) <= 512 else None
 
     def padded(self, points: np.ndarray) -> np.ndarray:
         out = np.zeros((len(points), self.dims))
         out[:, : points.shape[1]] = points
         return out
 
-    def _gaps(self, own: int) -> np.ndarray:
-        if self.gaps is not None:
-            return self.gaps[own]
-        return np.sqrt(np.maximum(((self.centres - self.centres[own]) ** 2).sum(-1), 1e-300))
-
-    def coded(self, points: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
-        """List, codes, code error and lists to probe (numbers up to its own) of unit vectors."""
+    def coded(self, points: np.ndarray, reach: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+        """List, codes, code error and lists to probe of unit vectors."""
         squares = (points * points).sum(1)[:, None] - 2 * points @ self.centres.T + (self.centres * self.centres).sum(1)
         own = np.argmin(squares, axis=1)
         parts = (points - self.centres[own]).reshape(len(points), len(self.books), -1)
         codes = np.stack([_nearest(parts[:, m], self.books[m]) for m in range(len(self.books))], axis=1)
         rebuilt = np.stack([self.books[m][codes[:, m]] for m in range(len(self.books))], axis=1)
         error = np.sqrt(((parts - rebuilt) ** 2).sum(axis=(1, 2)))
-        probes = []
-        for n, a in enumerate(own):
-            beyond = (squares[n, : a + 1] - squares[n, a]) / (2 * self._gaps(a)[: a + 1])
-            beyond[a] = 0
-            probes.append(np.flatnonzero(beyond <= reach + SLACK).tolist())
-        return own, codes.astype(np.uint8), error, probes
+        most = min(most, len(self.centres))
+        nearest = np.argpartition(squares, most - 1, axis=1)[:, :most]
+        gaps = np.sqrt(np.maximum(((self.centres[nearest] - self.centres[own][:, None]) ** 2).sum(-1), 1e-300))
+        beyond = (np.take_along_axis(squares, nearest, 1) - squares[np.arange(len(own)), own][:, None]) / (2 * gaps)
+        keep = (beyond <= reach + SLACK) | (nearest == own[:, None])
+        return own, codes.astype(np.uint8), error, [n[k].tolist() for n, k in zip(nearest, keep)]
 
     def distances(self, queries: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric distances of queries to the codes of a list, by table look-up."""
-        parts = (queries - self.centres[number]).reshape(len(queries), len(self.books), 1, -1)
-        tables = ((parts - self.books[None]) ** 2).sum(-1)
-        total = np.zeros((len(queries), len(codes)))
-        for m in range(len(self.books)):
-            total += tables[:, m][:, codes[:, m]]
-        return np.sqrt(total)
+        residuals = queries - self.centres[number]
+        parts = residuals.reshape(len(queries), len(self.books), -1)
+        total = np.repeat((residuals * residuals).sum(axis=1)[:, None], len(codes), axis=1)
+        for m, book in enumerate(self.books):
+            table = (book * book).sum(axis=1) - 2 * parts[:, m] @ book.T  # of one subspace: queries x codes
+            total += table[:, codes[:, m]]
+        return np.sqrt(np.maximum(total, 0))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -121,13 +120,13 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
 
-def _coded(shared, reach: float):
+def _coded(shared, reach: float, most: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                own, codes, error, probes = index.coded(_matrix(batch.column("embedding"), index.dims), reach)
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                own, codes, error, probes = index.coded(_matrix(batch.column("embedding"), index.dims), reach, most)
                 columns = [batch.column(c) for c in ("cid", "label", "dim", "n", "embedding")]
                 columns += [pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(probes, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["cid", "label", "dim", "n", "embedding", "list", "code", "error", "probes"])
@@ -148,6 +147,11 @@ def _block_links(shared, cosine: float, reach: float):
         ids = [t.column("cid").to_numpy() for t in (left, right)]
         sizes = [t.column("n").to_numpy() for t in (left, right)]
         own = left.column("own").to_numpy()
+        lists = right.column("probes").combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        probed = lists.flatten().to_numpy()
+        # Codes whose own query probes a list, as sorted pairs.
+        back = np.sort(probed.astype(np.int64) * len(vectors) + np.repeat(np.arange(len(vectors)), np.diff(ends)))
         nodes, place = np.unique(np.concatenate(ids), return_inverse=True)
         labels, links = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
         for at in range(0, len(queries), 128):
@@ -157,6 +161,10 @@ def _block_links(shared, cosine: float, reach: float):
             q, v = np.nonzero(near)
             exact = np.einsum("ij,ij->i", queries[some][q], vectors[v]) >= cosine
             q, v = q[exact] + at, v[exact]
+            wanted = own[q].astype(np.int64) * len(vectors) + v
+            place_of = np.minimum(np.searchsorted(back, wanted), max(0, len(back) - 1))
+            once = (own[q] >= number) | (back[place_of] != wanted)
+            q, v = q[once], v[once]
             a, b = place[q], place[len(queries) + v]
             np.add.at(links, a, sizes[1][v])
             np.add.at(links, b, sizes[0][q])
@@ -181,22 +189,22 @@ def classes(vectors: DataFrame) -> DataFrame:
 
 
 def fitted(found: DataFrame) -> Index | None:
-    shape = found.agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim")).first()
+    shape = found.agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim"), F.approx_count_distinct("label").alias("labels")).first()
     if not shape.n:
         return None
     sample = found.select("embedding").orderBy(F.xxhash64("embedding")).limit(SAMPLE).toArrow()
-    lists = max(1, min(MOST_LISTS, int(shape.n**0.5)))
+    lists = max(1, min(MOST_LISTS, shape.n // (LIST_CODES * max(1, shape.labels))))
     return Index(_matrix(sample.column("embedding"), shape.dim), lists)
 
 
-def links(found: DataFrame, index: Index, cosine: float = COSINE) -> DataFrame:
+def links(found: DataFrame, index: Index, cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
     """(cid, root, links): per block, the linked rows of each class and a node that it is connected to."""
     spark = found.sparkSession
     reach = float(np.sqrt(2 - 2 * cosine))
     shared = spark.sparkContext.broadcast(index)
     kind = {c: found.schema[c].dataType.simpleString() for c in ("label", "embedding")}
     schema = f"cid bigint, label {kind['label']}, dim int, n bigint, embedding {kind['embedding']}, list int, code binary, error double, probes array<int>"
-    coded = written(found.select("cid", "label", "dim", "n", "embedding").mapInArrow(_coded(shared, reach), schema), "pq-codes")
+    coded = written(found.select("cid", "label", "dim", "n", "embedding").mapInArrow(_coded(shared, reach, probes), schema), "pq-codes")
     key = ["label", "dim", "list"]
     probing = coded.select("cid", "label", "dim", "n", "embedding", F.col("list").alias("own"), F.explode("probes").alias("list"))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
@@ -209,12 +217,12 @@ def links(found: DataFrame, index: Index, cosine: float = COSINE) -> DataFrame:
     spread = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     again = coded.select(*[F.col(c).alias(c) for c in coded.columns])  # names of its own for the cogroup
-    codes = again.join(counts, key).withColumn("tile", spread("tiles")).withColumn("part", every("parts")).select(*GROUP, "cid", "n", "code", "error", "embedding")
+    codes = again.join(counts, key).withColumn("tile", spread("tiles")).withColumn("part", every("parts")).select(*GROUP, "cid", "n", "code", "error", "probes", "embedding")
     queries = probing.join(counts, key).withColumn("part", spread("parts")).withColumn("tile", every("tiles")).select(*GROUP, "cid", "n", "own", "embedding")
     return queries.groupBy(*GROUP).cogroup(codes.groupBy(*GROUP)).applyInArrow(_block_links(shared, cosine, reach), "cid bigint, root bigint, links bigint")
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
     rows = vectors.select("vec_id", "label", "embedding")
     found = classes(rows)
@@ -222,7 +230,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     alone = [F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")]
     if index is None:
         return rows.select("vec_id", *alone)
-    linked = written(links(found, index, cosine), "pq-links")
+    linked = written(links(found, index, cosine, probes), "pq-links")
     roots = components(linked.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     sums = linked.groupBy("cid").agg(F.sum("links").alias("links"))
     rooted = found.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid")).join(sums, "cid", "left")

@@ -363,16 +363,28 @@ def test_product_quantisation_of_nothing_and_repeats(spark):
     assert sorted(map(tuple, found), key=str) == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, False), (7, 0, 7, True)], key=str)
 
 
-def test_exact_bounds_hold():
+def test_code_errors_bound_distances():
     rng = np.random.default_rng(0)
     points = rng.normal(size=(500, 16)) + rng.normal(size=(8, 16))[rng.integers(0, 8, 500)] * 2
     points /= np.linalg.norm(points, axis=1, keepdims=True)
     index = pq.Index(points, 20, 4)
-    own, codes, error, probes = index.coded(index.padded(points), 0.4)
+    own, codes, error, probes = index.coded(index.padded(points), 0.4, 20)
     for a, b in zip(*np.nonzero(np.linalg.norm(points[:, None] - points[None], axis=2) <= 0.4)):
-        if own[b] <= own[a]:
-            assert own[b] in probes[a]
-            assert index.distances(points[[a]], own[b], codes[[b]])[0, 0] <= 0.4 + error[b] + pq.SLACK
+        assert own[b] in probes[a]
+        assert index.distances(points[[a]], own[b], codes[[b]])[0, 0] <= 0.4 + error[b] + pq.SLACK
+
+
+@pytest.mark.parametrize("probes,least", [(40, 1.0), (6, 0.9)])
+def test_many_lists_count_each_link_once(spark, monkeypatch, probes, least):
+    monkeypatch.setattr(pq, "LIST_CODES", 10)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 32))
+    rows = [(k, (centres[k % 60] + rng.normal(size=32) * rng.choice([0.05, 0.15, 0.22])).astype(np.float32).tolist(), 1) for k in range(400)]
+    found = sorted(map(tuple, pq.near_duplicates(frame(spark, rows, VECTORS), probes=probes).collect()))
+    want = links_by_hand(rows)
+    assert all(f[1] <= w[1] for f, w in zip(found, want))
+    assert sum(f[1] for f in found) >= least * sum(w[1] for w in want) > 0
+    assert least < 1 or found == want
 
 
 # Toxicity
