@@ -15,7 +15,7 @@ Whether a text ends depends on how the token before ended. The log of all this i
 At scale the unit of work is a distinct word. Chunks of documents list their distinct words; the vocabulary is summed over
 chunks by a shuffle, trains the spelling model, and is scored once per word; results go back to the chunks that have the word.
 So the gathered vocabulary grows with the corpus, while slots, weights and map have fixed sizes set by parameters (about
-80 MB, broadcast). While weights and map are learned, a word's own occurrence is taken out of its counts, so they are fit for
+24 MB, broadcast once). While weights and map are learned, a word's own occurrence is taken out of its counts, so they are fit for
 words that were never seen.
 
 Learning uses only rows whose id's crc32 mod 7 is not 2; counts and weights do not change while scoring.
@@ -30,7 +30,7 @@ import heapq
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 
 import numpy as np
@@ -57,7 +57,7 @@ ORDERS = (1, 2, 3, 4, 6)
 CLASSES = 8
 SHORT = (2, 4)
 #: log2 of the slots for no context, each order, and the whole word so far.
-SLOT_BITS = (9, 18, 20, 20, 20, 21, 22)
+SLOT_BITS = (9, 16, 18, 19, 19, 19, 20)
 BLOCK_SLOTS = 1 << 14
 RATE = 0.1
 #: Steps of descent for each batch of words.
@@ -204,8 +204,10 @@ def _inputs(counts: np.ndarray, events: Events, own: np.ndarray) -> tuple[np.nda
 
 @dataclass
 class Model:
+    """``counts`` is broadcast once and put in where the model is used."""
+
     code: Code
-    counts: np.ndarray
+    counts: np.ndarray | None
     weights: np.ndarray
     map: np.ndarray | None = None
 
@@ -261,11 +263,11 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block")[:1], "counts": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def _learned(model):
+def _learned(model: Model, counts):
     """Descends on the coding cost over a task's words; gives its weights and what each gate has seen."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        m = replace(model, counts=counts.value)
         weights = m.weights.copy()
         squares, mass = np.full(weights.shape, 1e-6), np.zeros(GATES)
         for _, c, events in _batches(batches, m.code):
@@ -289,11 +291,11 @@ def _learned(model):
     return rows
 
 
-def _mapped(model):
+def _mapped(model: Model, counts):
     """Sums for the probability map: weight, and weight of ones, by row and level of the mix."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        m = replace(model, counts=counts.value)
         size = SEEN_LEVELS * MAP_LEVELS
         sums = np.zeros(2 * size)
         for _, c, events in _batches(batches, m.code):
@@ -320,11 +322,11 @@ def _summed(rows: DataFrame, column: str, size: int) -> np.ndarray:
 PAIR = np.dtype([("k", "u1"), ("n", "<i8")])
 
 
-def _scored(model):
+def _scored(model: Model, counts):
     """word, log10 probability of its spelling after the first byte, and its counts by class in bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        m = replace(model, counts=counts.value)
         for whole in batches:
             for at in range(0, whole.num_rows, WORDS_AT_ONCE):
                 batch = whole.slice(at, WORDS_AT_ONCE)
@@ -504,8 +506,8 @@ def _first_scores(model: Model, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return heads, (seen[:, END] + 0.5) / (seen.sum(axis=1) + 1)
 
 
-def trained(vocabulary: DataFrame, first: np.ndarray, code: Code, words: int) -> Model:
-    """The spelling model from the vocabulary (word, c) and the counts of first symbols."""
+def trained(vocabulary: DataFrame, first: np.ndarray, code: Code, words: int):
+    """The spelling model from the vocabulary (word, c) and the counts of first symbols, and its counts as a broadcast."""
     sc = vocabulary.sparkSession.sparkContext
     tasks = max(1, -(-words // TASK_WORDS))
     some = vocabulary.coalesce(tasks)
@@ -519,16 +521,17 @@ def trained(vocabulary: DataFrame, first: np.ndarray, code: Code, words: int) ->
         counts[block : block + len(values)] = values
     del total
     add_counts(counts, first_events(code), first.reshape(ENDINGS, SYMBOLS).sum(axis=0).astype(np.float32))
-    model = Model(code, counts, first_weights())
-    sums = _summed(some.mapInArrow(_learned(sc.broadcast(model)), "sums array<double>"), "sums", GATES * (len(SLOT_BITS) + 1))
+    shared = sc.broadcast(counts)
+    model = Model(code, None, first_weights())
+    sums = _summed(some.mapInArrow(_learned(model, shared), "sums array<double>"), "sums", GATES * (len(SLOT_BITS) + 1))
     mass = sums[-GATES:, None]
     found = sums[:-GATES].reshape(GATES, -1) / np.maximum(mass, 1e-9)
-    model = Model(code, counts, np.where(mass > 0, found, model.weights))
-    sums = _summed(some.mapInArrow(_mapped(sc.broadcast(model)), "sums array<double>"), "sums", 2 * SEEN_LEVELS * MAP_LEVELS).reshape(2, SEEN_LEVELS, MAP_LEVELS)
+    model = Model(code, None, np.where(mass > 0, found, model.weights))
+    sums = _summed(some.mapInArrow(_mapped(model, shared), "sums array<double>"), "sums", 2 * SEEN_LEVELS * MAP_LEVELS).reshape(2, SEEN_LEVELS, MAP_LEVELS)
     centre = 1 / (1 + np.exp(-np.linspace(-REACH, REACH, MAP_LEVELS)))
     share = (sums[1] + 50 * centre) / (sums[0] + 50)
     model.map = np.log(share / (1 - share))
-    return model
+    return model, shared
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -554,9 +557,9 @@ def score(docs: DataFrame) -> DataFrame:
         class_kinds=np.array([of_class[k].v if k in of_class else 0 for k in range(CLASSES)]),
         class_documents=_summed(chunks, "classes", CLASSES),
     )
-    model = trained(vocabulary.select("word", "c"), first, Code(_summed(chunks, "spelled", SYMBOLS)), sums.words)
-    after = sc.broadcast(_first_scores(model, first))
-    scored = vocabulary.select("word", "by").mapInArrow(_scored(sc.broadcast(model)), "word binary, rest float, by binary")
+    model, shared = trained(vocabulary.select("word", "c"), first, Code(_summed(chunks, "spelled", SYMBOLS)), sums.words)
+    after = sc.broadcast(_first_scores(replace(model, counts=shared.value), first))
+    scored = vocabulary.select("word", "by").mapInArrow(_scored(model, shared), "word binary, rest float, by binary")
     listed = chunks.select("chunk", F.posexplode("listed").alias("at", "word"))
     back = listed.join(scored, "word").select("chunk", "at", "rest", "by")
     again = chunks.select(F.col("chunk").alias("key"), "heads", "tails", "train", "words", "bytes", "tokens", "ids")
