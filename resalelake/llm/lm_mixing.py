@@ -31,7 +31,6 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,7 @@ from resalelake.llm.common import byte_class, crc32_of_id, mixed, slices, span_h
 FOLDS = 7
 HELD_OUT = 2
 #: Text bytes of a chunk; a longer text is a chunk by itself.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 32 << 20
 #: Distinct words that one task trains on.
 TASK_WORDS = 400_000
 WORDS_AT_ONCE = 8192
@@ -370,10 +369,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = batch.column("train").to_numpy(zero_copy_only=False)
         found: defaultdict = defaultdict()
         found.default_factory = found.__len__
-        split = [t.lower().split() for t in texts]  # of bytes: A-Z, and \x20 \x09-\x0D
-        sizes = np.array([len(s) for s in split], np.int64)
-        tokens = np.fromiter(map(found.__getitem__, chain.from_iterable(split)), np.uint32, int(sizes.sum()))
-        del split
+        # Of bytes: A-Z, and \x20 \x09-\x0D. One text at a time, so that only distinct words are held.
+        parts = [np.array([*map(found.__getitem__, t.lower().split())], np.uint32) for t in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        lengths = [len(t) for t in texts]
+        del texts
+        tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        del parts
         words = list(found)
         heads = np.frombuffer(bytes(w[0] for w in words), np.uint8)
         tails = _ending[np.frombuffer(bytes(w[-1] for w in words), np.uint8)]
@@ -405,7 +407,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 one(pa.array(np.bincount(kinds[train], minlength=CLASSES))),
                 one(pa.array(train)),
                 one(pa.array(sizes)),
-                one(pa.array([len(t) for t in texts], pa.int64())),
+                one(pa.array(lengths, pa.int64())),
                 pa.array([tokens.tobytes()], pa.binary()),
                 one(batch.column("doc_id")),
             ],
@@ -465,9 +467,9 @@ def _documents(first, corpus: Corpus):
         if packed is not None:
             place = words.column("at").to_numpy()
             rest[place] = words.column("rest").to_numpy()
-            data = np.frombuffer(b"".join(packed.to_pylist()), PAIR)
-            sizes_of = np.asarray([len(x) for x in packed.to_pylist()]) // PAIR.itemsize
-            by[np.repeat(place, sizes_of), data["k"]] = data["n"]
+            ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+            data = np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(PAIR)
+            by[np.repeat(place, np.diff(ends) // PAIR.itemsize), data["k"]] = data["n"]
         before, last = endings(tokens, sizes, tails)
         of = np.repeat(np.arange(len(sizes)), sizes)
         logs = corpus.words(by, rest + heads_after[heads])
