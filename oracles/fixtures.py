@@ -84,10 +84,11 @@ SELECT DATE '2001-07-14' AS date, CAST(p.p_partkey AS STRING) AS product_id, p.p
     WHEN 'seller_name' THEN CASE WHEN p.p_partkey % 6 = 0 THEN '' ELSE ' CUSTOMER #' || lpad(CAST(p.p_partkey % 300 AS STRING), 9, '0') END
     WHEN 'msrp' THEN CAST({dec('p.p_retailprice')} AS STRING)
     WHEN 'condition_notes' THEN 'ok'
+    WHEN 'customer_id' THEN CASE WHEN p.p_partkey % 4 = 0 THEN '' ELSE CAST(p.p_partkey % 300 AS STRING) END
     WHEN 'condition' THEN CASE p.p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' END
     ELSE '["Store ' || CAST(p.p_partkey % 5 AS STRING) || '"]' END AS product_metafield_value
 FROM part p
-CROSS JOIN (VALUES ('buy','contract_type'), ('buy','date'), ('buy','seller_name'), ('buy','msrp'), ('buy','condition_notes'),
+CROSS JOIN (VALUES ('buy','contract_type'), ('buy','date'), ('buy','seller_name'), ('buy','msrp'), ('buy','condition_notes'), ('buy','customer_id'),
                    ('custom','condition'), ('custom','location')) a(ns, k)
 CROSS JOIN (VALUES (0), (1)) s(old)
 WHERE p.p_partkey % 10 <> 9
@@ -123,7 +124,7 @@ FROM (
     CASE WHEN l.l_linenumber = 7 THEN NULL ELSE {dec('l.l_quantity')} END AS line_item__refunds_quantity,
     CASE WHEN l.l_linenumber = 7 THEN NULL WHEN l.l_linenumber = 6 THEN {dec('0')} ELSE {dec('l.l_extendedprice')} END AS line_item__refunds_subtotal,
     CASE WHEN l.l_linenumber = 7 THEN NULL ELSE {dec(dec('l.l_extendedprice') + ' * ' + dec('l.l_tax'))} END AS line_item__refunds_total_tax
-  FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey % 2 = 0
+  FROM lineitem l WHERE l.l_returnflag = 'R'
 )
 """
 

@@ -84,7 +84,7 @@ FROM {DOCS} WHERE l_linenumber % 3 = 0"""
 SQL["s2_flatten_landed_json"] = f"""SELECT {APP} AS order_app_name, {STORE} AS order_location_name,
   count(*) + count(*) FILTER (WHERE l_linenumber % 3 = 0) AS rows, count(DISTINCT o_orderkey) AS orders,
   max({LINE_ID} || CASE WHEN l_linenumber % 3 = 0 THEN '-w' ELSE '' END) AS last_line
-  FROM {DOCS} WHERE d >= DATE '2001-01-01' GROUP BY 1, 2"""
+  FROM {DOCS} GROUP BY 1, 2"""
 
 SQL["s3_flatten_refunds"] = f"""
 SELECT d AS date, CAST(l_orderkey AS STRING) AS order_id, 'gid://fixture/Refund/' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS order_refunds,
@@ -166,7 +166,7 @@ SQL["s13_append_sink"] = f"""SELECT {AD} FROM raw_meta_ads WHERE date < DATE '20
   SELECT {AD} FROM raw_meta_ads WHERE date >= DATE '2001-07-05'"""
 SQL["s14_replace_sink"] = "SELECT product_id, date, CAST(product_price AS DOUBLE) AS product_price FROM raw_products WHERE date >= DATE '2001-07-01'"
 SQL["s15_replace_days_sink"] = """SELECT date, campaign_id, ad_id, clicks,
-  CAST(CASE WHEN date >= DATE '2001-07-10' THEN spend * 2 ELSE spend END AS DOUBLE) AS spend FROM raw_meta_ads"""
+  CAST(CASE WHEN date >= DATE '2001-07-10' THEN spend * 2 ELSE spend END AS DOUBLE) AS spend FROM raw_meta_ads WHERE date <> DATE '2001-07-12'"""
 SQL["s16_day_layout"] = f"""SELECT date, count(*) AS n, {dsum('spend')} AS spend FROM raw_google_ads
   WHERE date BETWEEN DATE '2001-07-03' AND DATE '2001-07-09' GROUP BY date"""
 SQL["s17_widen_table"] = "SELECT customer_id, date, CASE WHEN date >= DATE '2001-07-01' THEN customer_tags END AS customer_tags FROM raw_customers"
@@ -274,10 +274,10 @@ SQL["a5_conditional_count"] = """SELECT date, count(*) FILTER (WHERE customer_ta
   count(*) FILTER (WHERE customer_orders_count > 0) AS buyers FROM raw_customers GROUP BY 1"""
 SQL["a6_conditional_distinct"] = """SELECT l_linestatus, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_orderkey END) AS returned_orders,
   count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1"""
-YEARS = ", ".join(dsum(f"CASE WHEN year = '{y}' THEN net_sales ELSE 0 END") + f" AS y{y}" for y in (1999, 2000, 2001))
+YEARS = ", ".join(dsum(f"CASE WHEN year = '{y}' THEN net_sales ELSE 0 END") + f" AS y{y}" for y in range(1995, 2002))
 SQL["a7_conditional_sum"] = f"SELECT channel, {YEARS} FROM clean_orders GROUP BY 1"
 SQL["a7_year_pivot"] = "SELECT channel, " + ", ".join(
-    f"NULLIF(count(*) FILTER (WHERE year = '{y}'), 0) AS \"{y}\"" for y in (1999, 2000, 2001)) + " FROM clean_orders GROUP BY 1"
+    f"NULLIF(count(*) FILTER (WHERE year = '{y}'), 0) AS \"{y}\"" for y in range(1995, 2002)) + " FROM clean_orders GROUP BY 1"
 SQL["a8_extremes"] = f"""SELECT product_vendor, CAST(min(product_price) AS DOUBLE) AS low, CAST(max(product_price) AS DOUBLE) AS high,
   {ratio('SUM(product_price)', 'count(product_price)', 2)} AS mean, count(*) AS n FROM raw_products GROUP BY 1"""
 SQL["a9_global_aggregate"] = f"SELECT {dsum('line_item__refunds_subtotal')} AS subtotal, count(*) AS n, max(date) AS last_day FROM raw_refunds"
@@ -375,8 +375,9 @@ SQL["e2_first_quoted"] = f"""SELECT product_id, product_metafield_key, {QUOTED.f
   FROM raw_metafields WHERE product_metafield_namespace = 'custom'"""
 SQL["e3_seller_rollup"] = "SELECT * FROM seller_summary"
 SQL["e4_consignors"] = "SELECT customer_id, date, CAST(customer_total_spent AS DOUBLE) AS customer_total_spent FROM consignors"
-SQL["e5_identity_by_id"] = """SELECT s.seller_name, s.k AS seller_customer_id, c.customer_id, c.customer_tags
-  FROM (SELECT DISTINCT seller_name, regexp_extract(seller_name, '#0*([1-9][0-9]*)$', 1) AS k FROM supplied) s LEFT JOIN consignors c ON s.k = c.customer_id"""
+SQL["e5_identity_by_id"] = f"""SELECT s.seller_name, s.k AS seller_customer_id, c.customer_id, c.customer_tags
+  FROM (SELECT DISTINCT seller_name, NULLIF(k, '') AS k FROM (SELECT {attribute('buy', 'seller_name')} AS seller_name, {attribute('buy', 'customer_id')} AS k
+    FROM latest_metafields GROUP BY product_id) WHERE seller_name <> '') s LEFT JOIN consignors c ON s.k = c.customer_id"""
 SQL["e6_preferred_store_and_channel"] = "SELECT * FROM preferred"
 SQL["e7_inventory_to_sales_channel"] = """SELECT i.product_id, i.store_location AS stock_location, s.order_date, s.channel, s.store_location
   FROM fact_inventory i LEFT JOIN (SELECT product_id, order_date, channel, store_location FROM fact_products_sold
@@ -390,16 +391,21 @@ SQL["i1_lookback_ingest"] = f"""SELECT DISTINCT CAST(o_orderkey AS STRING) AS or
     UNION ALL SELECT *, d + CAST(o_orderkey % 3 AS INT), {LINE_ID} || '-w' FROM {DOCS} WHERE l_linenumber % 3 = 0)
   WHERE u BETWEEN DATE '2001-07-11' AND DATE '2001-07-15'"""
 SQL["i1_refresh_months"] = edge("fact_daily", EDGE["fact_daily"])
-SQL["i2_drop_repeats_stream"] = f"SELECT order_id, order_created_at, order_app_name FROM {H} WHERE old = 0"
+SQL["i1_refresh_late_update"] = f"""SELECT order_date, channel, ship_country, ship_province, store_location,
+  CAST(ROUND(SUM(late), 2) AS DOUBLE) AS net_sales, CAST(ROUND(SUM(total_discounts), 2) AS DOUBLE) AS total_discounts,
+  CAST(ROUND(SUM(shipping_revenue), 2) AS DOUBLE) AS shipping_revenue, CAST(ROUND(SUM(gross_revenue), 2) AS DOUBLE) AS gross_revenue,
+  CAST(SUM(order_quantity) AS DOUBLE) AS total_units, {ratio('SUM(late)', 'COUNT(DISTINCT order_id)', 2)} AS aov
+  FROM (SELECT *, CASE WHEN substr(order_created_ts, 6, 2) IN ('01', '05', '09') THEN net_sales * 2 ELSE net_sales END AS late FROM clean_orders)
+  GROUP BY 1, 2, 3, 4, 5"""
+SQL["i1_refresh_vanished"] = """SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS orders FROM clean_orders
+  WHERE NOT (order_created_ts >= '2000-04-03' AND order_created_ts < '2000-06-03') GROUP BY 1"""
+SQL["i2_drop_repeats_stream"] = f"SELECT order_id, ingested_at, order_created_at, order_app_name FROM {H}"
 SQL["i2_latest_wins_stream"] = """SELECT date, campaign_id, ad_id, CAST(CASE WHEN CAST(ad_id AS BIGINT) % 4 = 0 THEN spend + 1 ELSE spend END AS DOUBLE) AS spend,
   CASE WHEN CAST(ad_id AS BIGINT) % 4 = 0 THEN 2 ELSE 1 END AS version FROM raw_meta_ads"""
 SQL["i3_status_history"] = f"SELECT order_id, count(*) AS days, min(date) AS first_day, max(date) AS last_day FROM {H} GROUP BY 1"
-SQL["i4_rolling_repull"] = f"""SELECT date, {isum("CASE WHEN date > DATE '2001-07-15' THEN sends ELSE 0 END")} AS sends, count(*) AS n FROM raw_email_metrics GROUP BY 1"""
-WALL = "timezone('America/Vancouver', CAST(order_created_at AS TIMESTAMPTZ))"
-SQL["i5_daily_sales_stream"] = f"""SELECT order_date, channel, {dsum('net_sales')} AS net_sales, {dsum('ship')} AS shipping_revenue, count(*) AS orders
-  FROM (SELECT CAST({WALL} AS DATE) AS order_date, max({WALL}) OVER () AS newest, {CHANNEL} AS channel, {num('order_net_sales')} AS net_sales,
-    order_shipping_price AS ship FROM {H} WHERE old = 0 AND {VALID})
-  WHERE order_date + 1 <= newest - INTERVAL 2 DAY GROUP BY 1, 2"""
+SQL["i4_rolling_repull"] = f"""SELECT date, {isum("CASE WHEN date > DATE '2001-07-15' THEN sends ELSE 0 END")} AS sends, count(*) AS n FROM raw_email_metrics WHERE date <> DATE '2001-07-20' GROUP BY 1"""
+SQL["i5_daily_sales_stream"] = f"""SELECT order_date, channel, {dsum('net_sales')} AS net_sales, {dsum('shipping_revenue')} AS shipping_revenue,
+  count(*) AS orders FROM clean_orders GROUP BY 1, 2"""
 SQL["i6_backfill_by_creation"] = f"""SELECT d AS date, count(*) + count(*) FILTER (WHERE l_linenumber % 3 = 0) AS rows, count(DISTINCT o_orderkey) AS orders
   FROM {DOCS} WHERE d BETWEEN DATE '2001-01-01' AND DATE '2001-06-30' GROUP BY 1"""
 

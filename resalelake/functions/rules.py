@@ -69,6 +69,9 @@ SELLER_ATTRIBUTES = {
     "location_text": ("custom", "location"),
 }
 
+#: The buyer's id as recorded at intake, where it is.
+SELLER_IDENTITY = {"seller_name": ("buy", "seller_name"), "seller_customer_id": ("buy", "customer_id")}
+
 # --- fixed values: contract types, consignor tag, seller words in notes ------
 CONSIGNMENT = "consignment"
 BUYOUT = "buyout"

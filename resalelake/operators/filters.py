@@ -22,15 +22,17 @@ class Filters:
 
     def apply(self, df: DataFrame, day: str | None = None, only: tuple[str, ...] | None = None) -> DataFrame:
         """Filter a fact. ``day`` is the date column the period applies to; ``only`` lists the slots
-        the card offers (default: every slot whose column the fact has)."""
+        the card offers (default: every slot whose column the fact has). A slot that is set but not
+        offered is an error: leaving it out would show unfiltered numbers as filtered ones."""
         out = df
         if day is not None and (self.period.start or self.period.end):
             out = out.where(self.period.covers(day))
         for slot in fields(self):
             value = getattr(self, slot.name)
-            if slot.name == "period" or value is None or slot.name not in df.columns:
+            if slot.name == "period" or value is None:
                 continue
-            if only is None or slot.name in only:
-                values = value if isinstance(value, tuple) else (value,)
-                out = out.where(F.col(slot.name).isin(*values))
+            if slot.name not in df.columns or (only is not None and slot.name not in only):
+                raise ValueError(f"no filter slot {slot.name!r} here")
+            values = value if isinstance(value, tuple) else (value,)
+            out = out.where(F.col(slot.name).isin(*values))
         return out

@@ -118,6 +118,8 @@ class Facts:
         build = getattr(self, name)
         if name == "product_sales":
             return build(period)
+        if name == "refunds":
+            return build(period=period)
         if name in PERIOD_COLUMN:
             return build(period, columns)
         return build()
@@ -289,11 +291,23 @@ class Facts:
             C.ratio(profit, F.col("revenue"), 1, percent=True).alias("gross_margin_pct"),
         )
 
-    def clean_refunds(self) -> DataFrame:
-        """Refund lines that moved money, once per order, refund, subtotal and quantity."""
+    def refunded_orders(self) -> DataFrame:
+        """Orders that have a refund at all; which copy of a refund row counts makes no difference here."""
+        rows = self.raw.refunds.where(F.col("order_id").isNotNull() & C.meaningful_refund())
+        return rows.select("order_id").distinct().withColumn("refunded", F.lit(True))
+
+    def clean_refunds(self, period: Period | None = None) -> DataFrame:
+        """Refund lines that moved money, once per order, refund, subtotal and quantity.
+
+        The row that counts has the greatest day of its key, so a lower bound on the day can go below the
+        choice without changing it; an upper bound cannot.
+        """
         zero = F.lit(0).cast(R.MONEY)
+        rows = self.raw.refunds.where(F.col("order_id").isNotNull() & C.meaningful_refund())
+        if period is not None and period.start is not None:
+            rows = rows.where(F.col("date") >= F.lit(period.start - timedelta(days=1)))
         return best_row_by(
-            self.raw.refunds.where(F.col("order_id").isNotNull() & C.meaningful_refund()),
+            rows,
             {
                 "order": F.col("order_id"),
                 "refund": F.coalesce("order_refunds", F.lit("NO_REFUND")),
@@ -303,9 +317,11 @@ class Facts:
             latest=["date"],
         )
 
-    def parent_orders(self) -> DataFrame:
-        """Order attributes a refund inherits; tests and cancelled orders count here."""
-        rows = self.raw.orders.select(
+    def parent_orders(self, wanted: DataFrame | None = None) -> DataFrame:
+        """Order attributes a refund inherits; tests and cancelled orders count here. ``wanted`` holds the
+        order ids asked for; the others are left out before any choice of row."""
+        orders = self.raw.orders if wanted is None else self.raw.orders.join(wanted, "order_id", "left_semi")
+        rows = orders.select(
             "order_id", "order_location_name", "order_created_at", "date", "order_app_name",
             "order_financial_status", "order_currency", "order_shipping_address_country",
             "order_shipping_address_province",
@@ -321,7 +337,9 @@ class Facts:
             F.col("order_location_name").alias("store_location"),
         )
 
-    def refunds(self, refund_date_mode: str = "utc_midnight", adjustments: str = "every_line") -> DataFrame:
+    def refunds(
+        self, refund_date_mode: str = "utc_midnight", adjustments: str = "every_line", period: Period | None = None
+    ) -> DataFrame:
         """Refund lines with the parent order's attributes.
 
         ``refund_date_mode``: "utc_midnight" reads the stored day as UTC midnight and moves it to the
@@ -329,7 +347,7 @@ class Facts:
         ``adjustments``: "every_line" counts shipping and discrepancy on each line of a refund;
         "first_line" counts them once per refund.
         """
-        lines = self.clean_refunds().withColumn("refund_id", C.trailing_id("order_refunds"))
+        lines = self.clean_refunds(period).withColumn("refund_id", C.trailing_id("order_refunds"))
         shipping = C.amount("order_total_shipping_refunded_price")
         discrepancy = C.amount("order_refund_discrepancy_amount")
         if adjustments == "first_line":
@@ -362,9 +380,10 @@ class Facts:
             "year",
             "year_month",
         )
-        refunded = slim.select("order_id").distinct()
-        parents = self.parent_orders().join(refunded, "order_id", "left_semi")
-        joined = attach(slim, parents, "order_id", spread=["refund_id", "_subtotal", "refunded_units"])
+        if period is not None:
+            slim = slim.where(period.covers("refund_date"))
+        # An order has a handful of refund lines, so its id is no hot key.
+        joined = slim.join(self.parent_orders(slim.select("order_id").distinct()), "order_id", "left")
 
         def or_zero(c):
             return F.coalesce(F.col(c), F.lit(0).cast(R.MONEY))
@@ -548,4 +567,6 @@ FACT_NAMES = (
     "orders", "daily_sales", "product_sales", "refunds", "customers",
     "inventory", "seller", "marketing", "email_campaigns",
 )
-PERIOD_COLUMN = {"orders": "order_date", "daily_sales": "order_date", "product_sales": "order_date"}
+PERIOD_COLUMN = {
+    "orders": "order_date", "daily_sales": "order_date", "product_sales": "order_date", "refunds": "refund_date",
+}

@@ -45,22 +45,11 @@ def one_per_day(raw_orders: DataFrame) -> DataFrame:
 def merge_days(
     spark: SparkSession, table: str, rows: DataFrame, clean: Callable[[DataFrame], DataFrame] = one_per_day
 ) -> None:
-    """Add rows to the days they belong to: read those days, combine, clean, write them back.
-
-    The combined days go to a side folder first, because a table cannot be overwritten while it is being
-    read. Only touched days are read (their partitions are pruned at run time) and written.
-    """
-    # One row per calendar day, so the size of this side is bounded by the calendar.
-    touched = F.broadcast(rows.select("date").distinct())
-    stored = spark.read.schema(rows.schema).parquet(table).select(*rows.columns)
-    merged = clean(stored.join(touched, "date", "left_semi").select(*rows.columns).unionByName(rows))
-    side = f"{table.rstrip('/')}-incoming"
-    sinks.replace_days(merged, side)
-    fresh = spark.read.schema(rows.schema).parquet(side).join(touched, "date", "left_semi")
-    sinks.replace_days(fresh.select(*rows.columns), table)
+    """Add raw rows to the days they belong to and clean those days."""
+    sinks.merge_days(rows, table, clean)
 
 
 def repull(rows: DataFrame, table: str, as_of: date, days: int = REPULL_DAYS) -> None:
-    """Replace the last days of a table by a fresh pull; older days are left alone."""
-    fresh = rows.where(F.col("date") > F.lit(as_of - timedelta(days=days)))
-    sinks.replace_days(fresh, table)
+    """Replace the last days of a table by a fresh pull, days that vanished from it included; older days are left alone."""
+    asked = Period(as_of - timedelta(days=days - 1))
+    sinks.replace_days(rows.where(asked.covers("date")), table, asked=asked)

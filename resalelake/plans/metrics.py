@@ -565,7 +565,7 @@ def ecomm_return_rate(facts: Facts, as_of: date) -> DataFrame:
     """Share of the month's online orders with a refund of any date. Orders and distinct refunded
     orders are both unique per order, so the join neither fans out nor needs distinct counts."""
     sold = facts.fact("orders", MTD(as_of), {"order_id", "channel"}).where("channel = 'Ecomm'").select("order_id")
-    refunded = facts.fact("refunds").select("order_id").distinct().withColumn("refunded", F.lit(True))
+    refunded = facts.refunded_orders()
     rate = C.ratio(F.count("refunded"), F.count("order_id"), 1, percent=True)
     return sold.join(refunded, "order_id", "left").agg(rate.alias("return_rate_pct"))
 
@@ -607,6 +607,7 @@ def month_against_last_year(facts: Facts, as_of: date, cumulative: bool = False)
     def of(year: int) -> Column:
         return F.sum(F.when(F.year("order_date") == year, F.col("net_sales")).otherwise(zero))
 
+    # A day that only another year sold on is a row of zeros, so every year is read, as the dashboards define it.
     retail = facts.fact("daily_sales", None, {"net_sales"}).where("channel = 'Retail'")
     daily = (
         retail.where(F.month("order_date") == as_of.month)
@@ -635,11 +636,22 @@ SPECIAL: dict[str, Special] = {
 
 
 def period_change(card: Card, facts: Facts, as_of: date, period: P.Period) -> DataFrame:
-    """A number card beside its value for the preceding period: value, previous, change and change %."""
+    """A number card beside its value for the preceding period: value, previous, change and change %.
+
+    Both periods adjoin, so they are read together and grouped by which one a day is in.
+    """
     (name,) = card.show
-    now = run(card, facts, as_of, Filters(period)).select(F.col(name).alias("value"))
-    before = run(card, facts, as_of, Filters(P.previous(period))).select(F.col(name).alias("previous"))
-    both = one_row([now, before])
+    before = P.previous(period)
+    span = P.Period(before.start, period.end)
+    df = facts.fact(card.fact, span, _columns(card))
+    if card.where is not None:
+        df = df.where(card.where())
+    day = day_column(card)
+    side = F.when(period.covers(day), "value").when(before.covers(day), "previous")
+    measured = df.groupBy(side.alias("_side")).agg(MEASURES[card.fact][card.show[name]].make().alias(name))
+    if card.finish is not None:
+        measured = card.finish(measured)
+    both = to_edge(measured.agg(*[F.max(F.when(F.col("_side") == s, F.col(name))).alias(s) for s in ("value", "previous")]))
     change = F.col("value") - F.col("previous")
     return both.select(
         "value", "previous", change.alias("change"), C.ratio(change, F.col("previous"), 1, percent=True).alias("change_pct")

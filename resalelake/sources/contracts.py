@@ -120,13 +120,9 @@ def unreadable(c: str, target: str) -> Column:
 
 
 def cast_failures(df: DataFrame, targets: dict[str, str]) -> DataFrame:
-    """One row per checked column: filled values and values that will not cast."""
-    parts = [
-        df.agg(
-            F.lit(c).alias("column_name"),
-            F.count(c).alias("filled"),
-            F.count_if(unreadable(c, t)).alias("unreadable"),
-        )
+    """One row per checked column: filled values and values that will not cast. One pass over the table."""
+    counted = [
+        F.struct(F.lit(c).alias("column_name"), F.count(c).alias("filled"), F.count_if(unreadable(c, t)).alias("unreadable"))
         for c, t in targets.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return df.agg(F.array(*counted).alias("found")).select(F.inline("found"))

@@ -69,23 +69,18 @@ def _versions(df: DataFrame, when: str | None = None) -> DataFrame:
 
 
 class DriverTables:
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, spread: int | None = None):
+        """``spread``: distribute each table's rows by key over so many tasks after reading. For single files of one
+        row group, which one task would read and work on alone; off unless asked for."""
         self.spark = pin_runtime(spark)
         self.folder = folder.rstrip("/")
+        self.spread = spread
 
     def table(self, name: str) -> DataFrame:
-        """A driver table under its declared schema.
-
-        A file written as one row group is read by one task, which would then do all the work before the
-        first shuffle. When the input has fewer splits than the session has cores, its rows are spread by
-        key; inputs that split well (anything large) are left as they are.
-        """
+        """A driver table under its declared schema."""
         schema, key = TABLES[name]
         df = self.spark.read.schema(schema).parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in SPREAD and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, *key)
-        return df
+        return df.repartition(self.spread, *key) if self.spread and name in SPREAD else df
 
     def orders(self) -> DataFrame:
         price = "CAST(o_totalprice AS DECIMAL(18,4))"
@@ -183,7 +178,7 @@ class DriverTables:
         slots = F.expr(
             "explode(array(named_struct('ns', 'buy', 'k', 'contract_type'), named_struct('ns', 'buy', 'k', 'date'), "
             "named_struct('ns', 'buy', 'k', 'seller_name'), named_struct('ns', 'buy', 'k', 'msrp'), "
-            "named_struct('ns', 'buy', 'k', 'condition_notes'), named_struct('ns', 'custom', 'k', 'condition'), "
+            "named_struct('ns', 'buy', 'k', 'condition_notes'), named_struct('ns', 'buy', 'k', 'customer_id'), named_struct('ns', 'custom', 'k', 'condition'), "
             "named_struct('ns', 'custom', 'k', 'location')))"
         )
         base = self.table("part").where("p_partkey % 10 <> 9").withColumn("a", slots)
@@ -206,6 +201,7 @@ class DriverTables:
             "ELSE concat(' CUSTOMER #', lpad(CAST(p_partkey % 300 AS STRING), 9, '0')) END "
             "WHEN 'msrp' THEN CAST(CAST(p_retailprice AS DECIMAL(18,4)) AS STRING) "
             "WHEN 'condition_notes' THEN 'ok' "
+            "WHEN 'customer_id' THEN CASE WHEN p_partkey % 4 = 0 THEN '' ELSE CAST(p_partkey % 300 AS STRING) END "
             "WHEN 'condition' THEN CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' END "
             "ELSE concat('[\"Store ', CAST(p_partkey % 5 AS STRING), '\"]') END",
         )
@@ -239,7 +235,7 @@ class DriverTables:
         day = "(CAST(l_shipdate AS DATE) + 10)"
         price = "CAST(l_extendedprice AS DECIMAL(18,4))"
         return _select(
-            self.table("lineitem").where("l_returnflag = 'R' AND l_orderkey % 2 = 0"),
+            self.table("lineitem").where("l_returnflag = 'R'"),
             date=day,
             account_name="'fixture-store'",
             order_id="CAST(l_orderkey AS STRING)",

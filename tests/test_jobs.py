@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from resalelake.operators.dedup import best_row
+from resalelake.operators.filters import Filters
 from resalelake.operators.periods import Period
 from resalelake.plans import incremental, quality, warehouse
 from resalelake.plans.facts import Facts
 from resalelake.session import shared_folder
 from resalelake.sources import contracts, sinks
 from resalelake.sources.driver_tables import DriverTables
+from resalelake.sources.raw import RawTables
 from resalelake.streaming import jobs
 
 SMALL = "/root/testdata/sf0.001"
@@ -59,6 +61,23 @@ def test_repull_leaves_older_days(spark, tmp_path):
     assert [r[2] for r in stored(spark, path)] == [1, 7]
 
 
+def test_days_that_vanish_from_a_pull_are_emptied(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.append(ads(spark, (1, "a", 1), (18, "a", 1), (20, "a", 1), (25, "a", 1)), path)
+    for _ in range(2):
+        sinks.replace_days(ads(spark, (20, "a", 7)), path, asked=Period(date(2026, 1, 17), date(2026, 1, 21)))
+        assert [(r[0].day, r[2]) for r in stored(spark, path)] == [(1, 1), (20, 7), (25, 1)]
+    incremental.repull(ads(spark), path, date(2026, 1, 21), days=5)
+    assert [r[0].day for r in stored(spark, path)] == [1]
+
+
+def test_a_slot_that_is_not_offered_is_an_error(spark):
+    with pytest.raises(ValueError):
+        Filters(ship_province="Ontario").apply(ads(spark, (1, "a", 1)))
+    with pytest.raises(ValueError):
+        Filters(ship_province="Ontario").apply(ads(spark, (1, "a", 1)).withColumn("ship_province", F.lit("Ontario")), only=("channel",))
+
+
 def test_lookback_and_backfill_windows(spark):
     df = spark.createDataFrame([("1", "2026-01-01T00:00:00Z", "2026-02-09T10:00:00Z"), ("2", "2026-02-08T00:00:00Z", "2026-02-10T23:00:00Z")],
                                "id string, created_at string, updated_at string")
@@ -77,21 +96,36 @@ def test_cleanup_keeps_days_apart(spark):
     assert got == [(1, "S", "c"), (2, None, None)]
 
 
-def test_stream_of_daily_sales_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("files,per_batch,grain", [(1, None, "month"), (4, 1, "month"), (4, 3, "month"), (2, 1, "day")])
+def test_stream_of_daily_sales_equals_batch(spark, tmp_path, files, per_batch, grain):
+    """Late repeats included, files in no order of time, whatever the micro-batches."""
     raw = DriverTables(spark, SMALL).raw()
+    if grain == "day":
+        march = raw.orders.where("order_created_at >= '2000-03-01' AND order_created_at < '2000-04-01'")
+        raw = RawTables(lambda name: march)
     columns = ["order_id", "date", "order_created_at", "order_app_name", "order_financial_status", "order_test", "order_net_sales",
-               "order_shipping_price", "ingested_at"]
-    headers = raw.orders.where("ingested_at = CAST(substr(order_created_at, 1, 10) AS DATE)").select(*columns).distinct()
-    headers.unionByName(headers).write.parquet(str(tmp_path / "in"))
-    out = jobs.daily_sales(jobs.follow(spark, str(tmp_path / "in"), headers.schema))
-    jobs.drain(out, str(tmp_path / "out"), str(tmp_path / "check"))
-    streamed = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+               "order_shipping_price", "ingested_at", "order_processed_at", "order_subtotal_price", "order_location_name"]
+    headers = raw.orders.select(*columns).distinct()
+    headers.unionByName(headers.limit(200)).repartition(files).write.parquet(str(tmp_path / "in"))
+    job = jobs.DailySales(str(tmp_path / "sales"), grain=grain)
+    job.prepare(headers.limit(0))
+    jobs.drain_each(jobs.follow(spark, str(tmp_path / "in"), headers.schema, per_batch), job.step, str(tmp_path / "check"))
     batch = Facts(raw).clean_orders(columns={"order_date", "channel", "net_sales"}).groupBy("order_date", "channel").agg(
         F.sum("net_sales").alias("net_sales"), F.count("order_id").alias("orders"))
-    last = streamed.agg(F.max("order_date")).first()[0]
-    want = sorted(map(tuple, batch.where(F.col("order_date") <= F.lit(last)).collect()), key=str)
-    assert sorted(map(tuple, streamed.select("order_date", "channel", "net_sales", "orders").collect()), key=str) == want
-    assert len(want) > 300
+    want = sorted(map(tuple, batch.collect()), key=str)
+    assert sorted(map(tuple, job.read(spark).select("order_date", "channel", "net_sales", "orders").collect()), key=str) == want
+    assert len(want) > (300 if grain == "month" else 10)
+    assert not list(tmp_path.glob("sales/*-incoming-*"))
+
+
+@pytest.mark.parametrize("per_batch", [None, 1, 3])
+def test_repeats_go_and_nothing_else(spark, tmp_path, per_batch):
+    rows = DriverTables(spark, SMALL).raw().orders.select("order_id", "order_created_at").distinct()
+    rows.unionByName(rows.where("CAST(order_id AS BIGINT) % 3 = 0")).repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = jobs.drop_repeats(jobs.follow(spark, str(tmp_path / "in"), rows.schema, per_batch), ["order_id"])
+    jobs.drain(stream.drop(jobs.ARRIVED), str(tmp_path / "out"), str(tmp_path / "check"))
+    out = spark.read.schema(rows.schema).parquet(str(tmp_path / "out"))
+    assert out.count() == out.distinct().count() == rows.count()
 
 
 def test_published_facts_read_only_the_months_asked_for(spark, tmp_path):
@@ -107,16 +141,43 @@ def test_published_facts_read_only_the_months_asked_for(spark, tmp_path):
     assert published.fact("inventory").count() == facts.inventory().count()
 
 
-def test_refresh_touches_only_its_months(spark, tmp_path):
+def published(spark, root, name="orders"):
+    return sorted(map(str, warehouse.PublishedFacts(spark, root).fact(name).collect()))
+
+
+def test_refresh_writes_only_its_months_and_changes_nothing_else(spark, tmp_path):
     root = str(tmp_path / "facts")
     facts = Facts(DriverTables(spark, SMALL).raw())
     warehouse.publish(facts, root, ("orders",))
-    kept = sorted((tmp_path / "facts/orders/month_start=2001-05-01").iterdir())
-    before = sorted(map(str, warehouse.PublishedFacts(spark, root).fact("orders").collect()))
+    before = published(spark, root)
     for _ in range(2):
-        warehouse.refresh(facts, root, Period(date(2001, 6, 10), date(2001, 7, 2)), ("orders",))
-    assert sorted((tmp_path / "facts/orders/month_start=2001-05-01").iterdir()) == kept
-    assert sorted(map(str, warehouse.PublishedFacts(spark, root).fact("orders").collect())) == before
+        warehouse.refresh(facts, root, Period(date(2001, 6, 20), date(2001, 7, 2)), ("orders",))
+    assert published(spark, root) == before
+    newest = max((tmp_path / "facts/orders/data").iterdir())
+    assert {p.name for p in newest.glob("month_start=*")} == {"month_start=2001-06-01", "month_start=2001-07-01"}
+
+
+def test_refresh_follows_late_updates_costs_and_withdrawals(spark, tmp_path):
+    root = str(tmp_path / "facts")
+    raw = DriverTables(spark, SMALL).raw()
+    facts, today = Facts(raw), date(2001, 9, 1)
+    names = ("orders", "product_sales", "refunds", "customers")
+    warehouse.publish(facts, root, names)
+    late = F.col("order_created_at").startswith("2000-03")
+    changed = {
+        "orders": raw.orders.where(~F.col("order_created_at").startswith("1999-11"))
+        .withColumn("ingested_at", F.when(late, F.lit(today)).otherwise(F.col("ingested_at")))
+        .withColumn("order_app_name", F.when(late, "Shop").otherwise(F.col("order_app_name"))),
+        "products": raw.products.unionByName(
+            raw.products.where("product_id = '7' AND date = DATE '2001-07-14'").withColumns(
+                {"date": F.lit(today), "product_updated_at_datetime": F.lit("2001-09-01T00:00:00Z"),
+                 "product_variant_inventory_item_cost": F.lit(3).cast("decimal(18,4)")})),
+    }
+    now = Facts(RawTables(lambda name: changed.get(name, getattr(raw, name))))
+    warehouse.refresh(now, root, Period(today), names)
+    warehouse.refresh(now, root, Period(date(1999, 11, 1), date(1999, 11, 30)), ("orders", "product_sales", "refunds"))
+    for name in names:
+        assert published(spark, root, name) == sorted(map(str, now.fact(name).collect())), name
 
 
 def test_contract_checks(spark):
