@@ -107,7 +107,8 @@ SELECT CASE WHEN s.old = 1 THEN DATE '2001-06-14' ELSE DATE '2001-07-14' END AS
   CASE WHEN c.c_custkey % 5 = 0 THEN {dec('0')} ELSE {dec('abs(c.c_acctbal)')} END AS customer_total_spent,
   CASE WHEN c.c_custkey % 5 = 0 THEN {dec('0')} ELSE {dec('ROUND(CAST(CAST(' + dec('abs(c.c_acctbal)') + ' AS DOUBLE) / (c.c_custkey % 5) AS DECIMAL(28,10)), 2)')} END AS customer_aov,
   CASE WHEN c.c_custkey % 5 > 1 THEN 'True' ELSE 'False' END AS customer_is_returning,
-  CASE WHEN c.c_custkey % 4 = 0 THEN 'vip, Cognito-Consignment-Update' ELSE 'vip' END AS customer_tags
+  CASE WHEN c.c_custkey % 4 = 0 THEN 'vip, Cognito-Consignment-Update' ELSE 'vip' END AS customer_tags,
+  CASE c.c_custkey % 6 WHEN 0 THEN 'Wants to CONSIGN bags' WHEN 1 THEN 'May sell to us: ' || c.c_mktsegment WHEN 2 THEN NULL ELSE c.c_mktsegment END AS customer_note
 FROM customer c CROSS JOIN (VALUES (0), (1)) s(old)
 WHERE s.old = 0 OR c.c_custkey % 3 = 0
 """

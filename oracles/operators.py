@@ -107,7 +107,8 @@ SELECT DATE '2001-07-16' AS date, CAST(c_custkey AS STRING) AS customer_id, CASE
   CASE WHEN c_custkey % 3 > 0 THEN 'CA' ELSE '' END AS customer_default_address_country_code,
   CAST(n AS DOUBLE) AS customer_orders_count, {money('s')} AS customer_total_spent,
   CAST(CASE WHEN n > 0 THEN ROUND(CAST(CAST(s AS DOUBLE) / n AS DECIMAL(28,10)), 2) ELSE 0 END AS DOUBLE) AS customer_aov,
-  CASE WHEN n > 1 THEN 'True' ELSE 'False' END AS customer_is_returning, c_mktsegment AS customer_tags
+  CASE WHEN n > 1 THEN 'True' ELSE 'False' END AS customer_is_returning, c_mktsegment AS customer_tags,
+  CASE WHEN c_custkey % 4 = 0 THEN 'likes blue' ELSE '' END AS customer_note
 FROM (SELECT *, CASE WHEN c_custkey % 6 < 5 THEN c_custkey % 6 ELSE 0 END AS n,
   CASE WHEN c_custkey % 13 = 0 THEN {dec('0')} ELSE {dec('abs(c_acctbal)')} END AS s FROM customer)"""
 
@@ -234,7 +235,10 @@ SQL["p17_relative_windows"] = f"""SELECT count(*) FILTER (WHERE {mtd('order_date
   count(*) FILTER (WHERE date_trunc('month', order_date) = date_trunc('month', {AS_OF} - INTERVAL 1 YEAR)) AS same_month_ly,
   count(*) FILTER (WHERE {last30('order_date')}) AS last_30, count(*) FILTER (WHERE order_date >= {AS_OF} - INTERVAL 365 DAY) AS last_365,
   count(*) FILTER (WHERE order_date >= {AS_OF} - INTERVAL 12 MONTH) AS last_12_months FROM clean_orders"""
-SQL["p18_keywords"] = "SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_custkey % 6 IN (0, 1) GROUP BY 1"
+SQL["p18_keywords"] = """SELECT date, customer_note, count(*) AS n FROM raw_customers
+  WHERE regexp_matches(lower(customer_note), 'seller|consign|buyout|sell to us|supplier|vendor') GROUP BY 1, 2"""
+SQL["a12_tag_frequency"] = """SELECT tag, count(DISTINCT customer_id) AS customers
+  FROM (SELECT customer_id, trim(unnest(string_split(customer_tags, ','))) AS tag FROM latest_customers) WHERE tag <> '' GROUP BY 1"""
 
 # ---- joins -------------------------------------------------------------------
 

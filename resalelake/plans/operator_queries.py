@@ -173,6 +173,7 @@ def s4_flatten_customers(x: Context) -> DataFrame:
         orders_count="CASE WHEN c_custkey % 6 < 5 THEN c_custkey % 6 END",
         total_spent="CASE WHEN c_custkey % 13 = 0 THEN 'unknown' ELSE CAST(CAST(abs(c_acctbal) AS DECIMAL(18,4)) AS STRING) END",
         tags="c_mktsegment",
+        note="CASE WHEN c_custkey % 4 = 0 THEN 'likes blue' END",
         default_address="CASE WHEN c_custkey % 3 > 0 THEN named_struct('city', concat('City ', c_nationkey), 'country', 'Canada', 'country_code', 'CA') END",
     )
     return to_edge(payloads.flatten_customers(docs, RUN_DAY))
@@ -572,10 +573,8 @@ def p17_relative_windows(x: Context) -> DataFrame:
 
 @query
 def p18_keywords(x: Context) -> DataFrame:
-    note = """CASE c_custkey % 6 WHEN 0 THEN 'Wants to CONSIGN bags' WHEN 1 THEN concat('May sell to us: ', c_mktsegment)
-        WHEN 2 THEN NULL ELSE c_mktsegment END"""
-    people = x.tables.table("customer").withColumn("note", F.expr(note))
-    return quality.notes_with(people, "note", R.SELLER_WORDS).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    found = quality.notes_with(x.raw.customers, "customer_note", R.SELLER_WORDS)
+    return found.groupBy("date", "customer_note").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- joins -------------------------------------------------------------------
@@ -750,6 +749,11 @@ def a12_value_frequency(x: Context) -> DataFrame:
     return A.frequency(x.raw.metafields, ["product_metafield_namespace", "product_metafield_key", "product_metafield_value"])
 
 
+@query
+def a12_tag_frequency(x: Context) -> DataFrame:
+    return quality.tag_frequency(x.raw.customers)
+
+
 @query
 def a13_share_of_total(x: Context) -> DataFrame:
     grouped = x.facts.clean_orders(columns={"channel"}).groupBy("channel").agg(F.count("order_id").alias("orders"))

@@ -79,5 +79,12 @@ def top_consignors(customers: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def tag_frequency(customers: DataFrame) -> DataFrame:
+    """How many customers carry each tag, by their latest snapshot."""
+    latest = best_row(customers.select("customer_id", "customer_updated_at", "date", "customer_tags"), ["customer_id"], latest=["customer_updated_at", "date"])
+    tags = latest.select(F.explode(F.array_distinct(F.transform(F.split("customer_tags", ","), lambda t: F.trim(t)))).alias("tag"))
+    return tags.where("tag <> ''").groupBy("tag").agg(F.count(F.lit(1)).alias("customers"))
+
+
 def notes_with(df: DataFrame, note: str, words: tuple[str, ...]) -> DataFrame:
     return df.where(C.has_word(note, words))

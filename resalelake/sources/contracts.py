@@ -30,7 +30,8 @@ RAW_DDL = {
         customer_created_at string, customer_updated_at string, customer_currency string,
         customer_default_address_city string, customer_default_address_country string,
         customer_default_address_country_code string, customer_orders_count {_M},
-        customer_total_spent {_M}, customer_aov {_M}, customer_is_returning string, customer_tags string""",
+        customer_total_spent {_M}, customer_aov {_M}, customer_is_returning string, customer_tags string,
+        customer_note string""",
     "products": f"""
         date date, product_id string, product_title string, product_description string,
         product_handle string, product_image_src string, product_inventory_quantity {_M},

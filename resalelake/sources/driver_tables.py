@@ -229,6 +229,8 @@ class DriverTables:
             "AS DECIMAL(28,10)), 2) AS DECIMAL(18,4)) END",
             customer_is_returning="CASE WHEN c_custkey % 5 > 1 THEN 'True' ELSE 'False' END",
             customer_tags="CASE WHEN c_custkey % 4 = 0 THEN 'vip, Cognito-Consignment-Update' ELSE 'vip' END",
+            customer_note="CASE c_custkey % 6 WHEN 0 THEN 'Wants to CONSIGN bags' "
+            "WHEN 1 THEN concat('May sell to us: ', c_mktsegment) WHEN 2 THEN NULL ELSE c_mktsegment END",
         )
 
     def refunds(self) -> DataFrame:

@@ -209,6 +209,7 @@ def flatten_customers(customers: DataFrame, run_day: date) -> DataFrame:
             _quotient(spent, count).alias("customer_aov"),
             C.true_false_text(count > 1).alias("customer_is_returning"),
             C.text_or_blank("tags").alias("customer_tags"),
+            C.text_or_blank("note").alias("customer_note"),
         ),
         "customers",
     )
