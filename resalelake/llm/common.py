@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that are written by now; it does so once nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_key(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Add ``__k1, __k2``: equal for repeated rows only. Never null, so plain equality joins work with null ids."""
     return docs.withColumns(

@@ -38,15 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import byte_class, crc32_of_id, mixed, slices, span_hashes, span_sums, written
+from resalelake.llm.common import byte_class, crc32_of_id, mixed, released, slices, span_hashes, span_sums, written
 
 FOLDS = 7
 HELD_OUT = 2
 #: Text bytes of a chunk; a longer text is a chunk by itself.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 #: Distinct words that one task trains on.
 TASK_WORDS = 400_000
-WORDS_AT_ONCE = 8192
+WORDS_AT_ONCE = 4096
 CLOSE, END, START = 256, 257, 258
 SYMBOLS = 258
 #: How the token before ended: start of text, sentence mark, other mark, anything else.
@@ -60,7 +60,7 @@ SLOT_BITS = (9, 16, 18, 19, 19, 19, 20)
 BLOCK_SLOTS = 1 << 14
 RATE = 0.1
 #: Steps of descent for each batch of words.
-STEPS = 32
+STEPS = 16
 PRIOR = 0.4
 REACH = 8.0
 SEEN_LEVELS = 12
@@ -350,15 +350,12 @@ def document_classes(tokens: np.ndarray, sizes: np.ndarray, words: list[bytes])
     """The class of each text; 0 without short words."""
     out = np.zeros(len(sizes), np.int64)
     short = np.array([SHORT[0] <= len(w) <= SHORT[1] for w in words], bool)
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    some = short[tokens]
-    pairs, counts = np.unique(of[some] * len(words) + tokens[some], return_counts=True)
-    if len(pairs):
-        text, word = pairs // len(words), pairs % len(words)
-        hashes = np.array([zlib.crc32(words[w]) for w in word.tolist()])
-        order = np.lexsort((hashes, counts, text))
-        last = np.append(text[order][1:] != text[order][:-1], True)
-        out[text[order][last]] = hashes[order][last] % CLASSES
+    ends = np.cumsum(sizes)
+    for text, (start, end) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
+        own = tokens[start:end]
+        kinds, counts = np.unique(own[short[own]], return_counts=True)
+        if len(kinds):
+            out[text] = max((c, zlib.crc32(words[w])) for c, w in zip(counts.tolist(), kinds.tolist()))[1] % CLASSES
     return out
 
 
@@ -382,7 +379,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = tokens[np.repeat(train, sizes)]
         counts = np.bincount(learned, minlength=len(words))
         kinds = document_classes(tokens, sizes, words)
-        pairs, n_pairs = np.unique(learned * np.int64(CLASSES) + np.repeat(kinds[train], sizes[train]), return_counts=True)
+        by_class = np.bincount(learned * np.int64(CLASSES) + np.repeat(kinds[train], sizes[train]), minlength=len(words) * CLASSES)
+        pairs = np.flatnonzero(by_class)
+        n_pairs = by_class[pairs]
+        del by_class
         # A word that no training row has is listed once with nothing.
         absent = np.flatnonzero(counts == 0)
         at = np.concatenate([pairs // CLASSES, absent])
@@ -545,6 +545,8 @@ def score(docs: DataFrame) -> DataFrame:
     entries = chunks.select(F.inline("entries")).repartition("word")
     by_class = entries.groupBy("word", "k").agg(F.sum("n").alias("n"))
     vocabulary = written(by_class.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list(F.struct("k", "n")).alias("by")), "lm-vocabulary")
+    del entries, by_class
+    released(docs.sparkSession)
     kinds = [F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2)]
     sums = vocabulary.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), *kinds).first()
     of_class = {r.k: r for r in vocabulary.select(F.inline("by")).where("n > 0").groupBy("k").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}  # CLASSES rows
@@ -560,6 +562,7 @@ def score(docs: DataFrame) -> DataFrame:
         class_documents=_summed(chunks, "classes", CLASSES),
     )
     model, shared = trained(vocabulary.select("word", "c"), first, Code(_summed(chunks, "spelled", SYMBOLS)), sums.words)
+    released(docs.sparkSession)
     after = sc.broadcast(_first_scores(replace(model, counts=shared.value), first))
     scored = vocabulary.select("word", "by").mapInArrow(_scored(model, shared), "word binary, rest float, by binary")
     listed = chunks.select("chunk", F.posexplode("listed").alias("at", "word"))
