@@ -43,9 +43,9 @@ from resalelake.llm.common import byte_class, crc32_of_id, mixed, released, slic
 FOLDS = 7
 HELD_OUT = 2
 #: Text bytes of a chunk; a longer text is a chunk by itself.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 #: Distinct words that one task trains on.
-TASK_WORDS = 400_000
+TASK_WORDS = 1_200_000
 WORDS_AT_ONCE = 4096
 CLOSE, END, START = 256, 257, 258
 SYMBOLS = 258
@@ -343,6 +343,8 @@ def _scored(model: Model, counts):
     return rows
 
 
+#: A chunk is one large row, so a few make a row group.
+CHUNK_FILES = {"compression": "zstd", "parquet.block.size": str(32 << 20)}
 CHUNK = "chunk bigint, listed array<binary>, entries array<struct<word: binary, k: int, n: bigint>>, first array<bigint>, spelled array<bigint>, heads binary, tails binary, classes array<bigint>, train array<boolean>, words array<bigint>, bytes array<bigint>, tokens binary"
 
 
@@ -391,6 +393,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, last = endings(tokens, sizes, tails)
         np.add.at(first, before[np.repeat(train, sizes)].astype(np.int64) * SYMBOLS + heads[learned], 1)
         np.add.at(first, last[train].astype(np.int64) * SYMBOLS + END, 1)
+        del learned, before
         raw = np.frombuffer(b"".join(words), np.uint8)
         spelled = np.bincount(raw, weights=np.repeat(counts, [len(w) for w in words]), minlength=SYMBOLS).astype(np.int64)
         spelled[CLOSE], spelled[END] = counts.sum(), train.sum()
@@ -541,7 +544,7 @@ def score(docs: DataFrame) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", (~held_out()).alias("train"))
-    chunks = written(rows.mapInArrow(_chunks, f"{CHUNK}, ids array<{id_type}>"), "lm-chunks")
+    chunks = written(rows.mapInArrow(_chunks, f"{CHUNK}, ids array<{id_type}>"), "lm-chunks", **CHUNK_FILES)
     entries = chunks.select(F.inline("entries")).repartition("word")
     by_class = entries.groupBy("word", "k").agg(F.sum("n").alias("n"))
     vocabulary = written(by_class.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list(F.struct("k", "n")).alias("by")), "lm-vocabulary")
