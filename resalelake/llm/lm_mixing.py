@@ -12,7 +12,14 @@ being the hash of its most frequent short word. What a discount frees goes to th
 text is read, the classes' weights follow how well each has predicted it so far (so its probability is the weighted sum over classes).
 Whether a text ends depends on how the token before ended. The log of all this is the score; in bits, over the text's bytes, it is the rate.
 
-At scale the unit of work is a distinct word. Chunks of documents list their distinct words; the vocabulary is summed over
+Words also follow from the words before them. A word has one of ``WORD_CODES`` Huffman codes (by its crc32), and each bit of it
+is predicted in three contexts: none, the word before, and the two words before, again hashed to slots with two counts, summed over
+every occurrence in training texts, mixed in the logistic domain by gated weights. Within a code, words share by their counts. For
+words that training has, this prediction of the next word and that of the classes are added with a share that a gate selects (how
+often the two contexts were seen); it is learned together with the weights, each occurrence taken out of its own counts. For words
+that training lacks the classes and the spelling stand alone, and their mass is left out of what the contexts divide.
+
+At scale the unit of work of the spelling is a distinct word, that of the contexts an occurrence. Chunks of documents list their distinct words; the vocabulary is summed over
 chunks by a shuffle, trains the spelling model, and is scored once per word; results go back to the chunks that have the word.
 So the gathered vocabulary grows with the corpus, while slots, weights and map have fixed sizes set by parameters (about
 24 MB, broadcast once). While weights and map are learned, a word's own occurrence is taken out of its counts, so they are fit for
@@ -58,6 +65,13 @@ SHORT = (2, 4)
 #: log2 of the slots for no context, each order, and the whole word so far.
 SLOT_BITS = (9, 16, 18, 19, 19, 19, 20)
 BLOCK_SLOTS = 1 << 14
+#: Codes of words, log2 of the slots for the word before and for the two before, and the tokens that one task learns from.
+WORD_CODES = 1 << 14
+HISTORY_BITS = (21, 21)
+TASK_TOKENS = 16_000_000
+TOKENS_AT_ONCE = 1 << 15
+#: Levels of the log of how much better the contexts predict a word than its code's count.
+RATIO_LEVELS = 65
 RATE = 0.1
 #: Steps of descent for each batch of words.
 STEPS = 16
@@ -73,6 +87,8 @@ _ending[[0x21, 0x2E, 0x3F]] = 1
 _offsets = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 SLOTS = int(_offsets[-1])
 GATES = SEEN_LEVELS * SEEN_LEVELS
+_word_offsets = np.cumsum([0, WORD_CODES, *(1 << b for b in HISTORY_BITS)])
+WORD_SLOTS = int(_word_offsets[-1])
 
 
 def first_weights() -> np.ndarray:
@@ -95,18 +111,18 @@ class Code:
         heap = [(float(w) + 1, s, s) for s, w in enumerate(weights)]
         heapq.heapify(heap)
         parent: dict[int, tuple[int, int]] = {}
-        node = SYMBOLS
+        symbols = node = len(weights)
         while len(heap) > 1:
             (a, _, left), (b, _, right) = heapq.heappop(heap), heapq.heappop(heap)
             parent[left], parent[right] = (node, 0), (node, 1)
             heapq.heappush(heap, (a + b, node, node))
             node += 1
         nodes, bits, sizes = [], [], []
-        for symbol in range(SYMBOLS):
+        for symbol in range(symbols):
             path, at = [], symbol
             while at in parent:
                 at, bit = parent[at]
-                path.append((at - SYMBOLS, bit))
+                path.append((at - symbols, bit))
             nodes += [n for n, _ in reversed(path)]
             bits += [b for _, b in reversed(path)]
             sizes.append(len(path))
@@ -123,17 +139,17 @@ class Events:
     owner: np.ndarray
 
 
-def _events(code: Code, symbols: np.ndarray, contexts: list[np.ndarray], owner: np.ndarray) -> Events:
+def _events(code: Code, symbols: np.ndarray, contexts: list[np.ndarray], owner: np.ndarray, slot_bits: tuple = SLOT_BITS[1:], offsets: np.ndarray = _offsets) -> Events:
     sizes = code.sizes[symbols]
     of = np.repeat(np.arange(len(symbols)), sizes)
     step = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = code.starts[symbols][of] + step
     node = code.nodes[at]
-    slots = np.empty((len(SLOT_BITS), len(of)), np.int64)
+    slots = np.empty((len(slot_bits) + 1, len(of)), np.int64)
     slots[0] = node
     salt = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    for k, (context, bits) in enumerate(zip(contexts, SLOT_BITS[1:]), 1):
-        slots[k] = (((context[of] ^ salt) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.int64) + _offsets[k]
+    for k, (context, bits) in enumerate(zip(contexts, slot_bits), 1):
+        slots[k] = (((context[of] ^ salt) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.int64) + offsets[k]
     return Events(slots, code.bits[at], owner[of])
 
 
@@ -179,11 +195,13 @@ def add_counts(counts: np.ndarray, events: Events, weight: np.ndarray) -> None:
 
 
 def _level(seen: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(seen, 0) + 1).astype(np.int64), SEEN_LEVELS - 1)
+    # The exponent of a 32-bit float is its log2, rounded down.
+    exponent = (np.maximum(seen, 0) + np.float32(1)).astype(np.float32).view(np.int32) >> 23
+    return np.minimum(exponent - 127, SEEN_LEVELS - 1).astype(np.int64)
 
 
-def _inputs(counts: np.ndarray, events: Events, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretched predictions (contexts x bits), gates, and the map's row; ``own``: occurrences to take out of the counts."""
+def _predictions(counts: np.ndarray, events: Events, own: np.ndarray, gating: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Stretched predictions (contexts x bits), and from context ``gating`` on the level of what was seen; ``own``: occurrences to take out of the counts."""
     pairs = counts.reshape(-1).view(np.uint64)
     stretched = np.empty(events.slots.shape, np.float32)
     seen = []
@@ -195,8 +213,14 @@ def _inputs(counts: np.ndarray, events: Events, own: np.ndarray) -> tuple[np.nda
         np.maximum(zero_, 0, out=zero_)
         np.maximum(one_, 0, out=one_)
         stretched[k] = np.clip(np.log((one_ + PRIOR) / (zero_ + PRIOR)), -REACH, REACH)
-        if k >= 3:
+        if k >= gating:
             seen.append(_level(zero_ + one_))
+    return stretched, seen
+
+
+def _inputs(counts: np.ndarray, events: Events, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretched predictions, gates, and the map's row."""
+    stretched, seen = _predictions(counts, events, own, 3)
     # The gate: the longest context of all, and the longest fixed order; the map's row: order 3.
     return stretched, seen[-1] * SEEN_LEVELS + seen[-3], seen[0]
 
@@ -243,23 +267,99 @@ def _batches(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[tuple[li
             yield words, batch.column("c").to_numpy(), word_events(code, words)
 
 
+def planes(tokens: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: the last are mostly zero and compress."""
+    return tokens.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
+def packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(planes(np.ascontiguousarray(counts).reshape(-1).view(np.uint32)), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return from_planes(zlib.decompress(data)).view(np.float32)
+
+
+class Packed:
+    """Counts that are unpacked once per process."""
+
+    def __init__(self, counts: np.ndarray):
+        self.data = packed(counts)
+
+    def __getstate__(self):
+        return {"data": self.data}
+
+    def counts(self) -> np.ndarray:
+        if "found" not in self.__dict__:
+            self.found = unpacked(self.data).reshape(-1, 2)
+        return self.found
+
+
+class Shared:
+    """Counts as a broadcast, packed: Spark writes one file of it on each machine."""
+
+    def __init__(self, sc, counts: np.ndarray):
+        self.broadcast = sc.broadcast(Packed(counts))
+
+    @property
+    def value(self) -> np.ndarray:
+        return self.broadcast.value.counts()
+
+
 def _count_blocks(code):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((SLOTS, 2), np.float32)
         for _, c, events in _batches(batches, code.value):
             add_counts(counts, events, (c > 0).astype(np.float32))
-        task = TaskContext.get().partitionId()
-        for block in range(0, SLOTS, BLOCK_SLOTS):
-            part = counts[block : block + BLOCK_SLOTS]
-            if part.any():
-                yield pa.RecordBatch.from_pylist([{"block": block, "task": task, "counts": part.tobytes()}])
+        yield from _blocks(counts)
 
     return rows
 
 
+def _blocks(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    task = TaskContext.get().partitionId()
+    for block in range(0, len(counts), BLOCK_SLOTS):
+        part = counts[block : block + BLOCK_SLOTS]
+        if part.any():
+            yield pa.RecordBatch.from_pylist([{"block": block, "task": task, "counts": packed(part)}])
+
+
 def _added(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column("counts").to_pylist())
-    return pa.table({"block": table.column("block")[:1], "counts": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+    total = sum(unpacked(x).astype(np.float64) for x in table.column("counts").to_pylist())
+    return pa.table({"block": table.column("block")[:1], "counts": pa.array([packed(total.astype(np.float32))], pa.binary())})
+
+
+BLOCK = "block bigint, task bigint, counts binary"
+
+
+def _gathered(blocks: DataFrame, tasks: int, slots: int) -> np.ndarray:
+    """The counts of all tasks, summed."""
+    fan = int(np.ceil(tasks**0.5))
+    halfway = blocks.groupBy("block", F.pmod("task", F.lit(fan)).alias("part")).applyInArrow(_added, "block bigint, counts binary")
+    total = halfway.groupBy("block").applyInArrow(_added, "block bigint, counts binary").toArrow()
+    counts = np.zeros((slots, 2), np.float32)
+    for block, part in zip(total.column("block").to_pylist(), total.column("counts")):
+        values = unpacked(part.as_py()).reshape(-1, 2)
+        counts[block : block + len(values)] = values
+    return counts
+
+
+def _descend(weights: np.ndarray, squares: np.ndarray, mass: np.ndarray, stretched: np.ndarray, gates: np.ndarray, bits: np.ndarray, weight: np.ndarray) -> None:
+    """Moves ``weights`` down the coding cost of the bits; ``mass``: what each gate has seen."""
+    for part in np.array_split(np.arange(len(gates)), STEPS):
+        x, g, w = stretched[:, part], gates[part], weight[part]
+        p = 1 / (1 + np.exp(-np.einsum("kn,nk->n", x, weights[g])))
+        error = w * (bits[part] - p)
+        seen = np.bincount(g, weights=w, minlength=GATES)
+        some = seen > 0
+        slope = np.stack([np.bincount(g, weights=error * row, minlength=GATES) for row in x], axis=1)[some] / seen[some, None]
+        squares[some] += slope**2
+        weights[some] += RATE * slope / np.sqrt(squares[some]) * np.minimum(1, seen[some] / 100)[:, None]
+        mass += seen
 
 
 def _learned(model: Model, counts):
@@ -274,16 +374,7 @@ def _learned(model: Model, counts):
                 continue
             stretched, gates, _ = _inputs(m.counts, events, (c > 0).astype(np.float32))
             weight = (c > 0)[events.owner].astype(np.float64)
-            for part in np.array_split(np.arange(len(gates)), STEPS):
-                x, g, w = stretched[:, part], gates[part], weight[part]
-                p = 1 / (1 + np.exp(-np.einsum("kn,nk->n", x, weights[g])))
-                error = w * (events.bits[part] - p)
-                seen = np.bincount(g, weights=w, minlength=GATES)
-                some = seen > 0
-                slope = np.stack([np.bincount(g, weights=error * row, minlength=GATES) for row in x], axis=1)[some] / seen[some, None]
-                squares[some] += slope**2
-                weights[some] += RATE * slope / np.sqrt(squares[some]) * np.minimum(1, seen[some] / 100)[:, None]
-                mass += seen
+            _descend(weights, squares, mass, stretched, gates, events.bits, weight)
         out = np.concatenate([(weights * mass[:, None]).ravel(), mass])
         yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], ["sums"])
 
@@ -318,6 +409,135 @@ def _summed(rows: DataFrame, column: str, size: int) -> np.ndarray:
     return out
 
 
+def histories(keys: np.ndarray, tokens: np.ndarray, starts: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """For the tokens at places ``at``, in texts that begin at ``starts``: hashes of the word before, and of the two before."""
+    out, value = [], np.zeros(len(at), np.uint64)
+    for back in range(1, len(HISTORY_BITS) + 1):
+        word = np.where(at - back >= starts, keys[tokens[np.maximum(at - back, 0)]].astype(np.uint64) + np.uint64(1), np.uint64(0))
+        value = mixed(value + word * np.uint64(8) + np.uint64(back))
+        out.append(value)
+    return out
+
+
+def code_events(code: Code, symbols: np.ndarray, before: list[np.ndarray]) -> Events:
+    """Bits of the words' codes."""
+    return _events(code, symbols, before, np.arange(len(symbols)), HISTORY_BITS, _word_offsets)
+
+
+@dataclass
+class Words:
+    """Predicts a word's code from the words before it. ``share``: what a gate leaves to it; ``counts`` is put in where it is used."""
+
+    code: Code
+    weights: np.ndarray
+    share: np.ndarray
+    counts: np.ndarray | None = None
+
+    def predicted(self, symbols: np.ndarray, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each code, and its share."""
+        events = code_events(self.code, symbols, before)
+        stretched, seen = _predictions(self.counts, events, np.zeros(len(symbols), np.float32), 1)
+        gates = seen[0] * SEEN_LEVELS + seen[1]
+        costs = np.bincount(events.owner, weights=_costs(stretched, gates, self.weights, events.bits), minlength=len(symbols))
+        return costs / np.log(10), self.share[gates[np.searchsorted(events.owner, np.arange(len(symbols)))]]
+
+
+def _costs(stretched: np.ndarray, gates: np.ndarray, weights: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Log probability of each bit."""
+    z = np.clip(np.einsum("kn,nk->n", stretched, weights[gates]), -REACH * 1.5, REACH * 1.5)
+    return _log_sigmoid(z, bits)
+
+
+def _log_sigmoid(z: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Log probability of bits whose stretched prediction is ``z``, of small size."""
+    return -np.log(1 + np.exp(np.where(bits == 1, -z, z)))
+
+
+def first_word_weights() -> np.ndarray:
+    """Where learning starts: the longer context that was seen counts most."""
+    near, far = (1 - 0.5 ** x for x in (np.repeat(np.arange(SEEN_LEVELS), SEEN_LEVELS), np.tile(np.arange(SEEN_LEVELS), SEEN_LEVELS)))
+    return np.stack([1 - near, near * (1 - far / 2), near * far / 2], axis=1)
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[Iterator[Events]]:
+    """For each chunk the bits of the codes of all words in training texts."""
+
+    def events(keys, tokens, starts, learned) -> Iterator[Events]:
+        for at in range(0, len(learned), TOKENS_AT_ONCE):
+            places = learned[at : at + TOKENS_AT_ONCE]
+            yield code_events(code, (keys[tokens[places]] % WORD_CODES).astype(np.int64), histories(keys, tokens, starts[places], places))
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            keys, tokens = np.frombuffer(batch.column("keys")[row].as_buffer(), np.uint32), from_planes(batch.column("tokens")[row].as_buffer())
+            sizes = batch.column("words")[row].values.to_numpy()
+            learned = np.repeat(batch.column("train")[row].values.to_numpy(zero_copy_only=False), sizes)
+            yield events(keys, tokens, np.repeat(np.cumsum(sizes) - sizes, sizes), np.flatnonzero(learned))
+
+
+def _count_histories(code):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((WORD_SLOTS, 2), np.float32)
+        flat = counts.reshape(-1)
+        for chunk in _occurrences(batches, code.value):
+            for events in chunk:
+                for slots in events.slots:
+                    np.add.at(flat, slots * 2 + events.bits, np.float32(1))
+        yield from _blocks(counts)
+
+    return rows
+
+
+def _learned_words(code, counts):
+    """Descends on the coding cost of the codes of a chunk's words, so that the order of chunks does not matter; gives weights,
+    what each gate has seen, and how often the contexts predicted a word by how much better than its code's count, by the gate of
+    the word's first bit."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, ratios = np.zeros(GATES * (len(HISTORY_BITS) + 2)), np.zeros(GATES * RATIO_LEVELS)
+        for chunk in _occurrences(batches, code.value):
+            weights = first_word_weights()
+            squares, mass = np.full(weights.shape, 1e-6), np.zeros(GATES)
+            for events in chunk:
+                n = int(events.owner[-1]) + 1 if len(events.owner) else 0
+                stretched, seen = _predictions(counts.value, events, np.ones(n, np.float32), 1)
+                gates = seen[0] * SEEN_LEVELS + seen[1]
+                gain = _costs(stretched, gates, weights, events.bits) - _log_sigmoid(stretched[0], events.bits)
+                gain = np.bincount(events.owner, weights=gain, minlength=n)
+                level = np.rint((np.clip(gain, -REACH, REACH) + REACH) / (2 * REACH) * (RATIO_LEVELS - 1)).astype(np.int64)
+                ratios += np.bincount(gates[np.searchsorted(events.owner, np.arange(n))] * RATIO_LEVELS + level, minlength=len(ratios))
+                _descend(weights, squares, mass, stretched, gates, events.bits, np.ones(len(gates)))
+            total += np.concatenate([(weights * mass[:, None]).ravel(), mass])
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total, ratios]).tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    return rows
+
+
+def shares_of(ratios: np.ndarray) -> np.ndarray:
+    """For each gate the share of the contexts that makes its words most likely, by expectation and maximisation."""
+    better = np.exp(np.linspace(-REACH, REACH, RATIO_LEVELS))
+    share = np.full(len(ratios), 0.5)
+    for _ in range(100):
+        part = share[:, None] * better / (1 - share[:, None] + share[:, None] * better)
+        share = ((ratios * part).sum(axis=1) + 1) / (ratios.sum(axis=1) + 2)
+    return share
+
+
+def trained_words(chunks: DataFrame, masses: np.ndarray, tokens: int):
+    """The model of words from those before them, and its counts as a broadcast."""
+    sc = chunks.sparkSession.sparkContext
+    tasks = max(1, -(-tokens // TASK_TOKENS))
+    some = chunks.select("keys", "tokens", "words", "train").coalesce(tasks)
+    code = Code(masses)
+    shared_code = sc.broadcast(code)
+    shared = Shared(sc, _gathered(some.mapInArrow(_count_histories(shared_code), BLOCK), tasks, WORD_SLOTS))
+    size = GATES * (len(HISTORY_BITS) + 1)
+    sums = _summed(some.mapInArrow(_learned_words(shared_code, shared), "sums array<double>"), "sums", size + GATES + GATES * RATIO_LEVELS)
+    mass = sums[size : size + GATES, None]
+    weights = np.where(mass > 0, sums[:size].reshape(GATES, -1) / np.maximum(mass, 1e-9), first_word_weights())
+    return Words(code, weights, shares_of(sums[size + GATES :].reshape(GATES, -1))), shared
+
+
 PAIR = np.dtype([("k", "u1"), ("n", "<i8")])
 
 
@@ -345,7 +565,7 @@ def _scored(model: Model, counts):
 
 #: A chunk is one large row, so a few make a row group.
 CHUNK_FILES = {"compression": "zstd", "parquet.block.size": str(32 << 20)}
-CHUNK = "chunk bigint, listed array<binary>, entries array<struct<word: binary, k: int, n: bigint>>, first array<bigint>, spelled array<bigint>, heads binary, tails binary, classes array<bigint>, train array<boolean>, words array<bigint>, bytes array<bigint>, tokens binary"
+CHUNK = "chunk bigint, listed array<binary>, entries array<struct<word: binary, k: int, n: bigint>>, first array<bigint>, spelled array<bigint>, heads binary, tails binary, keys binary, classes array<bigint>, train array<boolean>, words array<bigint>, bytes array<bigint>, tokens binary"
 
 
 def document_classes(tokens: np.ndarray, sizes: np.ndarray, words: list[bytes]) -> np.ndarray:
@@ -378,6 +598,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = list(found)
         heads = np.frombuffer(bytes(w[0] for w in words), np.uint8)
         tails = _ending[np.frombuffer(bytes(w[-1] for w in words), np.uint8)]
+        keys = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
         learned = tokens[np.repeat(train, sizes)]
         counts = np.bincount(learned, minlength=len(words))
         kinds = document_classes(tokens, sizes, words)
@@ -406,15 +627,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 one(listed),
                 one(entries),
                 *(one(pa.array(x)) for x in (first, spelled)),
-                *(pa.array([x.tobytes()], pa.binary()) for x in (heads, tails)),
+                *(pa.array([x.tobytes()], pa.binary()) for x in (heads, tails, keys)),
                 one(pa.array(np.bincount(kinds[train], minlength=CLASSES))),
                 one(pa.array(train)),
                 one(pa.array(sizes)),
                 one(pa.array(lengths, pa.int64())),
-                pa.array([tokens.tobytes()], pa.binary()),
+                pa.array([planes(tokens)], pa.binary()),
                 one(batch.column("doc_id")),
             ],
-            ["chunk", "listed", "entries", "first", "spelled", "heads", "tails", "classes", "train", "words", "bytes", "tokens", "ids"],
+            ["chunk", "listed", "entries", "first", "spelled", "heads", "tails", "keys", "classes", "train", "words", "bytes", "tokens", "ids"],
         )
 
 
@@ -454,16 +675,57 @@ class Corpus:
         near = (np.maximum(by - self.discount, 0) + self.discount * self.class_kinds * wide[:, None]) / np.maximum(self.class_words, 1)
         return np.log10(np.maximum(np.where(own, near, wide[:, None]), 1e-300))
 
+    def known(self) -> np.ndarray:
+        """What each class leaves at least to words that training has."""
+        words, kinds = self.tokens - self.ends, self.distinct - (self.ends > 0)
+        free = self.discount * kinds / words if words else 1.0
+        return 1 - free * np.where(self.class_words > 0, self.discount * self.class_kinds / np.maximum(self.class_words, 1), 1)
+
     def shares(self) -> np.ndarray:
         """log10 of the classes' weights before a text is read."""
         return np.log10((self.class_documents + 0.5) / (self.class_documents.sum() + 0.5 * CLASSES))
 
 
-def _documents(first, corpus: Corpus):
+def _log10_sum(x: np.ndarray) -> np.ndarray:
+    top = x.max(axis=1)
+    return top + np.log10((10 ** (x - top[:, None])).sum(axis=1))
+
+
+def text_scores(words: Words, corpus: Corpus, masses: np.ndarray, logs: np.ndarray, c: np.ndarray, keys: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """log10 probability of each text's words. ``logs``: of each word in each class; ``c``: its count; ``masses``: counts by code."""
+    out = np.zeros(len(sizes))
+    starts = np.cumsum(sizes) - sizes
+    shares, known = corpus.shares(), corpus.known()
+    carried = shares
+    for begin in range(0, len(tokens), TOKENS_AT_ONCE):
+        own = tokens[begin : begin + TOKENS_AT_ONCE]
+        at = np.arange(begin, begin + len(own))
+        text = np.searchsorted(starts, at, "right") - 1
+        # What the classes have predicted so far is their weight for the next word; a text may go on from the block before.
+        by = logs[own]
+        before = np.cumsum(by, axis=0) - by
+        before -= before[np.maximum(starts[text], begin) - begin]
+        before += np.where((starts[text] < begin)[:, None], carried, shares)
+        so_far = _log10_sum(before)
+        after = before + by
+        carried = after[-1]
+        found = _log10_sum(after) - so_far
+        some = np.flatnonzero(c[own])
+        if len(some):
+            symbols = (keys[own[some]] % WORD_CODES).astype(np.int64)
+            code, share = words.predicted(symbols, histories(keys, tokens, starts[text[some]], at[some]))
+            left = (10 ** (before[some] - so_far[some, None])) @ known
+            found[some] = np.log10((1 - share) * 10 ** found[some] + share * left * 10**code * c[own[some]] / masses[symbols])
+        out += np.bincount(text, weights=found, minlength=len(sizes))
+    return out
+
+
+def _documents(first, corpus: Corpus, model_of_words: Words, counts, masses):
     def rows(chunk: pa.Table, words: pa.Table) -> pa.Table:
         row = {c: chunk.column(c)[0] for c in chunk.column_names}
-        sizes, tokens = np.array(row["words"].as_py(), np.int64), np.frombuffer(row["tokens"].as_py(), np.uint32)
+        sizes, tokens = np.array(row["words"].as_py(), np.int64), from_planes(row["tokens"].as_py())
         heads, tails = (np.frombuffer(row[c].as_py(), np.uint8) for c in ("heads", "tails"))
+        keys = np.frombuffer(row["keys"].as_py(), np.uint32)
         heads_after, ends_after = first.value
         by, rest = np.zeros((len(heads), CLASSES), np.int64), np.zeros(len(heads))
         packed = words.column("by").combine_chunks() if words.num_rows else None
@@ -476,11 +738,9 @@ def _documents(first, corpus: Corpus):
         before, last = endings(tokens, sizes, tails)
         of = np.repeat(np.arange(len(sizes)), sizes)
         logs = corpus.words(by, rest + heads_after[heads])
-        classes = np.stack([np.bincount(of, weights=logs[:, k][tokens], minlength=len(sizes)) for k in range(CLASSES)], axis=1) + corpus.shares()
-        top = classes.max(axis=1)
-        model = top + np.log10((10 ** (classes - top[:, None])).sum(axis=1))
-        model += np.bincount(of, weights=np.log10(1 - ends_after)[before], minlength=len(sizes)) + np.log10(ends_after[last])
         c = by.sum(axis=1)
+        model = text_scores(replace(model_of_words, counts=counts.value), corpus, masses.value, logs, c, keys, tokens, sizes)
+        model += np.bincount(of, weights=np.log10(1 - ends_after)[before], minlength=len(sizes)) + np.log10(ends_after[last])
         rate = corpus.tokens + corpus.distinct + 1
         base = np.log10((c + 1) / rate)
         base = np.bincount(of, weights=base[tokens], minlength=len(sizes)) + np.log10((corpus.ends + 1) / rate)
@@ -516,17 +776,9 @@ def trained(vocabulary: DataFrame, first: np.ndarray, code: Code, words: int):
     sc = vocabulary.sparkSession.sparkContext
     tasks = max(1, -(-words // TASK_WORDS))
     some = vocabulary.coalesce(tasks)
-    blocks = some.mapInArrow(_count_blocks(sc.broadcast(code)), "block bigint, task bigint, counts binary")
-    fan = int(np.ceil(tasks**0.5))
-    halfway = blocks.groupBy("block", F.pmod("task", F.lit(fan)).alias("part")).applyInArrow(_added, "block bigint, counts binary")
-    total = halfway.groupBy("block").applyInArrow(_added, "block bigint, counts binary").toArrow()
-    counts = np.zeros((SLOTS, 2), np.float32)
-    for block, part in zip(total.column("block").to_pylist(), total.column("counts")):
-        values = np.frombuffer(part.as_buffer(), np.float32).reshape(-1, 2)
-        counts[block : block + len(values)] = values
-    del total
+    counts = _gathered(some.mapInArrow(_count_blocks(sc.broadcast(code)), BLOCK), tasks, SLOTS)
     add_counts(counts, first_events(code), first.reshape(ENDINGS, SYMBOLS).sum(axis=0).astype(np.float32))
-    shared = sc.broadcast(counts)
+    shared = Shared(sc, counts)
     model = Model(code, None, first_weights())
     sums = _summed(some.mapInArrow(_learned(model, shared), "sums array<double>"), "sums", GATES * (len(SLOT_BITS) + 1))
     mass = sums[-GATES:, None]
@@ -565,11 +817,15 @@ def score(docs: DataFrame) -> DataFrame:
         class_documents=_summed(chunks, "classes", CLASSES),
     )
     model, shared = trained(vocabulary.select("word", "c"), first, Code(_summed(chunks, "spelled", SYMBOLS)), sums.words)
+    masses = np.zeros(WORD_CODES)
+    for r in vocabulary.groupBy(F.pmod(F.crc32("word"), F.lit(WORD_CODES)).alias("code")).agg(F.sum("c").alias("c")).collect():  # WORD_CODES rows
+        masses[r.code] = r.c
+    words, seen = trained_words(chunks, masses, corpus.tokens)
     released(docs.sparkSession)
     after = sc.broadcast(_first_scores(replace(model, counts=shared.value), first))
     scored = vocabulary.select("word", "by").mapInArrow(_scored(model, shared), "word binary, rest float, by binary")
     listed = chunks.select("chunk", F.posexplode("listed").alias("at", "word"))
     back = listed.join(scored, "word").select("chunk", "at", "rest", "by")
-    again = chunks.select(F.col("chunk").alias("key"), "heads", "tails", "train", "words", "bytes", "tokens", "ids")
+    again = chunks.select(F.col("chunk").alias("key"), "heads", "tails", "keys", "train", "words", "bytes", "tokens", "ids")
     schema = f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-    return again.groupBy("key").cogroup(back.groupBy("chunk")).applyInArrow(_documents(after, corpus), schema)
+    return again.groupBy("key").cogroup(back.groupBy("chunk")).applyInArrow(_documents(after, corpus, words, seen, sc.broadcast(masses)), schema)

@@ -500,3 +500,31 @@ def test_scores_of_nothing_and_without_training_rows(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     (r,) = lm_mixing.score(frame(spark, [(held, "ab c")])).collect()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and np.isfinite(r.score)
+
+
+def test_scores_follow_the_words_before(spark):
+    """Words of a fixed cycle: in order they are foreseen, shuffled they are not."""
+    rng = random.Random(4)
+    cycle = [f"w{k}" for k in range(40)]
+    rows = [(k, " ".join(cycle[(k * 7 + i) % 40] for i in range(60))) for k in range(300)]
+    kept = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    words = [cycle[i % 40] for i in range(39)]
+    rows += [(kept, " ".join(words)), (kept, " ".join([*rng.sample(words[:-1], 38), words[-1]]))]
+    ordered, shuffled = sorted((r.score for r in lm_mixing.score(frame(spark, rows)).where(f"doc_id = {kept}").collect()), reverse=True)
+    assert ordered > 0.5 * shuffled
+
+
+def test_words_before_give_a_distribution():
+    rng = np.random.default_rng(2)
+    words = [f"w{k}".encode() for k in range(50)]
+    keys = np.array([zlib.crc32(w) for w in words], np.uint32)
+    tokens, sizes = rng.integers(0, 50, 4000).astype(np.uint32), np.array([4000])
+    masses = np.bincount(keys[tokens] % lm_mixing.WORD_CODES, minlength=lm_mixing.WORD_CODES).astype(float)
+    code = lm_mixing.Code(masses)
+    model = lm_mixing.Words(code, lm_mixing.first_word_weights(), np.full(lm_mixing.GATES, 0.7), np.zeros((lm_mixing.WORD_SLOTS, 2), np.float32))
+    at = np.arange(4000)
+    before = lm_mixing.histories(keys, tokens, np.zeros(4000, np.int64), at)
+    lm_mixing.add_counts(model.counts, lm_mixing.code_events(code, (keys[tokens] % lm_mixing.WORD_CODES).astype(np.int64), before), np.ones(4000, np.float32))
+    every = np.arange(lm_mixing.WORD_CODES)
+    logs, _ = model.predicted(every, [np.full(len(every), b[77]) for b in before])
+    assert (10**logs).sum() == pytest.approx(1)
