@@ -3,18 +3,23 @@
 Confirmed toxic documents are the positives; the texts of all training documents, labels unseen, are the unlabelled sample of
 the whole. With class prior ``p`` the risk of a classifier is ``p R+(P) + max(0, R-(U) - p R-(P))``; where the bracket turns
 negative, the step goes against it, so the model cannot call unlabelled toxic text clean by memorising. Labels 0 only enter the
-prior, which is the toxic share of labelled training rows.
+prior, which is the toxic share of labelled training texts.
+
+Training counts texts, not rows: positives, document counts, the unlabelled sample and the prior have each distinct text (by a
+128-bit hash) once, however many copies there are. A bitmap of fixed size tells rows that surely have no copy, which are counted where
+they are read; the others meet by their hash, copies of a task merged before the shuffle.
 
 Features are hashed words and word beginnings of 4 to 6 bytes, present or not, so that length does not matter. Document counts
-of all of them are taken over every training document. Those far more frequent among positives than chance allows are kept, scaled by
+of all of them are taken over every training text. Those far more frequent among positives than chance allows are kept, scaled by
 their shrunken log ratio, and weighted by a linear model in numpy.
 
-Bounds: positives are at most ``POSITIVES`` distinct texts and the fit sees at most ``UNLABELLED`` texts, both by hash of their
-ids; these ids, the counts (``BUCKETS`` at most) and the model are all that the driver holds. Counts, features and
+Bounds: positives are at most ``POSITIVES`` distinct texts and the fit sees at most ``UNLABELLED`` distinct texts, both by their
+hash; these hashes, the counts (``BUCKETS`` at most) and the model are all that the driver holds. Counts, features and
 scores cover all rows.
 
 Defined cases: null and empty texts have no features and score the model's base rate; a null id counts as an empty id for the fold;
-repeated labels of an id count as toxic if any is 1, null labels are no labels; repeated rows score alike; without positives every
+repeated labels of an id, and labels of copies, count as toxic if any is 1, null labels are no labels; labels without a document
+do not count; null and empty texts are one text; repeated rows score alike; without positives every
 score is the prior; other columns are never read and pass through ``keep_clean``.
 """
 
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import ALNUM, LOWER, crc32_of_id, slices, span_hashes, span_sums, spans, text_bytes
+from resalelake.llm.common import ALNUM, LOWER, crc32_of_id, slices, span_hashes, span_sums, spans, text_bytes, written
 
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
@@ -39,6 +44,8 @@ LEAST_DEVIATION = 6.0
 SHRINK = 20.0
 THRESHOLD = 0.7
 DEFAULT_PRIOR = 0.1
+#: log2 of the bits that tell which texts may have copies.
+COPY_BITS = 23
 FOLDS = 3
 HELD_OUT = 1
 
@@ -125,14 +132,60 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], ratios: np.nda
     return theta[:k] * ratios, float(theta[k])
 
 
-def _counts(positives):
-    """Per task: documents with each bucket, and positives among them; bucket -1 counts documents."""
+def hashed(docs: DataFrame) -> DataFrame:
+    """Text with its 128-bit hash ``h1, h2``; null is empty."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns({"text": text, "h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)})
+
+
+def _copies(texts: DataFrame) -> np.ndarray:
+    """One bit per leading bits of the hash of any text that more than one row has."""
+    several = texts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    slot = F.shiftrightunsigned("h1", 64 - COPY_BITS)
+    words = several.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h1, {64 - COPY_BITS}) & 63 AS INT))")).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(1 << (COPY_BITS - 6), np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _may_have_copies(batch: pa.RecordBatch, copies: np.ndarray) -> np.ndarray:
+    slots = _column(batch, "h1").view(np.uint64) >> np.uint64(64 - COPY_BITS)
+    return (copies[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _among(batch: pa.RecordBatch, chosen: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    return np.isin(_column(batch, "h1"), chosen[0]) & np.isin(_column(batch, "h2"), chosen[1])
+
+
+def _with_copies(copies):
+    """Rows whose text may have copies."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(_may_have_copies(batch, copies.value)))
+
+    return rows
+
+
+def _counts(positives, copies=None):
+    """Per task: documents with each bucket, and positives among them; bucket -1 counts documents. Rows whose text may
+    have ``copies`` are left out."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, toxic = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
         for batch in slices(batches, "text"):
+            if copies is not None:
+                batch = batch.filter(pa.array(~_may_have_copies(batch, copies.value)))
+            if not batch.num_rows:
+                continue
             texts, buckets, n = features(batch.column("text"))
-            mine = np.isin(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False), positives.value)
+            mine = _among(batch, positives.value)
             pairs = np.unique(texts * BUCKETS + buckets)
             texts, buckets = pairs // BUCKETS, pairs % BUCKETS
             every[:BUCKETS] += np.bincount(buckets, minlength=BUCKETS)
@@ -148,39 +201,44 @@ def _counts(positives):
 def _sampled(model, positives, unlabelled):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-            toxic, other = np.isin(ids, positives.value), np.isin(ids, unlabelled.value)
+            toxic, other = _among(batch, positives.value), _among(batch, unlabelled.value)
             wanted = np.flatnonzero(toxic | other)
             if not len(wanted):
                 continue
+            # Copies within the slice once.
+            wanted = wanted[np.unique(np.stack([_column(batch, "h1")[wanted], _column(batch, "h2")[wanted]]), axis=1, return_index=True)[1]]
             texts, places, n = model.value.present(batch.column("text").take(pa.array(wanted)))
             found = np.split(places.astype(np.int32), np.searchsorted(texts, np.arange(1, n)))
-            columns = [pa.array(toxic[wanted]), pa.array(other[wanted]), pa.array([f.tobytes() for f in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["toxic", "other", "places"])
+            columns = [*(batch.column(c).take(pa.array(wanted)) for c in ("h1", "h2")), pa.array(toxic[wanted]), pa.array(other[wanted]), pa.array([f.tobytes() for f in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "toxic", "other", "places"])
 
     return rows
 
 
-def _ids(rows: DataFrame, limit: int) -> np.ndarray:
-    """At most ``limit`` ids, by hash."""
-    return np.array([r.doc_id for r in rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()], np.int64)
+def _chosen(texts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of at most ``limit`` distinct texts, in their order."""
+    found = texts.select("h1", "h2").distinct().orderBy("h1", "h2").limit(limit).toArrow()
+    return found.column("h1").to_numpy(), found.column("h2").to_numpy()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     sc = docs.sparkSession.sparkContext
-    training = docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    training = hashed(docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    share = marks.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
+    marked = written(training.select("doc_id", "h1", "h2").join(marks, "doc_id").groupBy("h1", "h2").agg(F.max("toxic").alias("toxic")), "toxicity-marked")
+    share = marked.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     prior = float(np.clip(share.toxic / share.n, 0.01, 0.5)) if share.n else DEFAULT_PRIOR
     base = Model(np.full(BUCKETS, -1, np.int64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    # One document of each distinct toxic text, so that copies do not make their words look toxic.
-    hashed = training.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    toxic = hashed.join(marks.where("toxic = 1"), "doc_id").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
-    chosen = _ids(toxic, POSITIVES)
-    if not len(chosen):
+    chosen = _chosen(marked.where("toxic = 1"), POSITIVES)
+    if not len(chosen[0]):
         return base
     positives = sc.broadcast(chosen)
-    counted = training.mapInArrow(_counts(positives), "bucket bigint, every bigint, toxic bigint").groupBy("bucket").agg(F.sum("every").alias("every"), F.sum("toxic").alias("toxic")).toArrow()
+    texts = training.select("text", "h1", "h2")
+    copies = sc.broadcast(_copies(training.select("h1", "h2")))
+    kind = "bucket bigint, every bigint, toxic bigint"
+    several = texts.mapInArrow(_with_copies(copies), "text string, h1 bigint, h2 bigint").groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    both = texts.mapInArrow(_counts(positives, copies), kind).union(several.mapInArrow(_counts(positives), kind))
+    counted = both.groupBy("bucket").agg(F.sum("every").alias("every"), F.sum("toxic").alias("toxic")).toArrow()
     every, seen = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     at = counted.column("bucket").to_numpy()
     every[at], seen[at] = counted.column("every").to_numpy(), counted.column("toxic").to_numpy()
@@ -193,8 +251,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     base.weights = ratios
     if not len(kept):
         return base
-    unlabelled = sc.broadcast(_ids(training.where("doc_id IS NOT NULL"), UNLABELLED))
-    sample = training.mapInArrow(_sampled(sc.broadcast(base), positives, unlabelled), "toxic boolean, other boolean, places binary").toArrow()
+    unlabelled = sc.broadcast(_chosen(texts, UNLABELLED))
+    found = texts.mapInArrow(_sampled(sc.broadcast(base), positives, unlabelled), "h1 bigint, h2 bigint, toxic boolean, other boolean, places binary")
+    sample = found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("toxic", "other", "places")]).toArrow().sort_by([("h1", "ascending"), ("h2", "ascending")])
     rows = [np.frombuffer(x, np.int32) for x in sample.column("places").to_pylist()]
     marks_of = sample.column("toxic").to_pylist(), sample.column("other").to_pylist()
     weights, start = fit([r for r, t in zip(rows, marks_of[0]) if t], [r for r, o in zip(rows, marks_of[1]) if o], ratios, prior)

@@ -427,6 +427,19 @@ def test_toxicity_learns_no_held_out_labels(spark):
     assert a.base == b.base and (a.weights == b.weights).all()
 
 
+def test_toxicity_counts_copies_of_a_text_once(spark):
+    """A toxic text copied into a third of the rows changes nothing but its own weight as one more text."""
+    rows, labels = toxic_corpus()
+    text = "grimword foulterm vileness a1 b2 c3"
+    one = 100_000 + next(k for k in range(10) if zlib.crc32(str(100_000 + k).encode()) % 3 != 1)
+    copies = [(k, text) for k in range(one, one + 800)]
+    once = toxicity.train(frame(spark, rows + copies[:1]), frame(spark, labels + [(one, 1, 1)], LABELS))
+    often = toxicity.train(frame(spark, rows + copies), frame(spark, labels + [(k, 1, 1) for k, _ in copies], LABELS))
+    assert (once.place == often.place).all() and often.base == pytest.approx(once.base) and often.weights == pytest.approx(once.weights)
+    scores = {r.doc_id: r["__score"] for r in toxicity.scored(frame(spark, [(1, "grimword"), (2, "a1 b2"), (3, text)]), often, ["doc_id"]).collect()}
+    assert scores[1] > 0.5 > scores[2] and scores[3] >= 0.7
+
+
 def test_toxicity_without_positives(spark):
     model = toxicity.train(frame(spark, [(1, "a"), (2, None)]), frame(spark, [], LABELS))
     scores = [r["__score"] for r in toxicity.scored(frame(spark, [(1, "a"), (2, None)]), model, ["doc_id"]).collect()]
