@@ -25,14 +25,15 @@ def _little(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """``encode`` gives, for each text as UTF-8 bytes, its ids as little-endian unsigned 32-bit integers."""
+    """``encode`` gives, for each text as UTF-8 bytes, its ids as little-endian unsigned 32-bit integers. With ``special``
+    the string of a special token is its one id, as the library does by itself; otherwise it is ordinary text."""
 
-    def __init__(self, path: str, leading: bool):
+    def __init__(self, path: str, leading: bool, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
         self.leading = leading
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.inner: dict[bytes, bytes] = {}
@@ -84,7 +85,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def encoder(path: str, leading: bool) -> Encoder:
-    """One per worker process and vocabulary file."""
+    """One per worker process and vocabulary file; special tokens as the library encodes them."""
     if (path, leading) not in _encoders:
-        _encoders[path, leading] = Encoder(path, leading)
+        _encoders[path, leading] = Encoder(path, leading, special=True)
     return _encoders[path, leading]

@@ -136,3 +136,15 @@ def test_cached_encoding_equals_whole_texts(name, leading):
     for _ in range(2):
         assert encode.encode([t.encode() for t in texts]) == want
         encode.kept = tokens.CACHE_BYTES + 1  # the cache starts anew
+
+
+@pytest.mark.parametrize("name,leading", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_special_tokens_as_the_library_encodes_them(name, leading):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path(name))
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|startoftext|>", " ", "  ", "a", " b", "\n", "\xa0", "é."]
+    texts = HARD + ["".join(rng.choice(parts) for _ in range(12)) for _ in range(300)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.encoder(public_tokenizers.path(name), leading).encode([t.encode() for t in texts]) == want
