@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.llm import bitpack, line_dedup, lm_mixing, packing, pq, sharding, simhash, toxicity, warc, winnow
+from resalelake.llm import alignment, bitpack, centroids, line_dedup, lm_mixing, packing, pq, sharding, simhash, token_counts, toxicity, warc, winnow
 from resalelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ ID_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: The vocabulary file of packed documents.
 PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+#: The vocabularies that are aligned.
+ALIGN_A = public_tokenizers.path("byte_bpe_50k.json")
+ALIGN_B = public_tokenizers.path("piece_bpe_32k.model")
+#: The vocabulary file of token counts.
+COUNT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_mixing.score(table(spark, sf_dir, "documents"))
@@ -75,6 +81,21 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), PACK_VOCABULARY)
 
 
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(digits.cast("binary"), 256).alias("centroid_sha256"))
+
+
+def merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), COUNT_VOCABULARY)
+
+
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned(table(spark, sf_dir, "documents"), ALIGN_A, ALIGN_B)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_context_mixing_scores": context_mixing_scores,
     "op2_benchmark_winnowing": benchmark_winnowing,
@@ -86,6 +107,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": line_dedup_windows,
     "op9_minimax_shards": minimax_shards,
     "op10_best_fit_packing": best_fit_packing,
+    "op11_equal_variance_clusters": centroid_clusters,
+    "op12_merge_token_counts": merge_token_counts,
+    "op13_tokenizer_alignment": tokenizer_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -93,4 +117,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc_normaliser": warc.ORACLE.format(pages="pages"),
     "op5_pq_near_dedup": pq.ORACLE.format(vectors="embeddings"),
     "op8_line_dedup": line_dedup.ORACLE.format(docs="documents"),
+    "op11_equal_variance_clusters": centroids.ORACLE.format(vectors="embeddings"),
 }

@@ -28,7 +28,7 @@ def duck():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
@@ -48,6 +48,8 @@ COLUMNS = {
     "op6_nonnegative_pu_toxicity": "doc_id held_out score predicted",
     "op7_simhash_near_dedup": "doc_id fingerprint component_id",
     "op9_minimax_shards": "doc_id size text_crc32 law shard slot grown_shard",
+    "op12_merge_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op13_tokenizer_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op10_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 
