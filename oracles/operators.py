@@ -403,6 +403,13 @@ SQL["i1_refresh_late_update"] = f"""SELECT order_date, channel, ship_country, sh
   GROUP BY 1, 2, 3, 4, 5"""
 SQL["i1_refresh_vanished"] = """SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS orders FROM clean_orders
   WHERE NOT (order_created_ts >= '2000-04-03' AND order_created_ts < '2000-06-03') GROUP BY 1"""
+SQL["i1_ledger_refresh"] = " UNION ALL ".join(
+    f"SELECT '{fact}' AS fact, CAST(date_trunc('month', {d}) AS DATE) AS month, count(*) AS rows, {dsum(v)} AS amount FROM {table} WHERE {d} IS NOT NULL GROUP BY 2"
+    for fact, table, d, v in (
+        ("orders", "fact_orders", "order_date", "gross_profit"), ("daily_sales", "fact_daily", "order_date", "net_sales"),
+        ("product_sales", "fact_products_sold", "order_date", "gross_profit"), ("refunds", "fact_refunds", "refund_date", "total_refunded"),
+    )
+)
 SQL["i2_drop_repeats_stream"] = f"SELECT order_id, ingested_at, order_created_at, order_app_name FROM {H}"
 SQL["i2_latest_wins_stream"] = """SELECT date, campaign_id, ad_id, CAST(CASE WHEN CAST(ad_id AS BIGINT) % 4 = 0 THEN spend + 1 ELSE spend END AS DOUBLE) AS spend,
   CASE WHEN CAST(ad_id AS BIGINT) % 4 = 0 THEN 2 ELSE 1 END AS version FROM raw_meta_ads"""

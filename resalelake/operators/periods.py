@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +29,39 @@ class Period:
         return out
 
 
+@dataclass(frozen=True)
+class Spans(Period):
+    """Several stretches of days with gaps between them. ``start`` and ``end`` are those of the whole."""
+
+    parts: tuple[Period, ...] = ()
+
+    @classmethod
+    def of(cls, parts: Iterable[Period]) -> Period:
+        """Neighbouring and overlapping closed stretches become one; a single one is a plain period."""
+        merged: list[Period] = []
+        for part in sorted(parts, key=lambda p: p.start):
+            if merged and part.start <= merged[-1].end + timedelta(days=1):
+                merged[-1] = Period(merged[-1].start, max(merged[-1].end, part.end))
+            else:
+                merged.append(part)
+        if len(merged) == 1:
+            return merged[0]
+        return cls(merged[0].start, merged[-1].end, tuple(merged))
+
+    def covers(self, day: str | Column) -> Column:
+        return reduce(Column.__or__, [p.covers(day) for p in self.parts])
+
+
+def stretches(period: Period) -> tuple[Period, ...]:
+    """The stretches of a period without gaps."""
+    return period.parts if isinstance(period, Spans) else (period,)
+
+
+def spans_of_months(firsts: Iterable[date]) -> Period:
+    """The months that begin on the given days; adjoining ones form one stretch."""
+    return Spans.of(_month_of(day) for day in firsts)
+
+
 def _month_of(day: date, years_back: int = 0) -> Period:
     first = date(day.year - years_back, day.month, 1)
     following = date(first.year + first.month // 12, first.month % 12 + 1, 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 from datetime import timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from resalelake.operators import identity
 from resalelake.operators.aggregate import latest_known
 from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.joins import attach
-from resalelake.operators.periods import Period, known_on
+from resalelake.operators.periods import Period, known_on, stretches
 from resalelake.operators.reshape import pivot_attributes
 from resalelake.sources.raw import RawTables
 
@@ -89,15 +89,30 @@ def to_edge(df: DataFrame) -> DataFrame:
 
 
 def created_within(period: Period | None) -> Column:
-    """Coarse text range on the creation time, safe for any zone; Parquet statistics can use it."""
+    """Coarse text ranges on the creation time, safe for any zone; Parquet statistics can use them."""
     created = F.col("order_created_at")
-    out = F.lit(True)
-    if period and period.start:
-        out = created >= F.lit((period.start - timedelta(days=2)).isoformat())
-    if period and period.end:
-        upper = created < F.lit((period.end + timedelta(days=3)).isoformat())
-        out = upper if period.start is None else out & upper
-    return out
+
+    def within(part: Period) -> Column:
+        out = F.lit(True)
+        if part.start:
+            out = created >= F.lit((part.start - timedelta(days=2)).isoformat())
+        if part.end:
+            upper = created < F.lit((part.end + timedelta(days=3)).isoformat())
+            out = upper if part.start is None else out & upper
+        return out
+
+    return F.lit(True) if period is None else reduce(Column.__or__, map(within, stretches(period)))
+
+
+def refund_key() -> dict[str, Column]:
+    """What makes two refund rows one; the raw rows carry no line id."""
+    zero = F.lit(0).cast(R.MONEY)
+    return {
+        "order": F.col("order_id"),
+        "refund": F.coalesce("order_refunds", F.lit("NO_REFUND")),
+        "subtotal": F.coalesce("line_item__refunds_subtotal", zero),
+        "quantity": F.coalesce("line_item__refunds_quantity", zero),
+    }
 
 
 def _header_column(name: str, source: str, derive: Callable[[], Column] | None) -> Column:
@@ -302,20 +317,10 @@ class Facts:
         The row that counts has the greatest day of its key, so a lower bound on the day can go below the
         choice without changing it; an upper bound cannot.
         """
-        zero = F.lit(0).cast(R.MONEY)
         rows = self.raw.refunds.where(F.col("order_id").isNotNull() & C.meaningful_refund())
         if period is not None and period.start is not None:
             rows = rows.where(F.col("date") >= F.lit(period.start - timedelta(days=1)))
-        return best_row_by(
-            rows,
-            {
-                "order": F.col("order_id"),
-                "refund": F.coalesce("order_refunds", F.lit("NO_REFUND")),
-                "subtotal": F.coalesce("line_item__refunds_subtotal", zero),
-                "quantity": F.coalesce("line_item__refunds_quantity", zero),
-            },
-            latest=["date"],
-        )
+        return best_row_by(rows, refund_key(), latest=["date"])
 
     def parent_orders(self, wanted: DataFrame | None = None) -> DataFrame:
         """Order attributes a refund inherits; tests and cancelled orders count here. ``wanted`` holds the

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.filters import Filters
 from resalelake.operators.joins import attach, match_or_keep
 from resalelake.operators.reshape import pivot_attributes
-from resalelake.plans import incremental, metrics, quality, warehouse
+from resalelake.plans import incremental, ledger, metrics, quality, warehouse
 from resalelake.plans.facts import Facts, to_edge
 from resalelake.session import shared_folder
 from resalelake.sources import contracts, payloads, sinks
@@ -1046,6 +1047,41 @@ def i1_refresh_vanished(x: Context) -> DataFrame:
     return published.groupBy(F.trunc("order_date", "month").alias("month")).agg(F.count("order_id").alias("orders"))
 
 
+#: Rows that land after the first build although their own dates are old: by raw table.
+_OLD_BUT_NEW = {
+    "orders": "substring(order_created_at, 1, 7) IN ('1999-11', '1997-02')",
+    "refunds": "trunc(date, 'month') = DATE '1998-03-01'",
+    "products": "CAST(product_id AS INT) % 15 = 0",
+}
+_LEDGER_FACTS = {
+    "orders": ("order_date", "gross_profit"), "daily_sales": ("order_date", "net_sales"),
+    "product_sales": ("order_date", "gross_profit"), "refunds": ("refund_date", "total_refunded"),
+}
+
+
+@query
+def i1_ledger_refresh(x: Context) -> DataFrame:
+    """Facts published, then late refunds, costs and orders land and the ledger of files says what to build again."""
+    raw, root = x.folder("ledger-raw"), x.folder("ledger-facts")
+
+    def land(late: bool) -> None:
+        for table, old in _OLD_BUT_NEW.items():
+            rows = contracts.conform(getattr(x.raw, table), table).where(F.coalesce(F.expr(old), F.lit(False)) == F.lit(late))
+            rows.write.mode("append").parquet(f"{raw}/{table}")
+
+    land(late=False)
+    books = ledger.Ledger(x.spark, raw, x.folder("ledger"))
+    warehouse.refresh_arrived(books, root, tuple(_LEDGER_FACTS))
+    land(late=True)
+    warehouse.refresh_arrived(books, root, tuple(_LEDGER_FACTS))
+    published, parts = warehouse.PublishedFacts(x.spark, root), []
+    for name, (day, amount) in _LEDGER_FACTS.items():
+        by_month = published.fact(name).groupBy(F.trunc(day, "month").alias("month"))
+        sums = by_month.agg(F.count(F.lit(1)).alias("rows"), F.sum(amount).cast("double").alias("amount"))
+        parts.append(sums.select(F.lit(name).alias("fact"), "month", "rows", "amount"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 #: Orders of January, May and September, ingested again long after.
 _LATE = "month IN ('01', '05', '09')"
 
