@@ -37,9 +37,10 @@ from resalelake.llm.common import slices, written
 from resalelake.llm.token_counts import byte_letters
 
 #: Bytes of text in a chunk.
-CHUNK = 12 << 20
-#: Bytes of new units that are encoded and linked at a time.
-AT_ONCE = 1 << 20
+CHUNK = 10 << 20
+#: Bytes of new units that are linked at a time, and encoded as one text.
+AT_ONCE = 1 << 18
+TOGETHER = 1 << 13
 #: Copies of a pair's sum, so that a pair of every chunk is not one task's.
 COPIES = 8
 #: Products whose links would be more than this are made in blocks of rows.
@@ -145,6 +146,8 @@ class Linked:
 
 #: White space of either tokenizer, and the end; and a space before one.
 _WHITE_AT_START = re.compile(rb"[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z")
+#: A unit that cannot stand beside others: white space or its mark at an end.
+_WHITE_AT_EDGE = re.compile(rb"\A(?:[\t-\r \x1c-\x1f]|[\xc2\xe1\xe2\xe3])|(?:[\t-\r \x1c-\x1f]|[\x80-\x8a\xa8\xa9\xaf\x85\xa0\x9f\x81])\Z")
 _RUN = re.compile(rb"(?:\A| )(?:[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z)")
 
 
@@ -191,21 +194,62 @@ class Aligner:
             raise ValueError(f"{b_path}: a piece holds a space after another character, so texts cannot be cut at spaces")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.sizes = tuple(np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.pools = tuple((np.frombuffer(b"".join(t), np.uint8), np.cumsum(n) - n) for t, n in zip((self.a_bytes, self.b_bytes), self.sizes))
         self.digits, self.n_digits = _decimals(max(len(self.a_bytes), len(self.b_bytes)))
 
-    def encoded(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of either side, and whether both give the unit back; where not, there are none."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + u.decode() for u in units], add_special_tokens=False)]
-        b = self.b.encode([u.decode() for u in units], num_threads=1)
-        a_text, b_text = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        good = np.array([b"".join(map(a_text, x)) == b" " + u == b"".join(map(b_text, y)) for u, x, y in zip(units, a, b)], bool)
-        for n in np.flatnonzero(~good):
-            a[n], b[n] = [], []
-        return a, b, good
-
-    def link(self, a: list[list[int]], b: list[list[int]]) -> Linked:
-        flat = [np.fromiter((i for ids in side for i in ids), np.int64, sum(map(len, side))) for side in (a, b)]
-        return Linked(*flat, self.sizes[0][flat[0]], self.sizes[1][flat[1]])
+    def _bytes(self, side: int, ids: np.ndarray) -> bytes:
+        """What the tokens spell."""
+        pool, starts = self.pools[side]
+        sizes = self.sizes[side][ids]
+        ends = np.cumsum(sizes)
+        return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[ids] - (ends - sizes), sizes)].tobytes()
+
+    def _together(self, units: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of units encoded as one text, and how many each has; None where a side does not give the text back unit by unit."""
+        text = b" " + b" ".join(units)
+        ends, out = np.cumsum([len(u) + 1 for u in units]), []
+        for side, ids in enumerate((self.a.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, self.b.encode(text[1:].decode()))):
+            ids = np.array(ids, np.int64)
+            stops = np.cumsum(self.sizes[side][ids])
+            at = np.searchsorted(stops, ends)
+            if not len(ids) or stops[-1] != ends[-1] or (stops[at] != ends).any() or self._bytes(side, ids) != text:
+                return None
+            out.append((ids, np.diff(at + 1, prepend=0)))
+        return out
+
+    def _apart(self, unit: bytes) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """The ids of one unit, or None where a side does not give it back."""
+        text, out = unit.decode(), []
+        for side, ids in enumerate((self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text))):
+            ids = np.array(ids, np.int64)
+            if self._bytes(side, ids) != b" " + unit:
+                return None
+            out.append((ids, np.array([len(ids)])))
+        return out
+
+    def encoded(self, units: list[bytes]) -> tuple[Linked, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the units side by side, their numbers per unit on either side, and whether both sides give the unit back;
+        one that they do not has no tokens. Runs of units without white space at their ends are encoded as one text."""
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        good = np.ones(len(units), bool)
+        at = 0
+        while at < len(units):
+            stop, size = at, 0
+            while stop < len(units) and size < TOGETHER and units[stop] and not _WHITE_AT_EDGE.search(units[stop]):
+                size += len(units[stop])
+                stop += 1
+            found = self._together(units[at:stop]) if stop > at else None
+            if found is None:
+                stop = max(stop, at + 1)
+                each = [self._apart(u) for u in units[at:stop]]
+                none = [(np.zeros(0, np.int64), np.zeros(1, np.int64))] * 2
+                good[at:stop] = [x is not None for x in each]
+                found = [tuple(np.concatenate(x) for x in zip(*side)) for side in zip(*[x or none for x in each])]
+            for part, values in zip(parts, (v for side in found for v in side)):
+                part.append(values)
+            at = stop
+        a, unit_a, b, unit_b = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
+        return Linked(a, b, self.sizes[0][a], self.sizes[1][b]), unit_a, unit_b, good
 
     def written(self, linked: Linked, unit_a: np.ndarray, unit_b: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Text of the groups of all units, ``a1,a2|b1;``..., and where each unit's text begins; units hold whole groups."""
@@ -252,16 +296,14 @@ class Chunk:
             while stop < len(units) and (stop == at or size + len(units[stop]) < AT_ONCE):
                 size += len(units[stop])
                 stop += 1
-            a, b, good = self.aligner.encoded(units[at:stop])
-            linked = self.aligner.link(a, b)
-            unit_a, unit_b = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+            linked, unit_a, unit_b, good = self.aligner.encoded(units[at:stop])
             i, j = linked.ending()
-            of_unit = np.repeat(np.arange(len(a)), unit_a)[i]
-            n_links = np.bincount(of_unit, minlength=len(a))
+            of_unit = np.repeat(np.arange(stop - at), unit_a)[i]
+            n_links = np.bincount(of_unit, minlength=stop - at)
             text, starts = self.aligner.written(linked, unit_a, unit_b)
             groups, _ = linked.groups()
             last = np.cumsum(unit_a) - 1
-            before = np.where(last >= 0, groups.columns[np.maximum(last, 0)] + 1, 0) if len(linked.a) else np.zeros(len(a), np.int64)
+            before = np.where(last >= 0, groups.columns[np.maximum(last, 0)] + 1, 0) if len(linked.a) else np.zeros(stop - at, np.int64)
             self.good.append(good)
             self.counts.append(np.stack([unit_a, unit_b, np.diff(before, prepend=0), n_links], axis=1))
             self.links.append(linked.a[i] << 32 | linked.b[j])
@@ -281,7 +323,13 @@ class Chunk:
 
     def row(self) -> dict:
         """What is kept of the chunk: arrays as little-endian bytes."""
-        self._learn(self.new)
+        # Units that are encoded as one text come first.
+        odd = np.array([bool(_WHITE_AT_EDGE.search(u)) or not u for u in self.new], bool)
+        order = np.argsort(odd, kind="stable")
+        self._learn([self.new[n] for n in order])
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.docs = [place[units] for units in self.docs]
         good = np.concatenate(self.good) if self.good else np.zeros(0, bool)
         counts = np.concatenate(self.counts) if self.counts else np.zeros((0, 4), np.int64)
         links = np.concatenate(self.links) if self.links else np.zeros(0, np.int64)
@@ -295,8 +343,8 @@ class Chunk:
         uses = np.bincount(used, minlength=len(good))
         sums = np.stack(sums) if sums else np.zeros((0, 4), np.int64)
         of_unit = np.repeat(np.arange(len(good)), counts[:, 3])
-        pairs, place = np.unique(links, return_inverse=True)
-        times = np.bincount(place, weights=uses[of_unit], minlength=len(pairs)).astype(np.int64)
+        pairs, number = np.unique(links, return_inverse=True)
+        times = np.bincount(number, weights=uses[of_unit], minlength=len(pairs)).astype(np.int64)
         return {
             "doc_ids": self.ids,
             **{name: sums[:, n].tolist() for n, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
@@ -304,7 +352,7 @@ class Chunk:
             "doc_units": np.array([len(u) for u in self.docs], np.int64).tobytes(),
             "units": used.tobytes(),
             "unit_links": counts[:, 3].astype(np.int32).tobytes(),
-            "links": place.astype(np.int32).tobytes(),
+            "links": number.astype(np.int32).tobytes(),
             "pairs": pairs.tolist(),
             "times": times.tolist(),
         }
@@ -392,8 +440,9 @@ def _links(a_path: str, b_path: str, kind: str):
         for batch in slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
             for n, text in enumerate(texts):
-                a, b, good = aligner.encoded(units_of(text) if text else [])
-                linked = aligner.link(a, b) if good.all() else aligner.link([], [])
+                linked, _, _, good = aligner.encoded(units_of(text) if text else [])
+                if not good.all():
+                    continue
                 a_ends, b_ends = linked.ends
                 for i, j, value in linked.overlaps() if kind == "bytes" else linked.grouped():
                     columns = [batch.column("doc_id").take(pa.array(np.full(len(i), n))), *map(pa.array, (i, j, linked.a[i], linked.b[j]))]
