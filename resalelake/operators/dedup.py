@@ -14,6 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def top_row(
+    columns: Sequence[str],
+    keys: Sequence[str],
+    latest: Sequence[str] = (),
+    prefer: Sequence[Column] = (),
+    ties: Sequence[str] = (),
+    where: Column | None = None,
+) -> Column:
+    """Aggregate: the greatest row as one value, of those that meet ``where``. Several can share one aggregation."""
+    ranked = [c for c in dict.fromkeys([*latest, *ties, *columns]) if c not in keys]
+    row = F.struct(*[p.alias(f"_prefer{i}") for i, p in enumerate(prefer)], *ranked)
+    return F.max(row if where is None else F.when(where, row))
+
+
 def best_row(
     df: DataFrame,
     keys: Sequence[str],
@@ -21,12 +35,7 @@ def best_row(
     prefer: Sequence[Column] = (),
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    ranked = list(dict.fromkeys([*latest, *ties, *rest]))
-    ranked = [c for c in ranked if c not in keys]
-    order = [p.alias(f"_prefer{i}") for i, p in enumerate(prefer)]
-    top = F.max(F.struct(*order, *ranked)).alias("_top")
-    picked = df.groupBy(*keys).agg(top)
+    picked = df.groupBy(*keys).agg(top_row(df.columns, keys, latest, prefer, ties).alias("_top"))
     return picked.selectExpr(*[c if c in keys else f"_top.{c}" for c in df.columns])
 
 

@@ -71,6 +71,12 @@ LINE_LABELS = (
     "line_item__sku", "line_item__title", "line_item__vendor",
     "order_app_name", "order_shipping_address_country", "order_shipping_address_province",
 )
+LINE_KEY = ("order_id", "line_item__id")
+PARENT = (
+    "order_location_name", "order_created_at", "date", "order_app_name", "order_financial_status", "order_currency",
+    "order_shipping_address_country", "order_shipping_address_province",
+)
+PARENT_RECENCY = ("order_created_at", "date")
 DAILY_DIMENSIONS = ("order_date", "channel", "ship_country", "ship_province", "store_location")
 PRODUCT_DIMENSIONS = (
     "order_date", "product_id", "sku", "product_title", "vendor",
@@ -104,6 +110,27 @@ def created_within(period: Period | None) -> Column:
     return F.lit(True) if period is None else reduce(Column.__or__, map(within, stretches(period)))
 
 
+def header_choice() -> dict:
+    return {"latest": HEADER_RECENCY, "prefer": [located_first()], "ties": HEADER_TIES}
+
+
+def line_choice() -> dict:
+    return {"latest": LINE_RECENCY, "prefer": [located_first()], "ties": LINE_VALUES}
+
+
+def parent_columns(row: str = "") -> list[Column]:
+    """What a refund takes from its order; ``row`` names the value that holds the order's columns."""
+    at = f"{row}." if row else ""
+    return [
+        C.sales_channel(f"{at}order_app_name").alias("channel"),
+        F.lower(f"{at}order_financial_status").alias("financial_status"),
+        F.col(f"{at}order_currency").alias("currency"),
+        F.col(f"{at}order_shipping_address_country").alias("ship_country"),
+        F.col(f"{at}order_shipping_address_province").alias("ship_province"),
+        F.col(f"{at}order_location_name").alias("store_location"),
+    ]
+
+
 def refund_key() -> dict[str, Column]:
     """What makes two refund rows one; the raw rows carry no line id."""
     zero = F.lit(0).cast(R.MONEY)
@@ -154,20 +181,19 @@ class Facts:
         if period is not None and "order_date" not in wanted:
             wanted.append("order_date")
         payload = dict.fromkeys([*HEADER_RECENCY, *HEADER_TIES, "order_location_name", *[made[c] for c in wanted]])
-        picked = best_row(
-            rows.select("order_id", *[c for c in payload if c != "order_id"]),
-            ["order_id"],
-            latest=HEADER_RECENCY,
-            prefer=[located_first()],
-            ties=HEADER_TIES,
-        )
+        picked = best_row(rows.select("order_id", *[c for c in payload if c != "order_id"]), ["order_id"], **header_choice())
+        out = picked.select(*self._header_columns(wanted))
+        return out if period is None else out.where(period.covers("order_date"))
+
+    def _header_columns(self, wanted: Collection[str]) -> list[Column]:
+        """Columns of a header from the raw row that was chosen."""
+        made = HEADER | HEADER_AMOUNTS | HEADER_DERIVED
         derive = {
             "order_date": lambda: C.business_day("order_created_at", self.zone),
             "channel": lambda: C.sales_channel("order_app_name"),
             "financial_status": lambda: F.lower("order_financial_status"),
         }
-        out = picked.select(*[_header_column(c, made[c], derive.get(c)) for c in wanted])
-        return out if period is None else out.where(period.covers("order_date"))
+        return [_header_column(c, made[c], derive.get(c)) for c in wanted]
 
     def clean_lines(self, period: Period | None = None) -> DataFrame:
         """One row per (order, line) of a valid order, with the amounts of the line."""
@@ -188,13 +214,7 @@ class Facts:
     @staticmethod
     def _pick_lines(rows: DataFrame, labels: Collection[str]) -> DataFrame:
         # Values rank before labels, so leaving labels out never changes which row is picked.
-        return best_row(
-            rows.select("order_id", "line_item__id", "order_location_name", *LINE_RECENCY, *LINE_VALUES, *labels),
-            ["order_id", "line_item__id"],
-            latest=LINE_RECENCY,
-            prefer=[located_first()],
-            ties=LINE_VALUES,
-        )
+        return best_row(rows.select(*LINE_KEY, "order_location_name", *LINE_RECENCY, *LINE_VALUES, *labels), LINE_KEY, **line_choice())
 
     @cached_property
     def unit_costs(self) -> DataFrame:
@@ -218,7 +238,10 @@ class Facts:
             C.amount("line_item__quantity").alias("quantity"),
             C.amount("line_item__variant_unit_cost").alias("line_cost"),
         )
-        priced = attach(lines, self.unit_costs, "product_id", spread=["order_id", "line_item__id"])
+        return self._line_totals(attach(lines, self.unit_costs, "product_id", spread=["order_id", "line_item__id"]))
+
+    @staticmethod
+    def _line_totals(priced: DataFrame) -> DataFrame:
         unit = F.coalesce("unit_cost", "line_cost", F.lit(0).cast(R.MONEY))
         return priced.groupBy("order_id").agg(
             F.sum("quantity").alias("total_units"),
@@ -265,9 +288,10 @@ class Facts:
         grouping columns, so the join sees one row per cell instead of one per line."""
         qty, price = C.amount("line_item__quantity"), C.amount("line_item__price")
         line_cost = F.coalesce(C.amount("line_item__variant_unit_cost"), F.lit(0).cast(R.MONEY))
+        sold = self.merchandise_lines(period)
+        priced = "unit_cost" in sold.columns
         cells = (
-            self.merchandise_lines(period)
-            .withColumns(
+            sold.withColumns(
                 {
                     "product_id": F.col("line_item__product_id").cast("string"),
                     "sku": F.col("line_item__sku"),
@@ -286,9 +310,10 @@ class Facts:
                 F.sum(line_cost * qty).cast(R.PRODUCT).alias("line_cost"),
                 F.sum(F.when(price.isNotNull(), qty)).cast(R.MONEY).alias("priced_units"),
                 F.sum(F.when(price.isNotNull(), line_cost * qty)).cast(R.PRODUCT).alias("priced_line_cost"),
+                *([F.max("unit_cost").alias("unit_cost")] if priced else []),
             )
         )
-        costed = attach(cells, self.unit_costs, "product_id", spread=[c for c in PRODUCT_DIMENSIONS if c != "product_id"])
+        costed = cells if priced else attach(cells, self.unit_costs, "product_id", spread=[c for c in PRODUCT_DIMENSIONS if c != "product_id"])
         known = F.col("unit_cost").isNotNull()
         units = F.col("units_sold").cast(R.MONEY)
         cost = F.when(known, (F.col("unit_cost") * units).cast(R.PRODUCT)).otherwise(F.col("line_cost"))
@@ -326,21 +351,8 @@ class Facts:
         """Order attributes a refund inherits; tests and cancelled orders count here. ``wanted`` holds the
         order ids asked for; the others are left out before any choice of row."""
         orders = self.raw.orders if wanted is None else self.raw.orders.join(wanted, "order_id", "left_semi")
-        rows = orders.select(
-            "order_id", "order_location_name", "order_created_at", "date", "order_app_name",
-            "order_financial_status", "order_currency", "order_shipping_address_country",
-            "order_shipping_address_province",
-        )
-        picked = best_row(rows, ["order_id"], latest=["order_created_at", "date"], prefer=[located_first()])
-        return picked.select(
-            "order_id",
-            C.sales_channel("order_app_name").alias("channel"),
-            F.lower("order_financial_status").alias("financial_status"),
-            F.col("order_currency").alias("currency"),
-            F.col("order_shipping_address_country").alias("ship_country"),
-            F.col("order_shipping_address_province").alias("ship_province"),
-            F.col("order_location_name").alias("store_location"),
-        )
+        picked = best_row(orders.select("order_id", *PARENT), ["order_id"], latest=PARENT_RECENCY, prefer=[located_first()])
+        return picked.select("order_id", *parent_columns())
 
     def refunds(
         self, refund_date_mode: str = "utc_midnight", adjustments: str = "every_line", period: Period | None = None

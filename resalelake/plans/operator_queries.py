@@ -23,7 +23,7 @@ from resalelake.session import shared_folder
 from resalelake.sources import contracts, payloads, sinks
 from resalelake.sources.driver_tables import AS_OF, DriverTables
 from resalelake.sources.raw import RawTables
-from resalelake.streaming import jobs
+from resalelake.streaming import changes, jobs
 
 RUN_DAY = date(2001, 7, 16)
 SYNCED = datetime(2001, 7, 16, 13, 0, tzinfo=timezone.utc)
@@ -373,7 +373,7 @@ def s17_widen_table(x: Context) -> DataFrame:
 def s18_publish_facts(x: Context) -> DataFrame:
     """Facts built over written stages, published, and a card read from what was published."""
     stages, root = x.folder("stages"), x.folder("facts")
-    warehouse.publish(warehouse.stage(x.raw, stages, ("clean_orders",)), root, ("daily_sales", "marketing"))
+    warehouse.publish(warehouse.stage(x.raw, stages, ("headers",)), root, ("daily_sales", "marketing"))
     return metrics.marketing_efficiency(warehouse.PublishedFacts(x.spark, root), AS_OF)
 
 
@@ -1109,20 +1109,16 @@ def i2_drop_repeats_stream(x: Context) -> DataFrame:
 
 @query
 def i2_latest_wins_stream(x: Context) -> DataFrame:
-    """Late records update what is stored: each micro-batch rewrites only the days it touches."""
+    """Late records update what is stored: each micro-batch is appended, and reading takes the newest row."""
     rows = x.raw.meta_ads.select("date", "campaign_id", "ad_id", "spend").withColumn("version", F.lit(1))
     later = rows.where("CAST(ad_id AS BIGINT) % 4 = 0").select("date", "campaign_id", "ad_id", (F.col("spend") + 1).cast(R.MONEY).alias("spend"), F.lit(2).alias("version"))
     first, second = _landing(x, rows, "wins-in"), _landing(x, later, "wins-late")
     table, check = x.folder("wins-table"), x.folder("wins-check")
-
-    def newest(df: DataFrame) -> DataFrame:
-        return best_row(df, ["date", "ad_id"], latest=["version"])
-
-    sinks.replace_days(rows.limit(0), table)
     for source, name in ((first, "first"), (second, "late")):
+        newest = changes.LatestRows(table, rows.schema, ["date", "ad_id"], ["version"], stream=name)
         stream = jobs.follow(x.spark, source, rows.schema).drop(jobs.ARRIVED)
-        jobs.drain_each(stream, lambda batch, _: incremental.merge_days(batch.sparkSession, table, batch, newest), f"{check}/{name}")
-    return to_edge(x.spark.read.schema(rows.schema).parquet(table).select(*rows.columns))
+        jobs.drain_each(stream, newest.step, f"{check}/{name}")
+    return to_edge(newest.read(x.spark))
 
 
 @query
@@ -1148,8 +1144,7 @@ def i5_daily_sales_stream(x: Context) -> DataFrame:
     """The daily fact's sales from a stream of all ingested headers, late repeats included, in several micro-batches."""
     rows = x.headers().select("ingested_at", "order_processed_at", "order_subtotal_price", "order_location_name", *_HEADER)
     landing = _landing(x, rows.repartition(2), "sales-in")
-    job = jobs.DailySales(x.folder("sales"), grain="month")  # seven years land at once
-    job.prepare(rows.limit(0))
+    job = changes.DailySales(x.folder("sales"))
     jobs.drain_each(jobs.follow(x.spark, landing, rows.schema, files_per_batch=1), job.step, x.folder("sales-check"))
     return to_edge(job.read(x.spark))
 

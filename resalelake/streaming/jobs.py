@@ -8,12 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from resalelake.functions import columns as C
-from resalelake.functions import rules as R
-from resalelake.operators.dedup import best_row, located_first
-from resalelake.plans.facts import HEADER_RECENCY, HEADER_TIES
-from resalelake.sources import sinks
-
 DELAY = "2 days"
 ARRIVED = "arrived_at"
 
@@ -35,51 +29,6 @@ def drop_repeats(stream: DataFrame, keys: list[str], arrived: str = ARRIVED, del
     return stream.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(keys)
 
 
-SALES = "order_date date, channel string, net_sales decimal(28,4), shipping_revenue decimal(28,4), orders bigint"
-FOLDER = "folder"
-
-
-class DailySales:
-    """Sales per local day and channel, kept right while order headers repeat and arrive late and in any order.
-
-    The newest header of each order is kept by business day, which an order never changes. Each micro-batch
-    merges its headers into the days they belong to and computes those days' cells again. Both steps can be replayed.
-    ``grain`` "month" keeps a folder per month instead of per day, for catching up on years of history at once.
-    """
-
-    def __init__(self, root: str, zone: str = R.STORE_ZONE, grain: str = "day"):
-        self.headers, self.sales, self.zone, self.grain = f"{root}/headers", f"{root}/sales", zone, grain
-
-    def prepare(self, headers: DataFrame) -> None:
-        """Empty tables for headers with these columns."""
-        sinks.append(self._dated(headers).limit(0), self.headers, FOLDER)
-        sinks.append(headers.sparkSession.createDataFrame([], f"{SALES}, {FOLDER} date"), self.sales, FOLDER)
-
-    def _dated(self, headers: DataFrame) -> DataFrame:
-        dated = headers.drop(ARRIVED).where(C.valid_order()).withColumn("order_date", C.business_day("order_created_at", self.zone))
-        return dated.withColumn(FOLDER, F.trunc("order_date", "month") if self.grain == "month" else F.col("order_date"))
-
-    def step(self, batch: DataFrame, _: int) -> None:
-        rows = self._dated(batch)
-
-        def newest(df: DataFrame) -> DataFrame:
-            return best_row(df, [FOLDER, "order_id"], latest=HEADER_RECENCY, prefer=[located_first()], ties=HEADER_TIES)
-
-        touched = [r[0] for r in sinks.merge_days(rows, self.headers, newest, FOLDER).collect()]
-        stored = batch.sparkSession.read.schema(rows.schema).parquet(self.headers)
-        stored = stored.where(F.col(FOLDER).isin(touched) if touched else F.lit(False))
-        cells = stored.groupBy(FOLDER, "order_date", C.sales_channel("order_app_name").alias("channel")).agg(
-            F.sum(C.amount("order_net_sales")).cast("decimal(28,4)").alias("net_sales"),
-            F.sum(C.amount("order_shipping_price")).cast("decimal(28,4)").alias("shipping_revenue"),
-            F.count("order_id").alias("orders"),
-        )
-        sinks.replace_days(cells, self.sales, FOLDER)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        columns = [f.split()[0] for f in SALES.split(", ")]
-        return spark.read.schema(f"{SALES}, {FOLDER} date").parquet(self.sales).select(*columns)
-
-
 def drain(stream: DataFrame, out: str, checkpoint: str) -> None:
     """Process everything that has landed, append the results, stop."""
     query = (
