@@ -71,6 +71,12 @@ DOC_BASE = f"""d AS date, lpad(CAST(month(d) AS STRING), 2, '0') AS month, {wk('
   CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE 1.25 END AS DOUBLE) AS order_total_tax_amount, {LOC} AS order_location_id, {STORE} AS order_location_name,
   CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_custkey AS STRING) END AS order_customer_id, DATE '2001-07-16' AS ingested_at"""
 LINE_ID = "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"
+SQL["s2_quarantine"] = f"""
+SELECT state, count(*) AS documents, {isum('k')} AS order_keys, {dsum("CASE WHEN state IN ('landed', 'replayed') THEN v END")} AS value, CAST(0 AS BIGINT) AS no_line
+FROM (SELECT o_orderkey AS k, {dec('o_totalprice')} AS v,
+  CASE WHEN o_orderkey % 7 = 0 THEN CASE WHEN o_orderkey % 11 = 0 THEN 'malformed' ELSE 'replayed' END
+    WHEN o_orderkey % 13 = 0 THEN 'malformed' WHEN o_orderkey % 11 = 0 THEN 'no id' ELSE 'landed' END AS state FROM orders)
+GROUP BY state"""
 SQL["s2_flatten_orders"] = f"""
 SELECT {DOC_BASE}, {LINE_ID} AS line_item__id, CAST({dec('l_extendedprice')} AS DOUBLE) AS line_item__price, CAST(l_partkey AS STRING) AS line_item__product_id,
   CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) AS line_item__quantity, 'SKU-' || CAST(l_partkey AS STRING) AS line_item__sku,
@@ -309,6 +315,31 @@ SQL["d6_contract_check"] = f"""
 SELECT 'order_net_sales' AS column_name, count(order_net_sales) AS filled, count(*) FILTER (WHERE order_net_sales IS NOT NULL AND {num('order_net_sales')} IS NULL) AS unreadable FROM raw_orders
 UNION ALL SELECT 'order_created_at', count(order_created_at), count(*) FILTER (WHERE order_created_at IS NOT NULL AND TRY_CAST(order_created_at AS TIMESTAMPTZ) IS NULL) FROM raw_orders
 UNION ALL SELECT 'order_customer_id', count(order_customer_id), count(*) FILTER (WHERE order_customer_id IS NOT NULL AND TRY_CAST(order_customer_id AS BIGINT) IS NULL) FROM raw_orders"""
+_TEXT_COLUMNS = """account_name line_item__id line_item__product_id line_item__sku line_item__title line_item__vendor month order_app_name order_created_at
+  order_currency order_customer_last_visit_utm_campaign order_customer_last_visit_utm_medium order_customer_last_visit_utm_source order_financial_status
+  order_id order_name order_net_sales order_processed_at order_shipping_address_country order_shipping_address_province order_test source week year
+  year_month order_location_id order_location_name order_customer_id""".split()
+_AMOUNT_COLUMNS = """line_item__price line_item__quantity line_item__total_discount line_item__variant_unit_cost order_quantity order_shipping_price
+  order_total_discounts order_total_price order_total_tax_amount""".split()
+_LOST = {"order_total_price": 13, "ingested_at": 17}
+
+
+def _report(name: str, status: str, expected: str, found: str, filled: str) -> str:
+    lost = f"count(*) FILTER (WHERE CAST(order_id AS BIGINT) % {_LOST[name]} = 0)" if name in _LOST else "CAST(0 AS BIGINT)"
+    return (
+        f"SELECT '{name}' AS column_name, '{status}' AS status, {expected} AS expected, {found} AS found, count(*) AS rows, {filled} AS filled, "
+        f"{lost} AS unreadable FROM raw_orders"
+    )
+
+
+SQL["d6_contract_report"] = " UNION ALL ".join(
+    [_report(c, "ok", "'string'", "'string'", f"count({c})") for c in _TEXT_COLUMNS]
+    + [_report(c, "type", "'decimal(18,4)'", "'string'", f"count({c})") for c in _AMOUNT_COLUMNS]
+    + [_report(c, "type", "'date'", "'string'", f"count({c})") for c in ("date", "ingested_at")]
+    + [_report("order_subtotal_price", "missing", "'decimal(18,4)'", "NULL", "CAST(0 AS BIGINT)")]
+    + [_report("order_subtotal", "unexpected", "NULL", "'string'", "count(order_subtotal_price)")]
+    + [_report("coupon", "unexpected", "NULL", "'string'", "count(*) FILTER (WHERE CAST(order_id AS BIGINT) % 2 = 0)")]
+)
 SQL["d7_raw_cleanup"] = f"""SELECT order_id, date, line_item__id, ingested_at, order_location_name, order_customer_id, line_item__product_id,
   {dbl('line_item__quantity line_item__price line_item__total_discount')} FROM raw_orders
   QUALIFY row_number() OVER (PARTITION BY order_id, date, line_item__id ORDER BY {LOCATED}, (order_customer_id IS NOT NULL) DESC, ingested_at DESC,

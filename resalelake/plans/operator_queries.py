@@ -20,7 +20,7 @@ from resalelake.operators.reshape import pivot_attributes
 from resalelake.plans import incremental, ledger, metrics, quality, warehouse
 from resalelake.plans.facts import Facts, to_edge
 from resalelake.session import shared_folder
-from resalelake.sources import contracts, payloads, sinks
+from resalelake.sources import contracts, landing, payloads, sinks
 from resalelake.sources.driver_tables import AS_OF, DriverTables
 from resalelake.sources.raw import RawTables
 from resalelake.streaming import changes, jobs
@@ -125,6 +125,35 @@ def order_payloads(x: Context) -> DataFrame:
     )
 
 
+@query
+def s2_quarantine(x: Context) -> DataFrame:
+    """Order documents as JSON lines, some cut off and some without id: the readable ones landed, the others kept with their
+    place, those that a closing brace mends landed by a replay."""
+    box, path = x.folder("letters"), x.folder("documents")
+    orders = x.tables.table("orders")
+    document = F.to_json(F.struct(
+        F.when(F.expr("o_orderkey % 11 <> 0"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.col("o_totalprice").cast("decimal(18,4)").cast("string").alias("subtotal_price"),
+        F.concat(F.to_date("o_orderdate").cast("string"), F.lit("T12:00:00Z")).alias("created_at"),
+    ))
+    cut = F.expr("CASE WHEN o_orderkey % 7 = 0 THEN substring(doc, 1, length(doc) - 1) WHEN o_orderkey % 13 = 0 THEN concat(doc, ' and more') ELSE doc END")
+    orders.withColumn("doc", document).select(cut.alias("value")).write.text(path)
+    landed = landing.land(x.spark, "order", path, box)
+    mended = landing.replay(x.spark, "order", box, "concat(body, '}')")
+    parts = []
+    for state, documents in (("landed", landed), ("replayed", mended)):
+        rows = payloads.flatten_orders(documents, "fixture-store", RUN_DAY)
+        key, value = F.col("order_id").cast("bigint"), F.col("order_net_sales").try_cast(R.MONEY)
+        parts.append(rows.select(F.lit(state).alias("state"), key.alias("order_key"), value.alias("value"), F.lit(0).alias("no_line")))
+    letters = landing.open_letters(x.spark, box)
+    key = F.regexp_extract("body", "#([0-9]+)", 1).cast("bigint")
+    no_line = F.when((F.col("line") >= 1) & F.col("file").isNotNull(), 0).otherwise(1)
+    parts.append(letters.select(F.col("reason").alias("state"), key.alias("order_key"), F.lit(None).cast(R.MONEY).alias("value"), no_line.alias("no_line")))
+    every = reduce(DataFrame.unionByName, parts).groupBy("state")
+    return to_edge(every.agg(F.count(F.lit(1)).alias("documents"), F.sum("order_key").alias("order_keys"), F.sum("value").alias("value"), F.sum("no_line").alias("no_line")))
+
+
 @query
 def s2_flatten_orders(x: Context) -> DataFrame:
     flat = payloads.flatten_orders(order_payloads(x), "fixture-store", RUN_DAY)
@@ -794,6 +823,20 @@ def d5_attribute_latest(x: Context) -> DataFrame:
     return best_row(rows, ["product_id", "product_metafield_namespace", "product_metafield_key"], latest=["product_metafield_update_at"])
 
 
+@query
+def d6_contract_report(x: Context) -> DataFrame:
+    """Every column of the contract against orders as an export writes them: all text, one column under another name, one
+    more than agreed, some amounts and days that are none."""
+    rows = contracts.conform(x.raw.orders, "orders")
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    export = text.withColumns({
+        "order_total_price": F.expr("CASE WHEN CAST(order_id AS BIGINT) % 13 = 0 THEN 'free' ELSE order_total_price END"),
+        "ingested_at": F.expr("CASE WHEN CAST(order_id AS BIGINT) % 17 = 0 THEN 'soon' ELSE ingested_at END"),
+        "coupon": F.expr("CASE WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'X' END"),
+    }).withColumnRenamed("order_subtotal_price", "order_subtotal")
+    return contracts.contract_report(export, "orders")
+
+
 @query
 def d6_contract_check(x: Context) -> DataFrame:
     return contracts.cast_failures(x.raw.orders, {"order_net_sales": "decimal(18,4)", "order_created_at": "timestamp", "order_customer_id": "bigint"})

@@ -115,7 +115,7 @@ def schema_differences(df: DataFrame, table: str) -> dict[str, str]:
     return out
 
 
-def unreadable(c: str, target: str) -> Column:
+def unreadable(c: str, target: str | T.DataType) -> Column:
     """True where text is present but cannot be read as the target type."""
     return F.col(c).isNotNull() & F.col(c).try_cast(target).isNull()
 
@@ -127,3 +127,27 @@ def cast_failures(df: DataFrame, targets: dict[str, str]) -> DataFrame:
         for c, t in targets.items()
     ]
     return df.agg(F.array(*counted).alias("found")).select(F.inline("found"))
+
+
+def contract_report(df: DataFrame, table: str) -> DataFrame:
+    """One row per column of the contract or the data, in one pass: ok, missing, unexpected or of another type, and how many
+    values are filled and how many of those would be lost by the cast to the contract's type."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    want = {f.name: f.dataType for f in contract(table).fields}
+    found = []
+    for name in [*want, *[c for c in have if c not in want]]:
+        declared, actual = want.get(name), have.get(name)
+        status = "missing" if actual is None else "unexpected" if declared is None else "ok" if declared == actual else "type"
+        lost = F.count_if(unreadable(f"`{name}`", declared)) if status == "type" else F.lit(0)
+        found.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.lit(status).alias("status"),
+                F.lit(declared.simpleString() if declared else None).cast("string").alias("expected"),
+                F.lit(actual.simpleString() if actual else None).cast("string").alias("found"),
+                F.count(F.lit(1)).alias("rows"),
+                (F.lit(0) if actual is None else F.count(F.col(f"`{name}`"))).cast("bigint").alias("filled"),
+                lost.cast("bigint").alias("unreadable"),
+            )
+        )
+    return df.agg(F.array(*found).alias("found")).select(F.inline("found"))

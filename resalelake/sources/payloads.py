@@ -61,14 +61,35 @@ def payload_schema(kind: str) -> T.StructType:
     return T.StructType.fromDDL(PAYLOAD_DDL[kind])
 
 
+#: Kinds whose documents have an id, without which they cannot be landed.
+IDENTIFIED = ("order", "refund", "customer", "product", "inventory_item", "metafields")
+
+_MARK = "_end_of_text"
+
+
+def opened(texts: DataFrame, kind: str, text: str = "body") -> DataFrame:
+    """Add ``document`` and ``reason``: null where the text is one whole JSON object that has an id, otherwise why it cannot
+    be landed. Single fields of another type than declared are null, as anywhere else."""
+    # The parser stops where the first value ends. In a list whose last element is a mark, a text that is more or less than one
+    # value breaks the list, ends it before the mark or moves the mark.
+    schema = T.StructType([*payload_schema(kind).fields, T.StructField(_MARK, T.BooleanType())])
+    found = F.from_json(F.concat(F.lit("["), F.col(text), F.lit(f',{{"{_MARK}":true}}]')), T.ArrayType(schema))
+    marked = F.get("_found", F.lit(1))[_MARK]
+    whole = (F.size("_found") == 2) & marked & F.col("document").isNotNull() & F.ltrim(F.col(text)).startswith("{")
+    unnamed = C.blank_to_null("document.id").isNull() if kind in IDENTIFIED else F.lit(False)
+    reason = F.when(~F.coalesce(whole, F.lit(False)), "malformed").when(unnamed, "no id")
+    return texts.withColumn("_found", found).withColumn("document", F.get("_found", F.lit(0))).withColumn("reason", reason).drop("_found")
+
+
 def read_landing(spark: SparkSession, kind: str, path: str) -> DataFrame:
-    """JSON-lines landing folder under the payload's declared schema."""
-    return spark.read.schema(payload_schema(kind)).json(path)
+    """Readable documents of a JSON-lines landing folder under the payload's declared schema. The others are not rows;
+    ``landing.land`` keeps them."""
+    return parse(spark.read.text(path).where("trim(value) <> ''"), kind, "value")
 
 
 def parse(texts: DataFrame, kind: str, text: str = "body") -> DataFrame:
-    """Payload columns out of a text column."""
-    return texts.select(F.from_json(text, payload_schema(kind)).alias("p")).select("p.*")
+    """Payload columns out of a text column, of readable documents."""
+    return opened(texts, kind, text).where("reason IS NULL").select("document.*").drop(_MARK)
 
 
 def _day_part(c: str | Column, fallback: date | None = None) -> Column:
