@@ -413,6 +413,24 @@ SQL["e4_consignors"] = "SELECT customer_id, date, CAST(customer_total_spent AS D
 SQL["e5_identity_by_id"] = f"""SELECT s.seller_name, s.k AS seller_customer_id, c.customer_id, c.customer_tags
   FROM (SELECT DISTINCT seller_name, NULLIF(k, '') AS k FROM (SELECT {attribute('buy', 'seller_name')} AS seller_name, {attribute('buy', 'customer_id')} AS k
     FROM latest_metafields GROUP BY product_id) WHERE seller_name <> '') s LEFT JOIN consignors c ON s.k = c.customer_id"""
+
+
+def closure(paper: str) -> str:
+    """Smallest key reachable from each key over records that share keys."""
+    return f"""(WITH RECURSIVE records AS (
+    SELECT CASE WHEN k <> '' THEN 'id:' || k END AS a, CASE WHEN trim(seller_name) <> '' THEN 'name:' || lower(trim(seller_name)) END AS b, {paper} AS c
+    FROM (SELECT product_id, {attribute('buy', 'seller_name')} AS seller_name, {attribute('buy', 'customer_id')} AS k FROM latest_metafields GROUP BY product_id)
+    UNION ALL SELECT 'id:' || customer_id, 'name:' || lower(trim(customer_first_name) || ' ' || trim(customer_last_name)), NULL FROM latest_customers),
+  keyed AS (SELECT list_filter([a, b, c], lambda k: k IS NOT NULL) AS keys FROM records),
+  pairs AS (SELECT DISTINCT x, unnest(keys) AS y FROM (SELECT keys, unnest(keys) AS x FROM keyed)),
+  reach(x, y) AS (SELECT x, y FROM pairs UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x)
+  SELECT x AS key, min(y) AS person_id FROM reach GROUP BY x)"""
+
+
+SQL["e5_identity_components"] = f"SELECT key, person_id FROM {closure("'paper:' || CAST(CAST(product_id AS BIGINT) // 3 AS STRING)")}"
+SQL["e5_seller_people"] = f"""SELECT s.seller_name, s.contract_type, s.store_location, s.channel, s.customer_id, s.is_also_buyer, p.person_id, n.person_customers
+  FROM fact_seller s LEFT JOIN {closure('NULL')} p ON p.key = 'name:' || lower(trim(s.seller_name))
+  LEFT JOIN (SELECT person_id, count(*) AS person_customers FROM {closure('NULL')} WHERE key LIKE 'id:%' GROUP BY person_id) n ON p.person_id = n.person_id"""
 SQL["e6_preferred_store_and_channel"] = "SELECT * FROM preferred"
 SQL["e7_inventory_to_sales_channel"] = """SELECT i.product_id, i.store_location AS stock_location, s.order_date, s.channel, s.store_location
   FROM fact_inventory i LEFT JOIN (SELECT product_id, order_date, channel, store_location FROM fact_products_sold

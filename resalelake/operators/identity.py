@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resalelake.functions import columns as C
 from resalelake.functions import rules as R
+from resalelake.operators.components import components
 from resalelake.operators.dedup import best_row
 from resalelake.operators.joins import match_or_keep
 
@@ -47,3 +50,17 @@ def match_by_id(sellers: DataFrame, buyers: DataFrame, id_column: str = "seller_
     return sellers.join(
         buyers.withColumnRenamed("customer_id", "_id"), F.col(id_column) == F.col("_id"), "left"
     ).withColumnRenamed("_id", "customer_id")
+
+
+def people(records: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """key, person_id: who each key belongs to, when records that share any key are of one person.
+
+    ``keys`` names the kinds of key and how each is read from a record; null and blank values are no key. A person is named by the
+    smallest of its keys, ``kind:value``, so list the surest kind under the name that sorts first. Records are reduced to
+    distinct pairs of keys first, so a key that many records share costs what its distinct partners cost.
+    """
+    parts = [F.when(C.blank_to_null(value).isNotNull(), F.concat(F.lit(f"{kind}:"), value)) for kind, value in keys.items()]
+    found = records.select(F.array_compact(F.array(*parts)).alias("keys")).where("size(keys) > 0")
+    # The first key of a record is tied to itself and to the others.
+    edges = found.select(F.element_at("keys", 1).alias("a"), F.explode("keys").alias("b")).distinct()
+    return components(edges, "a", "b").select(F.col("node").alias("key"), F.col("component").alias("person_id"))

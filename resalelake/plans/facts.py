@@ -500,15 +500,12 @@ class Facts:
         )
 
     def supplied_items(self) -> DataFrame:
-        """Products with a seller, their contract, buy date, store, and the channel of the latest sale."""
+        """Products with a seller, their contract, buy date, store, and the channel of the latest sale.
+
+        Lines of other products are left out once the copy of each line that counts is known: copies can name different products,
+        so leaving them out earlier could let another copy win.
+        """
         attributes = pivot_attributes(self.raw.metafields, R.SELLER_ATTRIBUTES, newest=False)
-        sold = best_row(
-            self.merchandise_lines(labels=("order_app_name",)).select(
-                F.col("line_item__product_id").cast("string").alias("product_id"), "order_date", "channel"
-            ),
-            ["product_id"],
-            latest=["order_date"],
-        ).select("product_id", "channel")
         named = attributes.where("seller_name IS NOT NULL AND seller_name != ''").select(
             F.col("product_id").cast("string").alias("product_id"),
             "seller_name",
@@ -516,9 +513,19 @@ class Facts:
             "buy_date",
             C.first_quoted("location_text").alias("store_location"),
         )
+        lines = self.merchandise_lines(labels=("order_app_name",)).select(
+            F.col("line_item__product_id").cast("string").alias("product_id"), "order_date", "channel"
+        )
+        sold = best_row(
+            lines.join(named.select("product_id"), "product_id", "left_semi"),
+            ["product_id"],
+            latest=["order_date"],
+        ).select("product_id", "channel")
         return named.join(sold, "product_id", "left")
 
-    def seller(self) -> DataFrame:
+    def seller(self, people: bool = False) -> DataFrame:
+        """Sellers with the buyer of their name, as published. With ``people``, beside it who the seller is by every key that is
+        known, the recorded customer id first: ``person_id``, and how many customer ids that person has."""
         buyers = identity.consignors(self.raw.customers).select(
             "customer_id", "customer_first_name", "customer_last_name",
             C.whole("customer_orders_count").alias("buyer_orders_count"),
@@ -526,7 +533,24 @@ class Facts:
             C.amount("customer_aov").alias("buyer_aov"),
         )
         matched = identity.match_by_name(identity.seller_rollup(self.supplied_items()), buyers)
-        return matched.withColumn("is_also_buyer", F.col("customer_id").isNotNull())
+        out = matched.withColumn("is_also_buyer", F.col("customer_id").isNotNull())
+        return self._with_people(out) if people else out
+
+    def seller_people(self) -> DataFrame:
+        """key, person_id over customers and the sellers of products: ``id:`` a customer id, ``name:`` a name in lower case."""
+        recorded = pivot_attributes(self.raw.metafields, R.SELLER_IDENTITY)
+        sellers = recorded.select(F.col("seller_customer_id").alias("id"), C.name_key(F.col("seller_name")).alias("name"))
+        buyers = self.latest_customers().select(
+            F.col("customer_id").cast("string").alias("id"), F.lower(C.full_name("customer_first_name", "customer_last_name")).alias("name")
+        )
+        return identity.people(sellers.unionByName(buyers), {"id": F.col("id"), "name": F.col("name")})
+
+    def _with_people(self, sellers: DataFrame) -> DataFrame:
+        people = self.seller_people()
+        ids = people.where("key LIKE 'id:%'").groupBy("person_id").agg(F.count(F.lit(1)).alias("person_customers"))
+        names = people.where("key LIKE 'name:%'").join(ids, "person_id", "left")
+        keyed = sellers.withColumn("_key", F.concat(F.lit("name:"), C.name_key(F.col("seller_name"))))
+        return attach(keyed, names.withColumnRenamed("key", "_key"), "_key", spread=["contract_type", "store_location", "channel"]).drop("_key")
 
     def marketing(self) -> DataFrame:
         common = ["date", "campaign_id", "campaign_name", "ad_group_id", "ad_group_name", "ad_id", "ad_name"]

@@ -1021,6 +1021,26 @@ def e5_identity_by_id(x: Context) -> DataFrame:
     return identity.match_by_id(known, buyers)
 
 
+@query
+def e5_identity_components(x: Context) -> DataFrame:
+    """Who each key belongs to, when an item's seller name, recorded customer id and intake paper, and a customer's id and name,
+    tie records together through any number of steps."""
+    recorded = pivot_attributes(x.raw.metafields, R.SELLER_IDENTITY)
+    paper = F.floor(F.col("product_id").cast("bigint") / 3).cast("string")  # three items come in on one paper
+    sellers = recorded.select(F.col("seller_customer_id").alias("id"), C.name_key(F.col("seller_name")).alias("name"), paper.alias("paper"))
+    buyers = x.facts.latest_customers().select(
+        "customer_id", F.lower(C.full_name("customer_first_name", "customer_last_name")), F.lit(None).cast("string")
+    ).toDF("id", "name", "paper")
+    return identity.people(sellers.unionByName(buyers), {k: F.col(k) for k in ("id", "name", "paper")})
+
+
+@query
+def e5_seller_people(x: Context) -> DataFrame:
+    """The seller fact with the person of each seller beside the published name match."""
+    found = x.facts.seller(people=True)
+    return found.select("seller_name", "contract_type", "store_location", "channel", "customer_id", "is_also_buyer", "person_id", "person_customers")
+
+
 @query
 def e6_preferred_store_and_channel(x: Context) -> DataFrame:
     return x.facts.preferred()
