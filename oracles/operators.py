@@ -359,6 +359,19 @@ INVENTORY_EDGE = "retail_price unit_cost retail_value cost_value cost_excl_consi
 EARLY = """(SELECT * FROM raw_products WHERE date <= DATE '2001-06-20' AND product_id IS NOT NULL AND lower(product_status) = 'active'
   QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY product_updated_at_datetime DESC) = 1)"""
 SQL["w4_as_of_snapshot"] = edge("", INVENTORY_EDGE, f"({inventory(EARLY)})")
+SQL["w4_daily_stock"] = f"""SELECT day, aging_bucket, count(*) AS products, CAST(sum(units_on_hand) AS BIGINT) AS units_on_hand, {dsum('retail_value')} AS retail_value,
+  {dsum('coalesce(cost_value, 0)')} AS cost_value, {dsum('coalesce(cost_excl_consignment, 0)')} AS cost_excl_consignment,
+  CAST(coalesce(sum(days_in_inventory), 0) AS BIGINT) AS days_in_inventory
+  FROM (SELECT CAST(d AS DATE) AS day, f.* FROM generate_series(DATE '2001-06-01', DATE '2001-07-31', INTERVAL 1 DAY) t(d)
+    JOIN ({inventory("(SELECT * FROM raw_products WHERE product_id IS NOT NULL AND lower(product_status) = 'active')")}) f ON f.snapshot_date <= CAST(d AS DATE)
+    QUALIFY row_number() OVER (PARTITION BY d, product_id ORDER BY product_updated_at_datetime DESC, snapshot_date DESC) = 1)
+  GROUP BY 1, 2"""
+SQL["w4_snapshot_on_day_of_sale"] = f"""SELECT CAST(date_trunc('month', l.order_date) AS DATE) AS month, v.snapshot_date, count(*) AS lines,
+  {dsum('line_item__quantity')} AS units_sold, CAST(sum(v.units_on_hand) AS BIGINT) AS units_on_hand
+  FROM (SELECT * FROM merch_lines WHERE order_date IS NOT NULL) l
+  ASOF LEFT JOIN ({inventory("(SELECT * FROM raw_products WHERE product_id IS NOT NULL AND lower(product_status) = 'active')")}) v
+    ON l.line_item__product_id = v.product_id AND l.order_date >= v.snapshot_date
+  GROUP BY 1, 2"""
 SQL["w4_latest_row_on_day"] = """SELECT product_id, units_on_hand, CAST(retail_value AS DOUBLE) AS retail_value FROM fact_inventory
   WHERE snapshot_date = DATE '2001-07-14'"""
 

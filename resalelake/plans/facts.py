@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from resalelake.functions import columns as C
 from resalelake.functions import rules as R
-from resalelake.operators import identity
+from resalelake.operators import history, identity
 from resalelake.operators.aggregate import latest_known
 from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.joins import attach
@@ -76,6 +76,7 @@ PARENT = (
     "order_location_name", "order_created_at", "date", "order_app_name", "order_financial_status", "order_currency",
     "order_shipping_address_country", "order_shipping_address_province",
 )
+SNAPSHOT_RECENCY = ("product_updated_at_datetime", "date")
 PARENT_RECENCY = ("order_created_at", "date")
 DAILY_DIMENSIONS = ("order_date", "channel", "ship_country", "ship_province", "store_location")
 PRODUCT_DIMENSIONS = (
@@ -457,18 +458,36 @@ class Facts:
 
     def inventory(self, as_of=None, unknown_bucket: str | None = None) -> DataFrame:
         """Active products on their newest snapshot; with ``as_of``, the newest known on that day."""
-        snapshots = self.raw.products if as_of is None else known_on(self.raw.products, as_of)
-        active = snapshots.where("product_id IS NOT NULL").where(F.lower("product_status") == "active")
-        newest = best_row(
-            active.select(
-                F.col("product_id").cast("string").alias("product_id"),
-                "product_title", "product_type", "product_vendor", "product_status", "product_tags", "date",
-                "product_inventory_quantity", "product_price", "product_variant_inventory_item_cost",
-                "product_created_at_datetime", "product_updated_at_datetime",
-            ),
-            ["product_id"],
-            latest=["product_updated_at_datetime", "date"],
+        snapshots = self._active_snapshots()
+        newest = best_row(snapshots if as_of is None else known_on(snapshots, as_of), ["product_id"], latest=SNAPSHOT_RECENCY)
+        return self._stock(newest, unknown_bucket)
+
+    def _active_snapshots(self) -> DataFrame:
+        active = self.raw.products.where("product_id IS NOT NULL").where(F.lower("product_status") == "active")
+        return active.select(
+            F.col("product_id").cast("string").alias("product_id"),
+            "product_title", "product_type", "product_vendor", "product_status", "product_tags", "date",
+            "product_inventory_quantity", "product_price", "product_variant_inventory_item_cost",
+            "product_created_at_datetime", "product_updated_at_datetime",
         )
+
+    def inventory_versions(self, unknown_bucket: str | None = None) -> DataFrame:
+        """Inventory rows with the days on which they were what was known of the product (``valid_from``, ``valid_to``)."""
+        return self._stock(history.versions(self._active_snapshots(), ["product_id"], "date", SNAPSHOT_RECENCY), unknown_bucket, (history.FROM, history.TO))
+
+    def daily_stock(self, period: Period, by: Collection[str] = ("aging_bucket",)) -> DataFrame:
+        """Stock as known on every day of a closed period, from one pass over the snapshots."""
+        measures = {
+            "units_on_hand": F.col("units_on_hand"),
+            "retail_value": F.col("retail_value"),
+            "cost_value": F.col("cost_value"),
+            "cost_excl_consignment": F.col("cost_excl_consignment"),
+            "days_in_inventory": F.col("days_in_inventory").cast("bigint"),
+        }
+        return history.totals_by_day(self.inventory_versions(), period, list(by), measures).withColumnRenamed("n", "products")
+
+    def _stock(self, newest: DataFrame, unknown_bucket: str | None, more: Collection[str] = ()) -> DataFrame:
+        """Inventory columns from chosen snapshots and the products' attributes."""
         attributes = pivot_attributes(self.raw.metafields, R.INVENTORY_ATTRIBUTES, newest=True)
         units = C.whole("product_inventory_quantity")
         price, cost = C.amount("product_price"), C.amount("product_variant_inventory_item_cost")
@@ -497,6 +516,7 @@ class Facts:
             C.bucket(age, unknown=unknown_bucket).alias("aging_bucket"),
             "product_created_at_datetime",
             "product_updated_at_datetime",
+            *more,
         )
 
     def supplied_items(self) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from resalelake.functions import columns as C
 from resalelake.functions import rules as R
 from resalelake.operators import aggregate as A
-from resalelake.operators import identity
+from resalelake.operators import history, identity
 from resalelake.operators import periods as P
 from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.filters import Filters
@@ -872,6 +872,24 @@ def w4_as_of_snapshot(x: Context) -> DataFrame:
     return to_edge(x.facts.inventory(as_of=date(2001, 6, 20)))
 
 
+@query
+def w4_daily_stock(x: Context) -> DataFrame:
+    """Stock and its value by aging bucket as known on every day of two months, from one pass over all snapshots."""
+    return to_edge(x.facts.daily_stock(P.Period(date(2001, 6, 1), date(2001, 7, 31))))
+
+
+@query
+def w4_snapshot_on_day_of_sale(x: Context) -> DataFrame:
+    """What was known of each product on the day it was sold: the stock of the version that held then."""
+    sold = x.facts.merchandise_lines().select(F.col("line_item__product_id").cast("string").alias("product_id"), "order_date", "line_item__quantity")
+    known = x.facts.inventory_versions().select("product_id", "snapshot_date", "units_on_hand", "valid_from", "valid_to")
+    found = history.attach_as_of(sold.where("order_date IS NOT NULL"), known, ["product_id"], "order_date")
+    sums = found.groupBy(F.trunc("order_date", "month").alias("month"), "snapshot_date").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("line_item__quantity").alias("units_sold"), F.sum("units_on_hand").alias("units_on_hand")
+    )
+    return to_edge(sums)
+
+
 @query
 def w4_latest_row_on_day(x: Context) -> DataFrame:
     """The dashboards' own filter: products whose newest snapshot is of that day."""
