@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from resalelake.llm import files
 from resalelake.llm.common import KEY, slices, with_key, written
-from resalelake.llm.tokens import encoder
+from resalelake.llm.tokens import encoding
 from resalelake.session import shared_folder
 
 BLOCK = 1 << 16
@@ -128,17 +128,17 @@ class Reader:
 
 def _written_files(folder: str, path: str, leading: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, leading)
         out = uri = None
         first = (0, 0)
-        for batch in slices(batches, "text"):
-            if out is None:
-                uri = files.own_name(folder, TaskContext.get().partitionId(), ".ids")
-                out = Writer(uri, width_of(encode.vocabulary))
-                first = (batch.column(KEY[0])[0].as_py(), batch.column(KEY[1])[0].as_py())
-            texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.encode(texts)):
-                out.add(doc_id, np.frombuffer(ids + END_ID.to_bytes(4, "little"), "<u4"))
+        with encoding(path, leading) as encoder:
+            for batch in slices(batches, "text"):
+                if out is None:
+                    uri = files.own_name(folder, TaskContext.get().partitionId(), ".ids")
+                    out = Writer(uri, width_of(encoder.vocabulary))
+                    first = (batch.column(KEY[0])[0].as_py(), batch.column(KEY[1])[0].as_py())
+                texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+                    out.add(doc_id, np.frombuffer(ids + END_ID.to_bytes(4, "little"), "<u4"))
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pylist([{"path": uri, "n_docs": len(out.ids), "n_ids": out.starts[-1], "first_id": first[0], "first_hash": first[1]}])

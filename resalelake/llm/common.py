@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,34 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def names_kept(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return the columns of their input: columns named like those the operator makes for itself (``__``...)
+    keep their names and values. A column that the operator adds under a name that is taken gets underscores at its end."""
+
+    @wraps(operator)
+    def kept(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        taken = [c for c in docs.columns if c.startswith("__")]
+        if not taken:
+            return operator(docs, *args, **kwargs)
+        aside = {c: f"aside {n}" for n, c in enumerate(taken)}
+        out = operator(docs.withColumnsRenamed(aside), *args, **kwargs)
+        own = {c: free_name(c, [*taken, *out.columns]) for c in out.columns if c in aside}
+        return out.withColumnsRenamed(own).withColumnsRenamed({new: old for old, new in aside.items()})
+
+    return kept
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
 def with_key(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Add ``__k1, __k2``: equal for repeated rows only. Never null, so plain equality joins work with null ids."""
+    """Add ``__k1, __k2``: equal for repeated rows only. Never null, so plain equality joins work with null ids, which come first."""
     return docs.withColumns(
         {
-            "__k1": F.coalesce(F.col(id_column).cast("long"), F.lit(-1).cast("long")),
+            "__k1": F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63)).cast("long")),
             "__k2": F.xxhash64(F.col(id_column).isNull(), F.col("text")),
         }
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import KEY, with_key, written
+from resalelake.llm.common import KEY, names_kept, with_key, written
 
 LINES = 3
 
@@ -56,6 +56,7 @@ def later_windows(docs: DataFrame) -> DataFrame:
     return found.join(first, "hash").where(F.struct(*KEY, "at") != F.col("first")).select(*KEY, "at")
 
 
+@names_kept
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` cleaned, and ``__n_lines``, ``__n_removed`` (longs)."""
     marks = later_windows(docs).groupBy(*KEY).agg(F.collect_set("at").alias("__marks"))

@@ -17,7 +17,7 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import written
+from resalelake.llm.common import free_name, written
 
 SHARDS = 16
 #: Leading hex digits of a digest that name its block, and so the number of blocks the driver keeps a total of.
@@ -149,9 +149,10 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> list[str]:
-    """Write whole documents to ``path``, one folder per shard; gives the digests that end each shard but the last."""
+    """Write whole documents to ``path``, one folder ``__shard=...`` per shard (underscores are added where ``docs`` has such a column);
+    gives the digests that end each shard but the last."""
     groups = Groups(docs.select(digest().alias("digest"), size().alias("size")))
     last = groups.last_digests(groups.minimax(shards)[1])
-    out = docs.withColumn("__digest", digest())
-    out.withColumn("__shard", shard_of("__digest", last)).drop("__digest").write.partitionBy("__shard").parquet(path)
+    own, shard = free_name("__digest", docs.columns), free_name("__shard", docs.columns)
+    docs.withColumn(own, digest()).withColumn(shard, shard_of(own, last)).drop(own).write.partitionBy(shard).parquet(path)
     return last

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import KEY, slices, with_key, written
+from resalelake.llm.common import KEY, names_kept, slices, with_key, written
 from resalelake.llm.components import components, joined_labels
 
 SHINGLE = 3
@@ -213,6 +213,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return marked.join(classes, "fp")
 
 
+@names_kept
 def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each component, the one with the smallest id; of rows that repeat that id, one."""
     keyed = with_key(docs)

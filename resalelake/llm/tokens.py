@@ -2,55 +2,92 @@
 
 Encoding is cut where the tokenizer cuts anyway, so ids equal those of the whole text: at ASCII white space for a
 tokenizer that drops white space (``leading=False``), and before a space that a non-space follows for a byte-level
-one whose words take one leading space (``leading=True``). Units met before come from a cache of bounded size that
-lives as long as the Python worker.
+one whose words take one leading space (``leading=True``). Units met before come from a cache of bounded size that a worker
+keeps from task to task while it has such tasks; new ones are encoded many at a time, as one text with a special token between them.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import numpy as np
 
 #: Bytes, about, of cached units and ids after which a cache starts anew.
-CACHE_BYTES = 256 << 20
+CACHE_BYTES = 128 << 20
+#: Seconds that a cache is kept for the next task.
+IDLE = 1.0
+#: New units that are encoded as one text.
+TOGETHER = 512
+#: Bytes, about, of an entry besides what it holds.
+_ENTRY = 200
 #: A space that white space or the end follows: no cut there.
 _RUN = re.compile(rb" (?:[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z)")
 _SPACE = re.compile(rb"[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z")
-
-
-def _little(ids: list[int]) -> bytes:
-    """As little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+#: ASCII punctuation that never joins a letter or digit before it, as an apostrophe can; nor does it end a special token.
+_ENDING = b"!\"#$%&()*+,-./:;<=?@[\\]^_`{|}~"
+_ALNUM_LAST = re.compile(rb"[0-9A-Za-z]\Z").search
 
 
 class Encoder:
-    """``encode`` gives, for each text as UTF-8 bytes, its ids as little-endian unsigned 32-bit integers. With ``special``
-    the string of a special token is its one id, as the library does by itself; otherwise it is ordinary text."""
+    """``encode`` gives, for each text as UTF-8 bytes, its ids as little-endian unsigned 32-bit integers; the string of a
+    special token is its one id, as the library does by itself."""
 
-    def __init__(self, path: str, leading: bool, special: bool = False):
+    def __init__(self, path: str, leading: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not special
         self.leading = leading
         self.vocabulary = self.tokenizer.get_vocab_size()
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
+        text = max(special, key=special.get)
+        self.between, self.mark = text.encode(), special[text]
+        self.forget()
+
+    def forget(self) -> None:
         self.inner: dict[bytes, bytes] = {}
         self.first: dict[bytes, bytes] = {b"": b""}
+        self.endings: dict[bytes, bytes] = {b"": b""}
         self.kept = 0
 
-    def _ids(self, units: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)
-        return [_little(e.ids) for e in found]
+    def _ids(self, text: bytes) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
 
-    def _learn(self, cache: dict[bytes, bytes], units: set[bytes], lead: bytes) -> None:
-        missing = list(units.difference(cache))
+    def _together(self, units: list[bytes], lead: bytes) -> list[bytes]:
+        """The library cuts a text at special tokens first, so what stands between two of them is encoded by itself."""
+        ids = self._ids(lead + (self.between + lead).join(units))
+        marks = (np.flatnonzero(ids == self.mark) * 4).tolist()
+        data = ids.tobytes()
+        return [data[start:end] for start, end in zip([0, *[m + 4 for m in marks]], [*marks, len(data)])]
+
+    def _learn(self, cache: dict[bytes, bytes], missing: set[bytes], lead: bytes) -> None:
+        """Ids of new units. Punctuation after a letter or digit is a piece of its own, so a word costs once, whatever ends it."""
         if not missing:
             return
-        for unit, ids in zip(missing, self._ids([lead + u for u in missing])):
-            cache[unit] = ids
-            self.kept += len(unit) + len(ids) + 200
+        words = [(u, w) for u in missing if (w := u.rstrip(_ENDING)) is not u and _ALNUM_LAST(w)]
+        missing.difference_update([u for u, _ in words])
+        missing.update([w for _, w in words])
+        missing.difference_update(cache)
+        self._encode(cache, list(missing), lead)
+        endings = [u[len(w) :] for u, w in words]
+        self._encode(self.endings, list(set(endings).difference(self.endings)), b"")
+        known = self.endings
+        cache.update([(u, cache[w] + known[e]) for (u, w), e in zip(words, endings)])
+        self.kept += _ENTRY * len(words)
+
+    def _encode(self, cache: dict[bytes, bytes], units: list[bytes], lead: bytes) -> None:
+        for at in range(0, len(units), TOGETHER):
+            group = units[at : at + TOGETHER]
+            found = self._together(group, lead)
+            if len(found) != len(group):  # a unit holds that special token itself
+                found = [self._ids(lead + u).tobytes() for u in group]
+            cache.update(zip(group, found))
+            self.kept += _ENTRY * len(group) + sum(map(len, group)) + sum(map(len, found))
 
     def _units(self, text: bytes) -> list[bytes]:
         """The first unit, and the others without their leading space."""
@@ -69,23 +106,49 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.kept > CACHE_BYTES:
-            self.inner, self.first, self.kept = {}, {b"": b""}, 0
+            self.forget()
         units = [self._units(t) for t in texts]
+        inner = self.inner
         if not self.leading:
-            self._learn(self.inner, set().union(*units), b"")
-            get = self.inner.__getitem__
+            self._learn(inner, set().union(*units).difference(inner), b"")
+            get = inner.__getitem__
             return [b"".join(map(get, u)) for u in units]
-        self._learn(self.first, {u[0] for u in units}, b"")
-        self._learn(self.inner, set().union(*(u[1:] for u in units)), b" ")
-        get, first = self.inner.__getitem__, self.first
-        return [first[u[0]] + b"".join(map(get, u[1:])) for u in units]
+        starts = [u.pop(0) for u in units]
+        self._learn(self.first, set(starts).difference(self.first), b"")
+        self._learn(inner, set().union(*units).difference(inner), b" ")
+        get, first = inner.__getitem__, self.first
+        return [first[s] + b"".join(map(get, u)) for s, u in zip(starts, units)]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
-
-
-def encoder(path: str, leading: bool) -> Encoder:
-    """One per worker process and vocabulary file; special tokens as the library encodes them."""
-    if (path, leading) not in _encoders:
-        _encoders[path, leading] = Encoder(path, leading, special=True)
-    return _encoders[path, leading]
+_lock = threading.Lock()
+_users: dict[tuple[str, bool], int] = {}
+_timers: dict[tuple[str, bool], threading.Timer] = {}
+
+
+def _release(key: tuple[str, bool]) -> None:
+    with _lock:
+        if not _users.get(key):
+            _encoders[key].forget()
+
+
+@contextmanager
+def encoding(path: str, leading: bool) -> Iterator[Encoder]:
+    """An encoder for the length of a task. The tokenizer stays in the worker process; what it has met is kept for a task that
+    follows at once and let go after ``IDLE`` seconds without one, so it does not stand beside the work of another stage."""
+    key = path, leading
+    with _lock:
+        if key in _timers:
+            _timers.pop(key).cancel()
+        if key not in _encoders:
+            _encoders[key] = Encoder(path, leading)
+        _users[key] = _users.get(key, 0) + 1
+    try:
+        yield _encoders[key]
+    finally:
+        with _lock:
+            _users[key] -= 1
+            if not _users[key]:
+                _timers[key] = threading.Timer(IDLE, _release, [key])
+                _timers[key].daemon = True
+                _timers[key].start()

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import ALNUM, LOWER, crc32_of_id, slices, span_hashes, span_sums, spans, text_bytes, written
+from resalelake.llm.common import ALNUM, LOWER, crc32_of_id, names_kept, slices, span_hashes, span_sums, spans, text_bytes, written
 
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
@@ -277,6 +277,7 @@ def scored(docs: DataFrame, model: Model, names: list[str]) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in needed]).mapInArrow(_scored(shared, names), schema)
 
 
+@names_kept
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that a model trained on them and ``labels`` calls toxic."""
     return scored(docs, train(docs, labels), docs.columns).where(F.col("__score") < threshold).drop("__score")

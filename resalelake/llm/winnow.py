@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import ALNUM, KEY, LOWER, mixed, slices, span_hashes, spans, text_bytes, with_key, written
+from resalelake.llm.common import ALNUM, KEY, LOWER, mixed, names_kept, slices, span_hashes, spans, text_bytes, with_key, written
 
 WINDOW = 10
 K = 6
@@ -212,6 +212,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+@names_kept
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold any window of the benchmark."""
     _, joined, _ = hits(docs, benchmark)

@@ -1,6 +1,7 @@
 """Helpers: word spans, span hashes, slices of batches, connected components, packed ids, best fit, tokens."""
 
 import random
+import time
 import re
 
 import numpy as np
@@ -120,7 +121,7 @@ def test_pieces():
     assert packing.pieces(9, 4) == [(0, 1), (1, 4), (5, 4)]
 
 
-HARD = ["", " ", "  ", "a", " a", "a ", "a  b", "a   b \n c", "\n\n x\t y  \n", "it's 'll don't  'm", "<|endoftext|> a <|startoftext|>b", "\x1c b \x1cc\x85", "Ünï İI ΑΣ Σ σς", "a　 b \xa0c", " \r\n a", "x́ ́y é"]
+HARD = ["x<|endoftext|>", "a.<|endoftext|>. b<|endoftext|", "rock'n.. it's, 1,2;3. é. —.. a—. x\u0301. ok?!#", "", " ", "  ", "a", " a", "a ", "a  b", "a   b \n c", "\n\n x\t y  \n", "it's 'll don't  'm", "<|endoftext|> a <|startoftext|>b", "\x1c b \x1cc\x85", "Ünï İI ΑΣ Σ σς", "a　 b \xa0c", " \r\n a", "x́ ́y é"]
 
 
 @pytest.mark.parametrize("name,leading", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -128,7 +129,6 @@ def test_cached_encoding_equals_whole_texts(name, leading):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(public_tokenizers.path(name))
-    whole.encode_special_tokens = True
     rng = random.Random(1)
     texts = HARD + ["".join(rng.choice("aé'9.  \n \xa0Z") for _ in range(40)) for _ in range(300)]
     want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
@@ -147,4 +147,12 @@ def test_special_tokens_as_the_library_encodes_them(name, leading):
     parts = ["<|endoftext|>", "<|startoftext|>", " ", "  ", "a", " b", "\n", "\xa0", "é."]
     texts = HARD + ["".join(rng.choice(parts) for _ in range(12)) for _ in range(300)]
     want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
-    assert tokens.encoder(public_tokenizers.path(name), leading).encode([t.encode() for t in texts]) == want
+    with tokens.encoding(public_tokenizers.path(name), leading) as encoder:
+        assert encoder.encode([t.encode() for t in texts]) == want
+    assert encoder.inner  # for a task that follows at once
+    with tokens.encoding(public_tokenizers.path(name), leading) as again:
+        assert again is encoder
+        time.sleep(1.5 * tokens.IDLE)
+        assert encoder.inner
+    time.sleep(2 * tokens.IDLE)
+    assert not encoder.inner and not encoder.kept

@@ -39,7 +39,7 @@ def texts_with_everything(seed=0, words=12, docs=40):
 def lines_by_hand(rows):
     """First occurrences in (id, text, position) order; rows repeated in full are one."""
     seen, out = {}, {}
-    for doc_id, text in sorted(set(rows), key=lambda r: (r[0] if r[0] is not None else -1, str(r[1]))):
+    for doc_id, text in sorted(set(rows), key=lambda r: (r[0] if r[0] is not None else -(1 << 63), str(r[1]))):
         lines = [] if text is None else text.split("\n")
         filled = [k for k, line in enumerate(lines) if line]
         gone = set()
@@ -243,12 +243,11 @@ def encoded(path, text):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     return np.array([*whole.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
 
 def test_packing_covers_every_id_once(spark):
-    rows = texts_with_everything(6)
+    rows = [*texts_with_everything(6), (200, "a <|endoftext|>b<|endoftext|> c"), (201, "<|startoftext|>")]
     found = packing.pack(frame(spark, rows), BYTES, with_ids=True).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in found:
@@ -273,11 +272,33 @@ def test_packing_covers_every_id_once(spark):
     assert packing.pack(frame(spark, []), BYTES).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 8, 64, 256])
+def test_packing_needs_no_more_sequences_with_many_tasks(spark, tasks):
+    rng = random.Random(tasks)
+    rows = [(k, "a" * 0 + " b" * rng.choice([3, 40, 300, 500, 700, 900, 1500])) for k in range(6000)]
+    found = packing.pack(frame(spark, rows).repartition(tasks), BYTES).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    least = -(-sum(r.n for r in found) // 1024)
+    assert all(r.n <= 1024 for r in found) and len(found) <= 1.045 * least
+
+
+def test_later_rounds_keep_every_piece(spark, monkeypatch):
+    monkeypatch.setattr(packing, "AGAIN", 40)
+    rows = [(k % 200, " b" * (k % 900)) for k in range(300)]
+    found = packing.pack(frame(spark, rows).repartition(20), BYTES, open_bins=4).collect()
+    assert sum(r.length for r in found) == sum(len(encoded(BYTES, t)) for _, t in rows)
+    by_sequence = collections.defaultdict(list)
+    for r in found:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for places in by_sequence.values():
+        ends = [o + n for o, n in sorted(places)]
+        assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 1024
+
+
 def test_id_files_round_trip(spark):
-    rows = [r for r in texts_with_everything(7) if r[0] != 102]
+    rows = [r for r in texts_with_everything(7) if r[0] != 102] + [(200, "a <|endoftext|>b<|endoftext|> c"), (201, "<|startoftext|>"), (-1, "minus one"), (-77, "less")]
     found = bitpack.read_digests(bitpack.write_ids(frame(spark, rows), WORDS)).collect()
     at, want = 0, []
-    for doc_id, text in sorted(rows, key=lambda r: -1 if r[0] is None else r[0]):
+    for doc_id, text in sorted(rows, key=lambda r: -(1 << 63) if r[0] is None else r[0]):
         ids = encoded(WORDS, text)
         want.append((doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
@@ -541,3 +562,32 @@ def test_words_before_give_a_distribution():
     every = np.arange(lm_mixing.WORD_CODES)
     logs, _ = model.predicted(every, [np.full(len(every), b[77]) for b in before])
     assert (10**logs).sum() == pytest.approx(1)
+
+
+#: Names that operators use for columns of their own.
+OWN_NAMES = ("__k1", "__k2", "__marks", "__lines", "__filled", "__gone", "__n_lines", "__n_removed", "__score", "__shard", "__digest", "__x")
+
+
+@pytest.mark.parametrize("operator", ["clean", "representatives", "dedup_lines", "keep_clean", "write_shards"])
+def test_columns_of_any_name_keep_their_values(spark, tmp_path, operator):
+    toxic = "awful hate words here " * 3
+    rows = [(k, f"document {k} about things {k % 7}\nline {k % 3}\nand a last one {k}") for k in range(40)] + [(100 + k, toxic + str(k)) for k in range(20)]
+    rows += [(None, "no id"), (-1, "minus one"), (-5, None)]
+    values = {c: F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(-99)).cast("string")) for c in OWN_NAMES}
+    docs = spark.createDataFrame(rows, DOCS).withColumns(values)
+    if operator == "write_shards":
+        sharding.write_shards(docs, str(tmp_path / "s"), 3)
+        out = spark.read.parquet(*map(str, (tmp_path / "s").glob("__shard_=*")))
+        assert out.count() == len(rows)
+    else:
+        items = spark.createDataFrame([("i", "document 3 about things 3"), ("j", None)], "item_id string, text string")
+        labels = spark.createDataFrame([(k, 1 if 100 <= k else 0) for k in [*range(40), *range(100, 120)]], "doc_id long, toxic int")
+        out = {
+            "clean": lambda: winnow.clean(docs, items), "representatives": lambda: simhash.representatives(docs),
+            "dedup_lines": lambda: line_dedup.dedup_lines(docs), "keep_clean": lambda: toxicity.keep_clean(docs, labels),
+        }[operator]()
+        assert out.columns[: len(docs.columns)] == docs.columns if operator != "dedup_lines" else set(docs.columns) < set(out.columns)
+    found = out.collect()
+    assert found and all(r[c] == f"{c}{-99 if r.doc_id is None else r.doc_id}" for r in found for c in OWN_NAMES)
+    if operator == "dedup_lines":
+        assert {"__n_lines_", "__n_removed_"} <= set(out.columns)
