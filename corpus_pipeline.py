@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resalelake.llm import line_dedup, packing, simhash, toxicity, winnow
-from resalelake.llm.common import table, written
+from resalelake.llm.common import free_name, table, written
 from resalelake.llm.queries import PACK_VOCABULARY
 
 
@@ -24,7 +24,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     cleaned = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        removed = free_name("__n_removed", docs.columns)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -39,6 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as pieces of token sequences, packed by bounded-space best fit."""
     return packing.pack(docs, PACK_VOCABULARY)
 
 
