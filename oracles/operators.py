@@ -1,5 +1,6 @@
 """SQL for the operator queries."""
 
+from oracles import cards
 from oracles.cards import AS_OF, CATALOGUE, last30, mtd
 from oracles.facts import CHANNEL, EDGE, LOCATED, QUOTED, VALID, attribute, day, edge, full, inventory, money, num, ratio
 from oracles.fixtures import dec
@@ -231,6 +232,13 @@ SQL["p10_bucket_order"] = """SELECT aging_bucket, count(*) AS products, CASE agi
 SQL["p11_owned_cost"] = f"SELECT contract_type, is_consignment, {dsum('cost_excl_consignment')} AS owned, {dsum('cost_value')} AS all_cost FROM fact_inventory GROUP BY 1, 2"
 SQL["p12_extended_values"] = f"SELECT product_id, {dbl('retail_value cost_value')} FROM fact_inventory"
 SQL["p13_profit_and_margin"] = "SELECT order_id, CAST(gross_profit AS DOUBLE) AS gross_profit, gross_margin_pct FROM fact_orders"
+_BARE = """(SELECT * REPLACE (CASE WHEN CAST(product_id AS INT) % 7 > 0 THEN product_price END AS product_price,
+    CASE CAST(product_id AS INT) % 3 WHEN 0 THEN product_inventory_quantity + 0.5 WHEN 1 THEN -product_inventory_quantity ELSE product_inventory_quantity END
+      AS product_inventory_quantity) FROM latest_products)"""
+SQL["p12_extended_values_without_price"] = f"""SELECT product_id, units_on_hand, {dbl('retail_value cost_value cost_excl_consignment')} FROM ({inventory(_BARE)})"""
+_NET = "CASE CAST(order_id AS BIGINT) % 19 WHEN 0 THEN 0 WHEN 1 THEN -10.5 WHEN 2 THEN NULL ELSE net_sales END"
+SQL["p13_margin_of_nothing"] = f"""SELECT order_id, {dbl('net_sales cogs')}, CAST(net_sales - cogs AS DOUBLE) AS gross_profit, {ratio('(net_sales - cogs)', 'net_sales')} AS gross_margin_pct
+  FROM (SELECT order_id, CAST({_NET} AS DECIMAL(18,4)) AS net_sales, cogs FROM fact_orders)"""
 SQL["p14_total_refunded"] = f"SELECT order_id, {dsum('total_refunded')} AS total_refunded, {dsum('refund_tax')} AS refund_tax FROM fact_refunds GROUP BY 1"
 SQL["p15_rename_to_common"] = "SELECT ad_id, adset_id AS ad_group_id, purchases AS conversions FROM raw_meta_ads"
 SQL["p16_filter_slots"] = f"""SELECT order_id, order_date, CAST(net_sales AS DOUBLE) AS net_sales FROM clean_orders
@@ -250,6 +258,9 @@ SQL["a12_tag_frequency"] = """SELECT tag, count(DISTINCT customer_id) AS custome
 
 SQL["j1_line_cost"] = """SELECT l.order_id, l.line_item__id, l.line_item__product_id AS product_id, CAST(c.unit_cost AS DOUBLE) AS unit_cost
   FROM clean_lines l LEFT JOIN unit_costs c ON l.line_item__product_id = c.product_id"""
+SQL["j1_hot_product"] = """SELECT l.p AS product_id, count(*) AS lines, CAST(SUM(l.q * c.unit_cost) AS DOUBLE) AS cost, l.p = '5' AS hot
+  FROM (SELECT CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '5' ELSE line_item__product_id END AS p, line_item__quantity AS q FROM clean_lines) l
+  LEFT JOIN unit_costs c ON l.p = c.product_id GROUP BY 1"""
 SQL["j2_order_lines"] = """SELECT o.order_id, o.channel, CAST(coalesce(t.total_units, 0) AS DOUBLE) AS total_units
   FROM clean_orders o LEFT JOIN order_totals t ON o.order_id = t.order_id"""
 SQL["j3_customer_preferences"] = """SELECT c.customer_id, p.store_location, p.channel FROM latest_customers c LEFT JOIN preferred p
@@ -257,8 +268,14 @@ SQL["j3_customer_preferences"] = """SELECT c.customer_id, p.store_location, p.ch
 SQL["j4_product_attributes"] = """SELECT CAST(p.p_partkey AS STRING) AS product_id, a.contract_type, a.msrp FROM part p
   LEFT JOIN attributes a ON CAST(p.p_partkey AS STRING) = a.product_id"""
 SQL["j5_refund_parent"] = "SELECT order_id, refund_id, channel, store_location, financial_status FROM fact_refunds"
+_MISSING = "CAST(order_id AS BIGINT) % 23 = 0"
+SQL["j5_refund_of_missing_order"] = f"""SELECT channel, store_location, financial_status, count(*) AS lines, count(DISTINCT order_id) AS orders, {dsum('total_refunded')} AS total_refunded
+  FROM (SELECT order_id, total_refunded, CASE WHEN NOT {_MISSING} THEN channel END AS channel, CASE WHEN NOT {_MISSING} THEN store_location END AS store_location,
+    CASE WHEN NOT {_MISSING} THEN financial_status END AS financial_status FROM fact_refunds) GROUP BY 1, 2, 3"""
 SQL["j6_email_header"] = "SELECT campaign_id, campaign_name, campaign_status FROM fact_email"
 SQL["j7_seller_location"] = "SELECT product_id, seller_name, store_location FROM supplied"
+SQL["j7_seller_without_location"] = """SELECT product_id, seller_name, CASE WHEN CAST(product_id AS INT) % 8 = 4 THEN 'A' WHEN CAST(product_id AS INT) % 8 > 4 THEN store_location END AS store_location
+  FROM supplied"""
 SQL["j8_item_channel"] = "SELECT channel, count(*) AS items FROM supplied GROUP BY 1"
 SQL["j9_name_match"] = """SELECT s.seller_name, c.customer_id FROM (SELECT DISTINCT seller_name FROM supplied) s LEFT JOIN consignors c
   ON lower(trim(s.seller_name)) = lower(trim(c.customer_first_name) || ' ' || trim(c.customer_last_name))"""
@@ -532,5 +549,26 @@ SQL["z27_net_after_returns"] = f"""SELECT month, CAST(a AS DOUBLE) AS net_sales,
   FULL JOIN (SELECT CAST(date_trunc('month', refund_date) AS DATE) AS month, SUM(total_refunded) AS b FROM fact_refunds GROUP BY 1) USING (month)"""
 
 
+_LINES = f"""SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, {dec('l_extendedprice')} AS s, CAST(l_quantity AS BIGINT) AS q FROM lineitem WHERE l_returnflag = 'R'"""
+SQL["z11_refunds_by_line"] = f"""SELECT CAST(l_orderkey AS STRING) AS order_id, count(*) AS lines, CAST(SUM(s) AS DOUBLE) AS subtotal, 'amounts' AS by
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, s, q FROM ({_LINES})) GROUP BY l_orderkey
+  UNION ALL SELECT CAST(l_orderkey AS STRING), CAST(SUM(CASE WHEN l_linenumber % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT), CAST(SUM(CASE WHEN l_linenumber % 3 = 0 THEN 2 * s ELSE s END) AS DOUBLE), 'line'
+  FROM ({_LINES}) GROUP BY l_orderkey"""
+
+
+_CELL_CARDS = """leadership_net_sales=net_sales leadership_orders=orders leadership_orders_by_sales_channel_pie=orders
+  leadership_orders_by_channel_and_province_table=orders leadership_units_sold_by_day=units retail_gross_profit=gross_profit ecomm_sales_by_utm_source=net_sales
+  leadership_net_sales_mtd=net_sales_mtd shipping_revenue_by_day=shipping_revenue retail_vs_ecomm_sales=net_sales leadership_refunded_units=refunded_units
+  leadership_refunded_value_by_day=refunded_value marketing_spend_by_channel=spend marketing_daily_spend_by_channel=spend marketing_conversions_by_channel=conversions"""
+
+
+def _cells() -> str:
+    card = cards.statements()
+    pairs = [p.split("=") for p in _CELL_CARDS.split()]
+    return " UNION ALL ".join(
+        f"SELECT '{key}' AS card, count(*) AS rows, CAST(sum(CAST({v} AS DECIMAL(28,4))) AS DOUBLE) AS total FROM ({card[key]})" for key, v in pairs
+    )
+
+
 def statements() -> dict[str, str]:
-    return {key: full(sql) for key, sql in SQL.items()}
+    return {key: full(sql) for key, sql in SQL.items()} | {"a10_cards_from_cells": _cells()}

@@ -132,15 +132,17 @@ def parent_columns(row: str = "") -> list[Column]:
     ]
 
 
-def refund_key() -> dict[str, Column]:
-    """What makes two refund rows one; the raw rows carry no line id."""
+def refund_key(by: str = "amounts") -> dict[str, Column]:
+    """What makes two refund rows one. "amounts": refund, subtotal and quantity, as published, which takes two lines of a refund with
+    the same amounts for one; "line": refund and line, where the raw row names its line."""
     zero = F.lit(0).cast(R.MONEY)
+    line = F.col("line_item__refunds") if by == "line" else F.lit(None).cast("string")
     return {
         "order": F.col("order_id"),
         "refund": F.coalesce("order_refunds", F.lit("NO_REFUND")),
-        "subtotal": F.coalesce("line_item__refunds_subtotal", zero),
-        "quantity": F.coalesce("line_item__refunds_quantity", zero),
-    }
+        "subtotal": F.when(line.isNull(), F.coalesce("line_item__refunds_subtotal", zero)),
+        "quantity": F.when(line.isNull(), F.coalesce("line_item__refunds_quantity", zero)),
+    } | ({"line": line} if by == "line" else {})
 
 
 def _header_column(name: str, source: str, derive: Callable[[], Column] | None) -> Column:
@@ -337,8 +339,8 @@ class Facts:
         rows = self.raw.refunds.where(F.col("order_id").isNotNull() & C.meaningful_refund())
         return rows.select("order_id").distinct().withColumn("refunded", F.lit(True))
 
-    def clean_refunds(self, period: Period | None = None) -> DataFrame:
-        """Refund lines that moved money, once per order, refund, subtotal and quantity.
+    def clean_refunds(self, period: Period | None = None, key: str = "amounts") -> DataFrame:
+        """Refund lines that moved money, once per ``refund_key``.
 
         The row that counts has the greatest day of its key, so a lower bound on the day can go below the
         choice without changing it; an upper bound cannot.
@@ -346,7 +348,7 @@ class Facts:
         rows = self.raw.refunds.where(F.col("order_id").isNotNull() & C.meaningful_refund())
         if period is not None and period.start is not None:
             rows = rows.where(F.col("date") >= F.lit(period.start - timedelta(days=1)))
-        return best_row_by(rows, refund_key(), latest=["date"])
+        return best_row_by(rows, refund_key(key), latest=["date"])
 
     def parent_orders(self, wanted: DataFrame | None = None) -> DataFrame:
         """Order attributes a refund inherits; tests and cancelled orders count here. ``wanted`` holds the
@@ -356,16 +358,16 @@ class Facts:
         return picked.select("order_id", *parent_columns())
 
     def refunds(
-        self, refund_date_mode: str = "utc_midnight", adjustments: str = "every_line", period: Period | None = None
+        self, refund_date_mode: str = "utc_midnight", adjustments: str = "every_line", period: Period | None = None, key: str = "amounts"
     ) -> DataFrame:
         """Refund lines with the parent order's attributes.
 
         ``refund_date_mode``: "utc_midnight" reads the stored day as UTC midnight and moves it to the
         store's clock (one day earlier, as the dashboards show it); "source_day" keeps the stored day.
         ``adjustments``: "every_line" counts shipping and discrepancy on each line of a refund;
-        "first_line" counts them once per refund.
+        "first_line" counts them once per refund. ``key``: see ``refund_key``.
         """
-        lines = self.clean_refunds(period).withColumn("refund_id", C.trailing_id("order_refunds"))
+        lines = self.clean_refunds(period, key).withColumn("refund_id", C.trailing_id("order_refunds"))
         shipping = C.amount("order_total_shipping_refunded_price")
         discrepancy = C.amount("order_refund_discrepancy_amount")
         if adjustments == "first_line":

@@ -199,14 +199,23 @@ def day_column(card: Card) -> Column:
     return F.col(card.day)
 
 
+def period_of(card: Card, as_of: date, filters: Filters) -> P.Period | None:
+    """The days a card is about: its own window, or what the reader picked; None for all."""
+    period = card.window(as_of) if card.window else filters.period
+    return None if period.start is None and period.end is None else period
+
+
 def run(card: Card, facts: Facts, as_of: date, filters: Filters | None = None) -> DataFrame:
     filters = filters or Filters()
-    period = card.window(as_of) if card.window else filters.period
-    if period.start is None and period.end is None:
-        period = None
+    period = period_of(card, as_of, filters)
     df = facts.fact(card.fact, period if card.day else None, None if card.table else _columns(card))
     if card.day and period is not None and card.fact not in PERIOD_COLUMN:
         df = df.where(period.covers(day_column(card)))
+    return finished(card, df, filters, {name: MEASURES[card.fact][m].make() for name, m in card.show.items()})
+
+
+def finished(card: Card, df: DataFrame, filters: Filters, measures: Mapping[str, Column]) -> DataFrame:
+    """A card's result from rows of its period."""
     if card.where is not None:
         df = df.where(card.where())
     df = filters.apply(df, only=card.slots)  # a slot left empty adds nothing
@@ -214,7 +223,7 @@ def run(card: Card, facts: Facts, as_of: date, filters: Filters | None = None) -
         df = df.select(*_named(card.table))
     else:
         keys = _named(card.by)
-        aggs = [MEASURES[card.fact][m].make().alias(name) for name, m in card.show.items()]
+        aggs = [m.alias(name) for name, m in measures.items()]
         df = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     if card.finish is not None:
         df = card.finish(df)

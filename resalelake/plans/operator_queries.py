@@ -15,9 +15,9 @@ from resalelake.operators import distinct, history, identity
 from resalelake.operators import periods as P
 from resalelake.operators.dedup import best_row, best_row_by, located_first
 from resalelake.operators.filters import Filters
-from resalelake.operators.joins import attach, match_or_keep
+from resalelake.operators.joins import attach, hot_keys, match_or_keep
 from resalelake.operators.reshape import pivot_attributes
-from resalelake.plans import incremental, ledger, metrics, quality, warehouse
+from resalelake.plans import incremental, lattice, ledger, metrics, quality, warehouse
 from resalelake.plans.facts import Facts, to_edge
 from resalelake.session import shared_folder
 from resalelake.sources import contracts, landing, payloads, sinks
@@ -174,8 +174,8 @@ def s2_flatten_landed_json(x: Context) -> DataFrame:
 
 @query
 def s3_flatten_refunds(x: Context) -> DataFrame:
-    line = "named_struct('quantity', CAST(l_quantity AS BIGINT), 'subtotal', CAST(CAST(l_extendedprice AS DECIMAL(18,4)) AS STRING), 'total_tax', '0.5')"
-    other = "named_struct('quantity', CAST(NULL AS BIGINT), 'subtotal', 'n/a', 'total_tax', CAST(NULL AS STRING))"
+    line = "named_struct('id', concat(l_orderkey, '-', l_linenumber), 'quantity', CAST(l_quantity AS BIGINT), 'subtotal', CAST(CAST(l_extendedprice AS DECIMAL(18,4)) AS STRING), 'total_tax', '0.5')"
+    other = "named_struct('id', '', 'quantity', CAST(NULL AS BIGINT), 'subtotal', 'n/a', 'total_tax', CAST(NULL AS STRING))"
     adjustments = "array(named_struct('kind', 'other', 'amount', '7'), named_struct('kind', 'shipping_refund', 'amount', '9.99'))"
     both = f"concat({adjustments}, array(named_struct('kind', 'refund_discrepancy', 'amount', '-1.5')))"
     docs = _documents(
@@ -571,6 +571,31 @@ def p13_profit_and_margin(x: Context) -> DataFrame:
     return to_edge(x.facts.orders().select("order_id", "gross_profit", "gross_margin_pct"))
 
 
+def _with(x: Context, table: str, change) -> Facts:
+    """Facts over raw tables of which one is changed."""
+    return Facts(RawTables(lambda name: change(getattr(x.raw, name)) if name == table else getattr(x.raw, name)))
+
+
+@query
+def p12_extended_values_without_price(x: Context) -> DataFrame:
+    """Stock of products without a price or cost, with half units and with negative stock."""
+    facts = _with(x, "products", lambda df: df.withColumns({
+        "product_price": F.expr("CASE WHEN CAST(product_id AS INT) % 7 > 0 THEN product_price END"),
+        "product_inventory_quantity": F.expr("CASE CAST(product_id AS INT) % 3 WHEN 0 THEN product_inventory_quantity + 0.5 WHEN 1 THEN -product_inventory_quantity ELSE product_inventory_quantity END"),
+    }))
+    return to_edge(facts.inventory().select("product_id", "units_on_hand", "retail_value", "cost_value", "cost_excl_consignment"))
+
+
+@query
+def p13_margin_of_nothing(x: Context) -> DataFrame:
+    """Orders that sold for nothing, for less than nothing or for an unreadable amount: profit is known or unknown, the margin only
+    where there are sales."""
+    facts = _with(x, "orders", lambda df: df.withColumn("order_net_sales", F.expr(
+        "CASE CAST(order_id AS BIGINT) % 19 WHEN 0 THEN '0' WHEN 1 THEN '-10.5' WHEN 2 THEN 'free' ELSE order_net_sales END"
+    )))
+    return to_edge(facts.orders().select("order_id", "net_sales", "cogs", "gross_profit", "gross_margin_pct"))
+
+
 @query
 def p14_total_refunded(x: Context) -> DataFrame:
     return to_edge(x.facts.refunds().groupBy("order_id").agg(F.sum("total_refunded").alias("total_refunded"), F.sum("refund_tax").alias("refund_tax")))
@@ -615,6 +640,17 @@ def j1_line_cost(x: Context) -> DataFrame:
     return to_edge(attach(lines, x.facts.unit_costs, "product_id", spread=["line_item__id"]))
 
 
+@query
+def j1_hot_product(x: Context) -> DataFrame:
+    """A third of all lines are of one product: only that one is split, and its cost copied."""
+    lines = x.facts.clean_lines().select("order_id", "line_item__id", F.expr(
+        "CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '5' ELSE line_item__product_id END").alias("product_id"), "line_item__quantity")
+    hot = hot_keys(lines, "product_id")
+    priced = attach(lines, x.facts.unit_costs, "product_id", spread=["order_id", "line_item__id"], hot=hot)
+    value = F.sum(F.col("line_item__quantity") * F.col("unit_cost")).cast(R.PRODUCT)
+    return to_edge(priced.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"), value.alias("cost")).withColumn("hot", F.col("product_id").isin(hot)))
+
+
 @query
 def j2_order_lines(x: Context) -> DataFrame:
     header = x.facts.clean_orders(columns={"order_id", "channel"})
@@ -638,6 +674,14 @@ def j5_refund_parent(x: Context) -> DataFrame:
     return x.facts.refunds().select("order_id", "refund_id", "channel", "store_location", "financial_status")
 
 
+@query
+def j5_refund_of_missing_order(x: Context) -> DataFrame:
+    """Refunds whose order never landed keep their amounts and have no channel, store or status."""
+    facts = _with(x, "orders", lambda df: df.where("CAST(order_id AS BIGINT) % 23 <> 0"))
+    found = facts.refunds().groupBy("channel", "store_location", "financial_status")
+    return to_edge(found.agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("order_id").alias("orders"), F.sum("total_refunded").alias("total_refunded")))
+
+
 @query
 def j6_email_header(x: Context) -> DataFrame:
     return x.facts.email_campaigns().select("campaign_id", "campaign_name", "campaign_status")
@@ -648,6 +692,15 @@ def j7_seller_location(x: Context) -> DataFrame:
     return x.facts.supplied_items().select("product_id", "seller_name", "store_location")
 
 
+@query
+def j7_seller_without_location(x: Context) -> DataFrame:
+    """Products whose place is missing, blank, an empty list, plain text or a list of several."""
+    place = F.expr("""CASE WHEN product_metafield_key <> 'location' THEN product_metafield_value ELSE CASE CAST(product_id AS INT) % 8
+        WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '[]' WHEN 3 THEN 'Store 9' WHEN 4 THEN '["A","B"]' ELSE product_metafield_value END END""")
+    facts = _with(x, "metafields", lambda df: df.withColumn("product_metafield_value", place))
+    return facts.supplied_items().select("product_id", "seller_name", "store_location")
+
+
 @query
 def j8_item_channel(x: Context) -> DataFrame:
     return x.facts.supplied_items().groupBy("channel").agg(F.count(F.lit(1)).alias("items"))
@@ -784,6 +837,31 @@ def a10_rollup_of_cells(x: Context) -> DataFrame:
                                                               C.ratio(F.sum("shipping_revenue"), F.sum("net_sales"), 1, percent=True).alias("shipping_pct")))
 
 
+#: Cards over four facts and all grains, and the number each shows.
+_CELL_CARDS = {
+    "leadership_net_sales": "net_sales", "leadership_orders": "orders", "leadership_orders_by_sales_channel_pie": "orders",
+    "leadership_orders_by_channel_and_province_table": "orders", "leadership_units_sold_by_day": "units", "retail_gross_profit": "gross_profit",
+    "ecomm_sales_by_utm_source": "net_sales", "leadership_net_sales_mtd": "net_sales_mtd", "shipping_revenue_by_day": "shipping_revenue",
+    "retail_vs_ecomm_sales": "net_sales", "leadership_refunded_units": "refunded_units", "leadership_refunded_value_by_day": "refunded_value",
+    "marketing_spend_by_channel": "spend", "marketing_daily_spend_by_channel": "spend", "marketing_conversions_by_channel": "conversions",
+}
+
+
+@query
+def a10_cards_from_cells(x: Context) -> DataFrame:
+    """Cards answered from sums that were stored once, each from the smallest set of cells that has what it needs."""
+    root = x.folder("cells")
+    lattice.build(x.facts, root)
+    stored, known = lattice.Lattice(x.spark, root), {c.key: c for c in metrics.tab_cards()}
+    readers = Filters(P.Period(date(1995, 1, 1), date(2001, 12, 31)))
+    parts = []
+    for key, value in _CELL_CARDS.items():
+        found = stored.run(known[key], AS_OF, readers)
+        total = F.sum(F.col(value).cast("decimal(28,4)")).cast("double")
+        parts.append(found.agg(F.lit(key).alias("card"), F.count(F.lit(1)).alias("rows"), total.alias("total")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def a11_latest_known(x: Context) -> DataFrame:
     return x.headers().where("order_customer_id IS NOT NULL").groupBy("order_customer_id").agg(
@@ -1352,3 +1430,23 @@ def z27_net_after_returns(x: Context) -> DataFrame:
     both = sold.unionByName(back, allowMissingColumns=True).groupBy("month").agg(F.sum("net_sales").alias("net_sales"), F.sum("returned").alias("returned"))
     zero = F.lit(0).cast(R.MONEY)
     return to_edge(both.withColumn("net_after_returns", F.coalesce("net_sales", zero) - F.coalesce("returned", zero)))
+
+
+@query
+def z11_refunds_by_line(x: Context) -> DataFrame:
+    """Refunds with two lines of the same amounts, landed twice: one line by amounts, as published, two by the id of the line."""
+    line = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,4)), CAST(l_quantity AS BIGINT), '{}')"
+    item = """named_struct('id', {}, 'quantity', CAST(l_quantity AS BIGINT), 'subtotal', CAST(CAST(l_extendedprice AS DECIMAL(18,4)) AS STRING), 'total_tax', '0')"""
+    a, b = (item.format(line.format(k)) for k in "ab")
+    again = x.tables.table("lineitem").where("l_returnflag = 'R'").withColumn("later", F.explode(F.array(F.lit(0), F.lit(1))))
+    docs = _documents(
+        again, "refund", id="l_orderkey", name="concat('#', l_orderkey)",
+        refunds=f"""array(named_struct('id', l_orderkey * 10 + l_linenumber, 'created_at', concat(CAST(l_shipdate AS DATE) + later, 'T03:00:00Z'),
+            'order_adjustments', NULL, 'refund_line_items', CASE WHEN l_linenumber % 3 = 0 THEN array({a}, {b}) ELSE array({a}) END))""",
+    )
+    facts = Facts(RawTables(lambda name: payloads.flatten_refunds(docs, "fixture-store", RUN_DAY) if name == "refunds" else getattr(x.raw, name)))
+    parts = []
+    for by in ("amounts", "line"):
+        sums = facts.clean_refunds(key=by).groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("line_item__refunds_subtotal").alias("subtotal"))
+        parts.append(sums.withColumn("by", F.lit(by)))
+    return to_edge(reduce(DataFrame.unionByName, parts))

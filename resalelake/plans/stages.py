@@ -103,8 +103,10 @@ class StagedFacts(Facts):
         # Refunds meet their orders bucket by bucket, so leaving orders out beforehand would only read the refunds twice.
         return self._stage("headers").select("order_id", "parent.*")
 
-    def clean_refunds(self, period: Period | None = None) -> DataFrame:
-        return self._stage("refunds", period).drop("refund_date") if "refunds" in self.layouts else super().clean_refunds(period)
+    def clean_refunds(self, period: Period | None = None, key: str = "amounts") -> DataFrame:
+        if "refunds" not in self.layouts or key != "amounts":
+            return super().clean_refunds(period, key)
+        return self._stage("refunds", period).drop("refund_date")
 
     @cached_property
     def unit_costs(self) -> DataFrame:

@@ -28,7 +28,7 @@ PAYLOAD_DDL = {
             title: string, total_discount: string, vendor: string>>""",
     "refund": """id string, name string, refunds array<struct<id: string, created_at: string,
         order_adjustments: array<struct<kind: string, amount: string>>,
-        refund_line_items: array<struct<quantity: bigint, subtotal: string, total_tax: string>>>>""",
+        refund_line_items: array<struct<id: string, quantity: bigint, subtotal: string, total_tax: string>>>>""",
     "customer": """id string, first_name string, last_name string, created_at string, updated_at string, currency string,
         orders_count bigint, total_spent string, tags string, note string,
         default_address struct<city: string, country: string, country_code: string>""",
@@ -199,6 +199,7 @@ def flatten_refunds(
             F.concat(F.lit(id_prefix), "refund.id").alias("order_refunds"),
             _adjustment("refund_discrepancy").alias("order_refund_discrepancy_amount"),
             _adjustment("shipping_refund").alias("order_total_shipping_refunded_price"),
+            C.blank_to_null("li.id").alias("line_item__refunds"),
             F.when(has_line, quantity).alias("line_item__refundable_quantity"),
             F.when(has_line, C.amount_or_zero("li.subtotal")).alias("line_item__refunds_price"),
             F.when(has_line, quantity).alias("line_item__refunds_quantity"),
