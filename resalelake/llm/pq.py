@@ -9,8 +9,10 @@ distances there (query exact, code quantised) and reranks what is left by exact
 * An asymmetric distance is off by at most the code's own error, which is stored; candidates are those within ``reach``
   plus that error. So within the probed lists nothing is lost, and with up to ``PROBES`` lists nothing at all.
 
-Lists hold about ``LIST_CODES`` classes of a label however many there are, so the work grows with the table. A pair is found
-when either side probes the other's list; where both do, the list with the lower number counts it. The groups of one list are cut
+Lists hold about ``LIST_CODES`` classes of a label as long as ``MOST_LISTS`` suffice, up to about 500,000 classes of a label; the work
+then grows with the table. Beyond that lists grow, and with them the work of a query: raise ``MOST_LISTS`` and ``SAMPLE`` together. A pair is found
+when either side probes the other's list, so beyond ``PROBES`` lists a few can be missed (README has the recall); the exact way is
+``probes`` of at least the number of lists. Where both sides probe, the list with the lower number counts the pair. The groups of one list are cut
 into blocks of about ``BLOCK`` codes and ``BLOCK`` queries, so a hot list is many bounded tasks. A block returns sums of links
 and a spanning forest, not pairs.
 

@@ -156,3 +156,22 @@ def test_special_tokens_as_the_library_encodes_them(name, leading):
         assert encoder.inner
     time.sleep(2 * tokens.IDLE)
     assert not encoder.inner and not encoder.kept
+
+
+def test_probed_lists_find_nearly_every_pair():
+    """Pairs just above the threshold, in 400 lists: found when either side probes the other's list."""
+    from resalelake.llm import pq
+
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(400 * 50, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    a = points[:2000]
+    aside = rng.normal(size=a.shape)
+    aside -= (aside * a).sum(axis=1, keepdims=True) * a
+    b = 0.931 * a + np.sqrt(1 - 0.931**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    index, reach = pq.Index(points, 400), np.sqrt(2 - 2 * pq.COSINE)
+    (own_a, _, _, probes_a), (own_b, _, _, probes_b) = index.coded(a, reach, pq.PROBES), index.coded(b, reach, pq.PROBES)
+    found = [x in q or y in p for x, y, p, q in zip(own_a, own_b, probes_a, probes_b)]
+    assert np.mean(found) >= 0.99
+    every = index.coded(a, reach, 400)[3], index.coded(b, reach, 400)[3]  # the exact way
+    assert all(x in q and y in p for x, y, p, q in zip(own_a, own_b, *every))
