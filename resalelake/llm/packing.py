@@ -140,12 +140,13 @@ def _placed(path: str, leading: bool, size: int, open_bins: int, schema: pa.Sche
 
 
 def _again(round_: int, size: int, open_bins: int, schema: pa.Schema):
-    """A later round: the longest pieces first, as the task has them all."""
+    """A later round, in an order that depends on the pieces alone: however they reach the task, a repeated task places them alike.
+    With a fixed number of open sequences mixed lengths fill best; by length, long pieces would close them before short ones come."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = [row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in schema.names if c not in ("sequence_id", "offset", "open")))]
         sequences = Sequences(_task(round_), size, open_bins)
-        for row in sorted(left, key=lambda r: (-r[3], str(r[0]), r[1], r[4])):
+        for row in sorted(left, key=lambda r: (zlib.crc32(f"{r[0]} {r[1]} {r[4]}".encode()), str(r[0]), *r[1:5])):
             sequences.place(row, row[3])
         yield from _batches(sequences, schema, last=True)
 
