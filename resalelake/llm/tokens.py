@@ -3,7 +3,8 @@
 Encoding is cut where the tokenizer cuts anyway, so ids equal those of the whole text: at ASCII white space for a
 tokenizer that drops white space (``leading=False``), and before a space that a non-space follows for a byte-level
 one whose words take one leading space (``leading=True``). Units met before come from a cache of bounded size that a worker
-keeps from task to task while it has such tasks; new ones are encoded many at a time, as one text with a special token between them.
+keeps from task to task while it has such tasks; new ones are encoded many at a time, as one text. Of a byte-level tokenizer the bytes
+of the tokens tell where each unit ends; otherwise a special token stands between them.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ _RUN = re.compile(rb" (?:[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80
 _SPACE = re.compile(rb"[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z")
 #: ASCII punctuation that never joins a letter or digit before it, as an apostrophe can; nor does it end a special token.
 _ENDING = b"!\"#$%&()*+,-./:;<=?@[\\]^_`{|}~"
-_ALNUM_LAST = re.compile(rb"[0-9A-Za-z]\Z").search
+_ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
 class Encoder:
@@ -46,6 +47,13 @@ class Encoder:
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
         text = max(special, key=special.get)
         self.between, self.mark = text.encode(), special[text]
+        # Byte-level tokens have a character for each byte; added ones are plain text.
+        self.bytes_of = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes_of[i] = len(token)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes_of[i] = len(token.content.encode())
+        self.spaced = any(" " in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.forget()
 
     def forget(self) -> None:
@@ -65,25 +73,44 @@ class Encoder:
         data = ids.tobytes()
         return [data[start:end] for start, end in zip([0, *[m + 4 for m in marks]], [*marks, len(data)])]
 
+    def _side_by_side(self, units: list[bytes], lead: bytes) -> list[bytes] | None:
+        """Units that the tokenizer cuts apart by itself, as one text. None unless the tokens end where the units do."""
+        ids = self._ids(lead + lead.join(units))
+        at = np.cumsum(self.bytes_of[ids])
+        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + len(lead))
+        last = np.searchsorted(at, ends)
+        if not len(at) or at[-1] != ends[-1] or (at[last] != ends).any():
+            return None
+        data, stops = ids.tobytes(), (4 * last + 4).tolist()
+        return [data[start:end] for start, end in zip([0, *stops], stops)]
+
     def _learn(self, cache: dict[bytes, bytes], missing: set[bytes], lead: bytes) -> None:
         """Ids of new units. Punctuation after a letter or digit is a piece of its own, so a word costs once, whatever ends it."""
         if not missing:
             return
-        words = [(u, w) for u in missing if (w := u.rstrip(_ENDING)) is not u and _ALNUM_LAST(w)]
-        missing.difference_update([u for u, _ in words])
-        missing.update([w for _, w in words])
-        missing.difference_update(cache)
-        self._encode(cache, list(missing), lead)
-        endings = [u[len(w) :] for u, w in words]
-        self._encode(self.endings, list(set(endings).difference(self.endings)), b"")
+        new, ended, words, endings = set(), [], [], []  # flat lists: a tuple for each unit would keep the garbage collector busy
+        for u in missing:
+            w = u.rstrip(_ENDING)
+            if w is u or not w or w[-1] not in _ALNUM:
+                new.add(u)
+            else:
+                ended.append(u)
+                words.append(w)
+                endings.append(u[len(w) :])
+                if w not in cache:
+                    new.add(w)
+        self._encode(cache, list(new), lead)
         known = self.endings
-        cache.update([(u, cache[w] + known[e]) for (u, w), e in zip(words, endings)])
-        self.kept += _ENTRY * len(words)
+        self._encode(known, list(set(endings).difference(known)), b"")
+        for u, w, e in zip(ended, words, endings):
+            cache[u] = cache[w] + known[e]
+        self.kept += _ENTRY * len(ended)
 
     def _encode(self, cache: dict[bytes, bytes], units: list[bytes], lead: bytes) -> None:
         for at in range(0, len(units), TOGETHER):
             group = units[at : at + TOGETHER]
-            found = self._together(group, lead)
+            found = self._side_by_side(group, lead) if self.leading and lead and not self.spaced else None
+            found = found or self._together(group, lead)
             if len(found) != len(group):  # a unit holds that special token itself
                 found = [self._ids(lead + u).tobytes() for u in group]
             cache.update(zip(group, found))
@@ -115,9 +142,13 @@ class Encoder:
             return [b"".join(map(get, u)) for u in units]
         starts = [u.pop(0) for u in units]
         self._learn(self.first, set(starts).difference(self.first), b"")
-        self._learn(inner, set().union(*units).difference(inner), b" ")
-        get, first = inner.__getitem__, self.first
-        return [first[s] + b"".join(map(get, u)) for s, u in zip(starts, units)]
+        get, first, missing = inner.get, self.first, set()
+        found = [list(map(get, u)) for u in units]
+        for u, f in zip(units, found):
+            if None in f:
+                missing.update([unit for unit, ids in zip(u, f) if ids is None])
+        self._learn(inner, missing, b" ")
+        return [first[s] + b"".join(map(get, u) if None in f else f) for s, u, f in zip(starts, units, found)]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

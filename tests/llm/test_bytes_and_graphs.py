@@ -158,6 +158,27 @@ def test_special_tokens_as_the_library_encodes_them(name, leading):
     assert not encoder.inner and not encoder.kept
 
 
+def test_byte_level_units_are_encoded_side_by_side(monkeypatch):
+    """What the library gets is no longer than the units and their spaces, and tokens that do not cover the bytes are noticed."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(4)
+    texts = HARD + [" ".join("".join(rng.choice("aeé9'.,\nß") for _ in range(rng.randint(1, 9))) for _ in range(200)) for _ in range(20)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    sent, ids = [], tokens.Encoder._ids
+    monkeypatch.setattr(tokens.Encoder, "_ids", lambda self, text: sent.append(text) or ids(self, text))
+    encoder = tokens.Encoder(path, True)
+    encoder.encode([b""] + [t.encode() for t in texts[len(HARD) :]])
+    units = {u for t in texts[len(HARD) :] for u in t.encode().split(b" ")}
+    assert sum(map(len, sent)) < sum(len(u) + 1 for u in units) + sum(len(encoder.between) + len(u) for u in [*encoder.first, *encoder.endings])
+    assert encoder.encode([t.encode() for t in texts]) == want
+    other = tokens.Encoder(path, True)
+    other.bytes_of += np.arange(len(other.bytes_of)) % 2
+    assert other._side_by_side([b"one", b"two", "é".encode()], b" ") is None
+    assert other.encode([t.encode() for t in texts]) == want
+
+
 def test_probed_lists_find_nearly_every_pair():
     """Pairs just above the threshold, in 400 lists: found when either side probes the other's list."""
     from resalelake.llm import pq
