@@ -1,10 +1,13 @@
 """Token ids of whole texts with the ``tokenizers`` library, one distinct unit at a time.
 
-Encoding is cut where the tokenizer cuts anyway, so ids equal those of the whole text: at ASCII white space for a
-tokenizer that drops white space (``leading=False``), and before a space that a non-space follows for a byte-level
-one whose words take one leading space (``leading=True``). Units met before come from a cache of bounded size that a worker
-keeps from task to task while it has such tasks; new ones are encoded many at a time, as one text. Of a byte-level tokenizer the bytes
-of the tokens tell where each unit ends; otherwise a special token stands between them.
+Encoding is cut where the tokenizer cuts anyway, so ids equal those of the whole text: at added tokens, which the library
+finds first; where white space begins for a tokenizer that drops white space (``leading=False``), and before a space that a non-space
+follows and around a single line feed for a byte-level one whose words take one leading space (``leading=True``); and between a
+letter or digit and punctuation. Arrow finds the distinct units of a batch of texts, and numpy puts the ids of their occurrences
+together. Units met before come from a cache of bounded size that a worker keeps from task to task while it has such tasks; new
+ones are encoded many at a time, as one text. A unit of letters alone is one piece, so it goes to the library's model without
+normalizer and pattern; of others, the bytes of the tokens tell where each unit ends for a byte-level tokenizer, otherwise a special
+token stands between them.
 """
 
 from __future__ import annotations
@@ -12,10 +15,14 @@ from __future__ import annotations
 import os
 import re
 import threading
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import compress, pairwise, repeat
 
 import numpy as np
+import pyarrow as pa
+
+from resalelake.llm.common import byte_class, text_bytes
 
 #: Bytes, about, of cached units and ids after which a cache starts anew.
 CACHE_BYTES = 128 << 20
@@ -25,12 +32,53 @@ IDLE = 1.0
 TOGETHER = 512
 #: Bytes, about, of an entry besides what it holds.
 _ENTRY = 200
-#: A space that white space or the end follows: no cut there.
-_RUN = re.compile(rb" (?:[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z)")
-_SPACE = re.compile(rb"[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|\Z")
-#: ASCII punctuation that never joins a letter or digit before it, as an apostrophe can; nor does it end a special token.
-_ENDING = b"!\"#$%&()*+,-./:;<=?@[\\]^_`{|}~"
-_ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+#: White space of one byte that starts a new unit where the tokenizer drops it.
+_DROPPED = byte_class((0x09, 0x0D), (0x20, 0x20))
+#: White space of one byte, and the first and second bytes of longer white space (of other characters too: no cut there).
+_SPACE = byte_class((0x09, 0x0D), (0x1C, 0x20))
+_SPACE_PAIRS = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80))
+#: ASCII punctuation that never joins a letter or digit before it, as an apostrophe can.
+_ENDING = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;<=?@[\\]^_`{|}~"))
+#: What a unit begins with: a space 2, punctuation 1, anything else 0.
+_KIND = _ENDING.astype(np.int8) + 2 * byte_class((0x20, 0x20))
+#: Dropped white space as spaces, other bytes as they are.
+_ONE_SPACE = np.where(_DROPPED, 0x20, np.arange(256)).astype(np.uint8)
+_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
+_ALNUM = _LETTER | byte_class((0x30, 0x39))
+#: Second bytes of the letters from U+00C0 to U+00FF; their first byte is 0xC3, which no other character holds elsewhere.
+_LATIN = byte_class((0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
+
+
+def _alphabet() -> np.ndarray:
+    """The character that stands for each byte in byte-level vocabularies."""
+    plain = byte_class((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
+    out = np.arange(256)
+    out[~plain] = 256 + np.arange((~plain).sum())
+    return out.astype("<u2")
+
+
+def _joined(units: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units with a line feed after each, as bytes, and where each starts and ends."""
+    sizes = np.fromiter(map(len, units), np.int64, len(units)) + 1
+    ends = np.cumsum(sizes)
+    return np.frombuffer(b"\n".join([*units, b""]), np.uint8), ends - sizes, ends - 1
+
+
+def _of_letters(units: Sequence[bytes]) -> np.ndarray:
+    """Whether each unit is one or more letters up to U+00FF, after at most one space."""
+    raw, starts, ends = _joined(units)
+    good = _LETTER[raw]
+    first = np.flatnonzero(raw == 0xC3)
+    first = first[_LATIN[raw[first + 1]]]
+    good[first] = good[first + 1] = True
+    letters = np.concatenate([[0], np.cumsum(good)])
+    lead = raw[starts] == 0x20
+    wanted = ends - starts - lead
+    return (letters[ends] - letters[starts] == wanted) & (wanted > 0)
+
+
+def _groups(units: list[bytes]) -> list[list[bytes]]:
+    return [units[at : at + TOGETHER] for at in range(0, len(units), TOGETHER)]
 
 
 class Encoder:
@@ -40,26 +88,46 @@ class Encoder:
     def __init__(self, path: str, leading: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.leading = leading
         self.vocabulary = self.tokenizer.get_vocab_size()
-        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = {t.content: i for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
         text = max(special, key=special.get)
         self.between, self.mark = text.encode(), special[text]
         # Byte-level tokens have a character for each byte; added ones are plain text.
+        own = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes_of = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+        for token, i in own.items():
             self.bytes_of[i] = len(token)
-        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+        for i, token in added.items():
             self.bytes_of[i] = len(token.content.encode())
-        self.spaced = any(" " in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.spaced = any(" " in t.content for t in added.values())
+        self.special = {t.encode(): i.to_bytes(4, "little") for t, i in special.items()}
+        self.specials = re.compile(b"(" + b"|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + b")")
+        # Pieces as the model gets them, with a space between.
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = WhitespaceSplit()
+        self.characters = _alphabet()
+        if leading:
+            self.characters[0x0A] = 0x20
+        else:
+            small = np.arange(256) + 32 * byte_class((0x41, 0x5A), (0x80, 0x96), (0x98, 0x9E))  # of letters up to U+00FF
+            self.characters = self.characters[small]
+            self.characters[[0x0A, 0x20]] = 0x20
+        close = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(len(self.bytes_of), bool)
+        self.closes[[i for token, i in own.items() if close and token.endswith(close)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.inner: dict[bytes, bytes] = {}
-        self.first: dict[bytes, bytes] = {b"": b""}
-        self.endings: dict[bytes, bytes] = {b"": b""}
+        """Units by what they begin with: a space, punctuation or neither; and where the ids of each are."""
+        self.inner: dict[bytes, int] = {}
+        self.endings: dict[bytes, int] = {}
+        self.first: dict[bytes, int] = {}
+        self.ids, self.stops, self.units = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64), 0
         self.kept = 0
 
     def _ids(self, text: bytes) -> np.ndarray:
@@ -73,82 +141,140 @@ class Encoder:
         data = ids.tobytes()
         return [data[start:end] for start, end in zip([0, *[m + 4 for m in marks]], [*marks, len(data)])]
 
+    def _stops(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
+        """Tokens up to the end of each unit, from the bytes of both. None unless the tokens end where the units do."""
+        at, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)
+        last = np.searchsorted(at, ends)
+        return last + 1 if len(at) and at[-1] == ends[-1] and (at[last] == ends).all() else None
+
     def _side_by_side(self, units: list[bytes], lead: bytes) -> list[bytes] | None:
         """Units that the tokenizer cuts apart by itself, as one text. None unless the tokens end where the units do."""
         ids = self._ids(lead + lead.join(units))
-        at = np.cumsum(self.bytes_of[ids])
-        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + len(lead))
-        last = np.searchsorted(at, ends)
-        if not len(at) or at[-1] != ends[-1] or (at[last] != ends).any():
+        stops = self._stops(ids, np.fromiter(map(len, units), np.int64, len(units)) + len(lead))
+        if stops is None:
             return None
-        data, stops = ids.tobytes(), (4 * last + 4).tolist()
+        data, stops = ids.tobytes(), (4 * stops).tolist()
         return [data[start:end] for start, end in zip([0, *stops], stops)]
 
-    def _learn(self, cache: dict[bytes, bytes], missing: set[bytes], lead: bytes) -> None:
-        """Ids of new units. Punctuation after a letter or digit is a piece of its own, so a word costs once, whatever ends it."""
-        if not missing:
-            return
-        new, ended, words, endings = set(), [], [], []  # flat lists: a tuple for each unit would keep the garbage collector busy
-        for u in missing:
-            w = u.rstrip(_ENDING)
-            if w is u or not w or w[-1] not in _ALNUM:
-                new.add(u)
-            else:
-                ended.append(u)
-                words.append(w)
-                endings.append(u[len(w) :])
-                if w not in cache:
-                    new.add(w)
-        self._encode(cache, list(new), lead)
-        known = self.endings
-        self._encode(known, list(set(endings).difference(known)), b"")
-        for u, w, e in zip(ended, words, endings):
-            cache[u] = cache[w] + known[e]
-        self.kept += _ENTRY * len(ended)
-
-    def _encode(self, cache: dict[bytes, bytes], units: list[bytes], lead: bytes) -> None:
-        for at in range(0, len(units), TOGETHER):
-            group = units[at : at + TOGETHER]
-            found = self._side_by_side(group, lead) if self.leading and lead and not self.spaced else None
-            found = found or self._together(group, lead)
-            if len(found) != len(group):  # a unit holds that special token itself
-                found = [self._ids(lead + u).tobytes() for u in group]
-            cache.update(zip(group, found))
-            self.kept += _ENTRY * len(group) + sum(map(len, group)) + sum(map(len, found))
-
-    def _units(self, text: bytes) -> list[bytes]:
-        """The first unit, and the others without their leading space."""
+    def _of_pieces(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of units of letters, each one piece to the tokenizer, and where those of each end. None unless the tokens show the ends."""
+        raw, starts, ends = _joined(units)
+        (found,) = self.pieces.encode_batch_fast([self.characters[raw].tobytes().decode("utf-16-le")], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        stops = self._stops(ids, ends - starts) if self.leading else np.flatnonzero(self.closes[ids]) + 1
+        return (ids, stops) if stops is not None and len(stops) == len(units) and stops[-1] == len(ids) else None
+
+    def _grouped(self, units: list[bytes]) -> list[bytes]:
+        """Ids of any units."""
+        lead = b" " if self.leading and not self.spaced and all(u.startswith(b" ") for u in units) else b""
+        found = self._side_by_side([u[1:] for u in units], lead) if lead else None
+        found = found or self._together(units, b"")
+        return found if len(found) == len(units) else [self._ids(u).tobytes() for u in units]
+
+    def _keep(self, ids: np.ndarray, stops: np.ndarray) -> None:
+        used, n = int(self.stops[self.units]), len(stops)
+        if used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:used], np.zeros(used + len(ids), "<u4")])
+        if self.units + n >= len(self.stops):
+            self.stops = np.concatenate([self.stops[: self.units + 1], np.zeros(self.units + n + 1, np.int64)])
+        self.ids[used : used + len(ids)] = ids
+        self.stops[self.units + 1 : self.units + 1 + n] = used + stops
+        self.units += n
+
+    def _learn(self, units: list[bytes]) -> dict[bytes, int]:
+        """Encode new units; the number of each."""
+        letters = _of_letters(units)
+        alone = list(compress(units, letters))
+        others = sorted(compress(units, ~letters), key=lambda u: u[:1] == b" ")  # those with a space before stand side by side
+        split = sum(u[:1] != b" " for u in others)
+        before = self.units
+        order: list[bytes] = []
+        for group in _groups(alone):
+            found = self._of_pieces(group)
+            if found is None:
+                others = [*others, *group]
+                continue
+            self._keep(*found)
+            order += group
+        for group in (*_groups(others[:split]), *_groups(others[split:])):
+            found = self._grouped(group)
+            self._keep(np.frombuffer(b"".join(found), "<u4"), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4)
+            order += group
+        self.kept += _ENTRY * len(units) + sum(map(len, units)) + 4 * int(self.stops[self.units] - self.stops[before])
+        return dict(zip(order, range(before, self.units)))
+
+    def _numbers(self, cache: dict[bytes, int], units: np.ndarray) -> np.ndarray:
+        """The numbers under which the ids of distinct units are kept."""
+        found = np.fromiter(map(cache.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = units[missing].tolist()
+            cache.update(learned := self._learn(new))
+            found[missing] = np.fromiter(map(learned.__getitem__, new), np.int64, len(new))
+        return found
+
+    def _cuts(self, raw: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where units begin within texts; ``first`` tells where a text begins, and the end of all."""
+        letter = _ALNUM[raw]
+        second = np.flatnonzero(raw == 0xC3) + 1
+        letter[second] = _LATIN[raw[second]]
+        cut = np.zeros(len(raw), bool)
+        cut[1:] = _ENDING[raw[1:]] & letter[:-1]
         if not self.leading:
-            return text.split()
-        parts = text.split(b" ")
-        if not _RUN.search(text):
-            return parts
-        units = parts[:1]
-        for part in parts[1:]:
-            if _SPACE.match(part):
-                units[-1] += b" " + part
-            else:
-                units.append(part)
-        return units
+            space = _DROPPED[raw]
+            cut[1:] |= space[1:] & ~space[:-1]
+            return cut
+        at = np.flatnonzero((raw == 0x20) | (raw == 0x0A))
+        padded = np.concatenate([raw, np.zeros(2, np.uint8)])
+        after, next_ = padded[at + 1], padded[at + 2]
+        solid = ~(_SPACE[after] | first[at + 1])
+        for one, two in _SPACE_PAIRS:
+            solid &= (after != one) | (next_ != two)
+        at = at[solid]
+        feed = raw[at] == 0x0A
+        cut[at[~feed]] = True
+        feeds = at[feed & (at > 0)]
+        before = raw[feeds - 1]
+        feeds = feeds[letter[feeds - 1] | ((before < 0x80) & ~_SPACE[before])]
+        cut[feeds] = cut[feeds + 1] = True
+        return cut
+
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts without special tokens."""
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        if not len(raw):
+            return [b""] * len(texts)
+        edges = np.cumsum(np.fromiter(map(len, [b"", *texts]), np.int64, len(texts) + 1))
+        first = np.zeros(len(raw) + 1, bool)
+        first[edges] = True
+        starts = np.flatnonzero(first[:-1] | self._cuts(raw, first))
+        data = raw if self.leading else _ONE_SPACE[raw]
+        buffers = [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(data)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        heads, offsets = text_bytes(coded.dictionary)
+        units, kinds = coded.dictionary.to_numpy(zero_copy_only=False), _KIND[heads[offsets[:-1]]]
+        numbers = np.zeros(len(units), np.int64)
+        for kind, cache in enumerate((self.first, self.endings, self.inner)):
+            at = np.flatnonzero(kinds == kind)
+            numbers[at] = self._numbers(cache, units[at])
+        begins, sizes = self.stops[numbers], self.stops[numbers + 1] - self.stops[numbers]
+        each = coded.indices.to_numpy()
+        lengths = sizes[each]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.repeat(begins[each] - ends[:-1], lengths)
+        places += np.arange(len(places))
+        out = self.ids[places].tobytes()
+        bounds = (4 * ends[np.searchsorted(starts, edges)]).tolist()
+        return [out[start:end] for start, end in pairwise(bounds)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.kept > CACHE_BYTES:
             self.forget()
-        units = [self._units(t) for t in texts]
-        inner = self.inner
-        if not self.leading:
-            self._learn(inner, set().union(*units).difference(inner), b"")
-            get = inner.__getitem__
-            return [b"".join(map(get, u)) for u in units]
-        starts = [u.pop(0) for u in units]
-        self._learn(self.first, set(starts).difference(self.first), b"")
-        get, first, missing = inner.get, self.first, set()
-        found = [list(map(get, u)) for u in units]
-        for u, f in zip(units, found):
-            if None in f:
-                missing.update([unit for unit, ids in zip(u, f) if ids is None])
-        self._learn(inner, missing, b" ")
-        return [first[s] + b"".join(map(get, u) if None in f else f) for s, u, f in zip(starts, units, found)]
+        if not any(s in t for t in texts for s in self.special):
+            return self._plain(texts)
+        parts = [self.specials.split(t) for t in texts]  # every other one is a special token
+        found = iter(self._plain([p for ps in parts for p in ps[::2]]))
+        return [b"".join([self.special[p] if n % 2 else next(found) for n, p in enumerate(ps)]) for ps in parts]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

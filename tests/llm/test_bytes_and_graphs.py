@@ -179,6 +179,48 @@ def test_byte_level_units_are_encoded_side_by_side(monkeypatch):
     assert other.encode([t.encode() for t in texts]) == want
 
 
+@pytest.mark.parametrize("name,leading", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_units_of_letters_go_to_the_model_as_pieces(monkeypatch, name, leading):
+    """Neither line feeds nor punctuation make a word new, and only what is not made of letters meets normalizer and pattern."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeBZéÀßØÿ") for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", ".", ",", ".\n" + rng.choice(words), "\n" + rng.choice(words)]) for _ in range(99)) for _ in range(30)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    sent, ids = [], tokens.Encoder._ids
+    monkeypatch.setattr(tokens.Encoder, "_ids", lambda self, text: sent.append(text) or ids(self, text))
+    encoder = tokens.Encoder(path, leading)
+    assert encoder.encode([t.encode() for t in texts]) == want
+    assert len(sent) <= 2 and sum(map(len, sent)) < 100
+    assert encoder.units <= 2 * len(words) + 3  # after a space and after none, and ".", "," and a line feed
+    other = tokens.Encoder(path, leading)
+    other.bytes_of += 1
+    other.closes[:] = False
+    assert other.encode([t.encode() for t in texts]) == want  # ends that the tokens do not show are noticed
+
+
+_PARTS = st.sampled_from([*"aZ9é÷×ÀÿßσΣİJ.'=<>|-_ \n\t\r\x1c\x85\xa0\u2003\u3000\u0301\u030c\u0338—字🙂", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'ll", "word", "  ", ".\n"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(_PARTS, max_size=25).map("".join), max_size=4))
+def test_any_texts_are_encoded_as_the_library_does(texts):
+    from tokenizers import Tokenizer
+
+    for name, leading in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        if name not in _ENCODERS:
+            path = public_tokenizers.path(name)
+            _ENCODERS[name] = Tokenizer.from_file(path), tokens.Encoder(path, leading)
+        whole, encoder = _ENCODERS[name]
+        want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+        assert encoder.encode([t.encode() for t in texts]) == want
+
+
+_ENCODERS: dict = {}
+
+
 def test_probed_lists_find_nearly_every_pair():
     """Pairs just above the threshold, in 400 lists: found when either side probes the other's list."""
     from resalelake.llm import pq
