@@ -70,6 +70,8 @@ WORD_CODES = 1 << 14
 HISTORY_BITS = (21, 21)
 TASK_TOKENS = 16_000_000
 TOKENS_AT_ONCE = 1 << 15
+#: Symbols whose bits are made at once.
+SYMBOLS_AT_ONCE = 1 << 11
 #: Levels of the log of how much better the contexts predict a word than its code's count.
 RATIO_LEVELS = 65
 RATE = 0.1
@@ -126,31 +128,54 @@ class Code:
             nodes += [n for n, _ in reversed(path)]
             bits += [b for _, b in reversed(path)]
             sizes.append(len(path))
-        self.nodes, self.bits, self.sizes = np.array(nodes, np.int64), np.array(bits, np.int64), np.array(sizes, np.int64)
+        # Of each symbol's path: twice the node, and the bit.
+        self.path, self.sizes = np.array(nodes, np.int64) * 2 + np.array(bits, np.int64), np.array(sizes, np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
 
 @dataclass
 class Events:
-    """Bits to code: the slots of each (contexts x bits), the bit, and the number of the symbol's owner."""
+    """Bits to code: the slots of each (contexts x bits) and the bit; how many bits a symbol has, and the number of its owner."""
 
     slots: np.ndarray
     bits: np.ndarray
-    owner: np.ndarray
+    sizes: np.ndarray
+    owners: np.ndarray
+
+    @property
+    def owner(self) -> np.ndarray:
+        """Of each bit."""
+        return np.repeat(self.owners, self.sizes)
+
+    @property
+    def starts(self) -> np.ndarray:
+        """Each symbol's first bit."""
+        return np.cumsum(self.sizes) - self.sizes
 
 
 def _events(code: Code, symbols: np.ndarray, contexts: list[np.ndarray], owner: np.ndarray, slot_bits: tuple = SLOT_BITS[1:], offsets: np.ndarray = _offsets) -> Events:
     sizes = code.sizes[symbols]
-    of = np.repeat(np.arange(len(symbols)), sizes)
-    step = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = code.starts[symbols][of] + step
-    node = code.nodes[at]
-    slots = np.empty((len(slot_bits) + 1, len(of)), np.int64)
-    slots[0] = node
-    salt = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    at = np.repeat(code.starts[symbols] - (np.cumsum(sizes) - sizes), sizes)
+    at += np.arange(len(at))
+    path = code.path.take(at)
+    slots = np.empty((len(slot_bits) + 1, len(at)), np.int64)
+    node = np.right_shift(path, 1, out=slots[0])
+    salt = (node + 1).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for k, (context, bits) in enumerate(zip(contexts, slot_bits), 1):
-        slots[k] = (((context[of] ^ salt) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.int64) + offsets[k]
-    return Events(slots, code.bits[at], owner[of])
+        hashed = np.repeat(context, sizes)
+        hashed ^= salt
+        hashed *= np.uint64(0xD6E8FEB86659FD93)
+        hashed >>= np.uint64(64 - bits)
+        np.add(hashed.view(np.int64), offsets[k], out=slots[k])
+    path &= 1
+    return Events(slots, path, sizes, owner)
+
+
+def _pieces(code: Code, symbols: np.ndarray, contexts: list[np.ndarray], owner: np.ndarray, *kind) -> Iterator[Events]:
+    """The events of some symbols at a time, few enough for their arrays to stay in a core's cache."""
+    for begin in range(0, len(symbols), SYMBOLS_AT_ONCE):
+        some = slice(begin, begin + SYMBOLS_AT_ONCE)
+        yield _events(code, symbols[some], [c[some] for c in contexts], owner[some], *kind)
 
 
 def _order_contexts(history: list[np.ndarray], prefix: np.ndarray) -> list[np.ndarray]:
@@ -163,8 +188,8 @@ def _order_contexts(history: list[np.ndarray], prefix: np.ndarray) -> list[np.nd
     return [*out, prefix]
 
 
-def word_events(code: Code, words: list[bytes]) -> Events:
-    """Bits of the words after their first byte, with the close."""
+def _symbols(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Of the words after their first byte, with the close: the symbols, their contexts and the words they belong to."""
     raw = np.frombuffer(b"".join(words), np.uint8)
     sizes = np.array([len(w) for w in words], np.int64)
     starts = np.cumsum(sizes) - sizes
@@ -176,7 +201,12 @@ def word_events(code: Code, words: list[bytes]) -> Events:
     symbols = np.where(closes, CLOSE, raw[np.minimum(at, len(raw) - 1)]).astype(np.int64)
     history = [np.where(place >= k, raw[np.maximum(at - k, 0)], START).astype(np.int64) for k in range(1, max(ORDERS) + 1)]
     prefix = span_hashes(raw, starts[owner], at, span_sums(raw))
-    return _events(code, symbols, _order_contexts(history, prefix), owner)
+    return symbols, _order_contexts(history, prefix), owner
+
+
+def word_events(code: Code, words: list[bytes]) -> Events:
+    """Bits of the words after their first byte, with the close."""
+    return _events(code, *_symbols(words))
 
 
 def first_events(code: Code) -> Events:
@@ -186,70 +216,98 @@ def first_events(code: Code) -> Events:
     return _events(code, symbols, _order_contexts([start] * max(ORDERS), np.full(SYMBOLS, 12345, np.uint64)), symbols)
 
 
-def add_counts(counts: np.ndarray, events: Events, weight: np.ndarray) -> None:
-    """``counts``: (SLOTS, 2)."""
+def add_counts(counts: np.ndarray, events: Events, weight: np.ndarray | None = None, first: int = 0) -> None:
+    """``counts``: (SLOTS, 2); ``weight``: of each owner, one without it; ``first``: the first context that is counted."""
     flat = counts.reshape(-1)
-    some = weight[events.owner]
-    for slots in events.slots:
-        np.add.at(flat, slots * 2 + events.bits, some)
+    some = np.float32(1) if weight is None else weight[events.owner]
+    for slots in events.slots[first:]:
+        at = slots * 2
+        at += events.bits
+        np.add.at(flat, at, some)
 
 
 def _level(seen: np.ndarray) -> np.ndarray:
     # The exponent of a 32-bit float is its log2, rounded down.
     exponent = (np.maximum(seen, 0) + np.float32(1)).astype(np.float32).view(np.int32) >> 23
-    return np.minimum(exponent - 127, SEEN_LEVELS - 1).astype(np.int64)
-
-
-def _predictions(counts: np.ndarray, events: Events, own: np.ndarray, gating: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Stretched predictions (contexts x bits), and from context ``gating`` on the level of what was seen; ``own``: occurrences to take out of the counts."""
-    pairs = counts.reshape(-1).view(np.uint64)
-    stretched = np.empty(events.slots.shape, np.float32)
-    seen = []
-    taken = own[events.owner]
-    one = events.bits == 1
-    for k, slots in enumerate(events.slots):
-        both = pairs[slots].view(np.float32).reshape(-1, 2)
-        zero_, one_ = both[:, 0] - np.where(one, 0, taken), both[:, 1] - np.where(one, taken, 0)
-        np.maximum(zero_, 0, out=zero_)
-        np.maximum(one_, 0, out=one_)
-        stretched[k] = np.clip(np.log((one_ + PRIOR) / (zero_ + PRIOR)), -REACH, REACH)
-        if k >= gating:
-            seen.append(_level(zero_ + one_))
-    return stretched, seen
-
-
-def _inputs(counts: np.ndarray, events: Events, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.minimum(exponent - 127, SEEN_LEVELS - 1).astype(np.uint8)
+
+
+class Tables:
+    """What counts (slots x 2) predict, by slot: the stretched prediction, and the level of what was seen. With ``own`` by slot and bit,
+    one occurrence of that bit taken out. Made once, they spare a logarithm for every bit that is read."""
+
+    def __init__(self, counts: np.ndarray, own: bool = False):
+        self.own = own
+        kinds = 2 if own else 1
+        self.stretched, self.levels = np.empty((len(counts), kinds), np.float32), np.empty((len(counts), kinds), np.uint8)
+        for begin in range(0, len(counts), BLOCK_SLOTS):
+            some = slice(begin, begin + BLOCK_SLOTS)
+            for bit in range(kinds):
+                zero, one = counts[some, 0], counts[some, 1]
+                if own:
+                    zero, one = (np.maximum(x - np.float32(taken), 0) for x, taken in ((zero, bit == 0), (one, bit == 1)))
+                self.stretched[some, bit] = np.clip(np.log((one + np.float32(PRIOR)) / (zero + np.float32(PRIOR))), -REACH, REACH)
+                self.levels[some, bit] = _level(zero + one)
+        self.stretched, self.levels = self.stretched.reshape(-1), self.levels.reshape(-1)
+
+    def predicted(self, events: Events, gating: tuple) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Stretched predictions (contexts x bits), and of the contexts ``gating`` the levels."""
+        at = events.slots
+        if self.own:
+            at = at * 2
+            at += events.bits
+        return self.stretched.take(at), [self.levels.take(at[k]) for k in gating]
+
+
+def _tables(counts) -> Tables:
+    return counts if isinstance(counts, Tables) else Tables(counts)
+
+
+#: The contexts whose levels select: the gate by the longest of all and the longest fixed order but one, the map's row by order 3.
+GATING = (6, 4, 3)
+
+
+def _inputs(tables: Tables, events: Events) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stretched predictions, gates, and the map's row."""
-    stretched, seen = _predictions(counts, events, own, 3)
-    # The gate: the longest context of all, and the longest fixed order; the map's row: order 3.
-    return stretched, seen[-1] * SEEN_LEVELS + seen[-3], seen[0]
+    stretched, (longest, fixed, row) = tables.predicted(events, GATING)
+    return stretched, _gates(longest, fixed), row.astype(np.int64)
+
+
+def _gates(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (first * np.uint8(SEEN_LEVELS) + second).astype(np.int64)
+
+
+def _mix(stretched: np.ndarray, gates: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``weights``: (gates, contexts)."""
+    z = np.zeros(len(gates))
+    for x, w in zip(stretched, np.ascontiguousarray(weights.T)):
+        own = w.take(gates)
+        own *= x
+        z += own
+    return z
 
 
 @dataclass
 class Model:
-    """``counts`` is broadcast once and put in where the model is used."""
+    """``counts``, or their tables, are put in where the model is used."""
 
     code: Code
     counts: np.ndarray | None
     weights: np.ndarray
     map: np.ndarray | None = None
 
-    def mix(self, stretched: np.ndarray, gates: np.ndarray) -> np.ndarray:
-        return np.einsum("kn,nk->n", stretched, self.weights[gates])
-
     def cost(self, events: Events) -> np.ndarray:
         """log10 probability of each bit."""
-        own = np.zeros(int(events.owner.max()) + 1 if len(events.owner) else 0, np.float32)
-        stretched, gates, row = _inputs(self.counts, events, own)
-        z = self.refined(self.mix(stretched, gates), row)
-        return -np.logaddexp(0, np.where(events.bits == 1, -z, z)) / np.log(10)
+        stretched, gates, row = _inputs(_tables(self.counts), events)
+        return _log_sigmoid(self.refined(_mix(stretched, gates, self.weights), row), events.bits) / np.log(10)
 
     def refined(self, z: np.ndarray, row: np.ndarray) -> np.ndarray:
         z = np.clip(z, -REACH * 1.5, REACH * 1.5)
         if self.map is None:
             return z
         low, share = _map_place(z)
-        corrected = self.map[row, low] * (1 - share) + self.map[row, low + 1] * share
+        flat, at = self.map.reshape(-1), row * MAP_LEVELS + low
+        corrected = flat.take(at) * (1 - share) + flat.take(at + 1) * share
         return (z + corrected) / 2
 
 
@@ -259,12 +317,11 @@ def _map_place(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, at - low
 
 
-def _batches(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[tuple[list[bytes], np.ndarray, Events]]:
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
     for whole in batches:
         for at in range(0, whole.num_rows, WORDS_AT_ONCE):
             batch = whole.slice(at, WORDS_AT_ONCE)
-            words = batch.column("word").to_pylist()
-            yield words, batch.column("c").to_numpy(), word_events(code, words)
+            yield batch.column("word").to_pylist(), batch.column("c").to_numpy()
 
 
 def planes(tokens: np.ndarray) -> bytes:
@@ -285,7 +342,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class Packed:
-    """Counts that are unpacked once per process."""
+    """Counts that are unpacked, and made into tables, once per process."""
 
     def __init__(self, counts: np.ndarray):
         self.data = packed(counts)
@@ -293,9 +350,9 @@ class Packed:
     def __getstate__(self):
         return {"data": self.data}
 
-    def counts(self) -> np.ndarray:
-        if "found" not in self.__dict__:
-            self.found = unpacked(self.data).reshape(-1, 2)
+    def tables(self, own: bool) -> Tables:
+        if "found" not in self.__dict__ or self.found.own != own:
+            self.found = Tables(unpacked(self.data).reshape(-1, 2), own)
         return self.found
 
 
@@ -305,16 +362,16 @@ class Shared:
     def __init__(self, sc, counts: np.ndarray):
         self.broadcast = sc.broadcast(Packed(counts))
 
-    @property
-    def value(self) -> np.ndarray:
-        return self.broadcast.value.counts()
+    def tables(self, own: bool = False) -> Tables:
+        return self.broadcast.value.tables(own)
 
 
 def _count_blocks(code):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((SLOTS, 2), np.float32)
-        for _, c, events in _batches(batches, code.value):
-            add_counts(counts, events, (c > 0).astype(np.float32))
+        for words, c in _batches(batches):
+            for events in _pieces(code.value, *_symbols([w for w, n in zip(words, c.tolist()) if n])):
+                add_counts(counts, events)
         yield from _blocks(counts)
 
     return rows
@@ -348,13 +405,24 @@ def _gathered(blocks: DataFrame, tasks: int, slots: int) -> np.ndarray:
     return counts
 
 
-def _descend(weights: np.ndarray, squares: np.ndarray, mass: np.ndarray, stretched: np.ndarray, gates: np.ndarray, bits: np.ndarray, weight: np.ndarray) -> None:
-    """Moves ``weights`` down the coding cost of the bits; ``mass``: what each gate has seen."""
-    for part in np.array_split(np.arange(len(gates)), STEPS):
-        x, g, w = stretched[:, part], gates[part], weight[part]
-        p = 1 / (1 + np.exp(-np.einsum("kn,nk->n", x, weights[g])))
-        error = w * (bits[part] - p)
-        seen = np.bincount(g, weights=w, minlength=GATES)
+def _descend(weights: np.ndarray, squares: np.ndarray, mass: np.ndarray, stretched: np.ndarray, gates: np.ndarray, bits: np.ndarray, weight: np.ndarray | None = None) -> None:
+    """Moves ``weights`` down the coding cost of the bits; ``mass``: what each gate has seen; ``weight``: of each bit, one without it."""
+    size, more = divmod(len(gates), STEPS)
+    for step in range(STEPS):
+        begin = step * size + min(step, more)
+        part = slice(begin, begin + size + (step < more))
+        x, g = stretched[:, part], gates[part]
+        p = _mix(x, g, weights)
+        np.negative(p, out=p)
+        np.exp(p, out=p)
+        p += 1
+        np.reciprocal(p, out=p)
+        error = np.subtract(bits[part], p, out=p)
+        if weight is None:
+            seen = np.bincount(g, minlength=GATES).astype(float)
+        else:
+            error *= weight[part]
+            seen = np.bincount(g, weights=weight[part], minlength=GATES)
         some = seen > 0
         slope = np.stack([np.bincount(g, weights=error * row, minlength=GATES) for row in x], axis=1)[some] / seen[some, None]
         squares[some] += slope**2
@@ -362,19 +430,23 @@ def _descend(weights: np.ndarray, squares: np.ndarray, mass: np.ndarray, stretch
         mass += seen
 
 
+def _joined(pieces: list[tuple]) -> list[np.ndarray]:
+    return [np.concatenate(x, axis=-1) for x in zip(*pieces)]
+
+
 def _learned(model: Model, counts):
     """Descends on the coding cost over a task's words; gives its weights and what each gate has seen."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = replace(model, counts=counts.value)
-        weights = m.weights.copy()
+        tables = counts.tables(own=True)
+        weights = model.weights.copy()
         squares, mass = np.full(weights.shape, 1e-6), np.zeros(GATES)
-        for _, c, events in _batches(batches, m.code):
+        for words, c in _batches(batches):
             if not c.any():
                 continue
-            stretched, gates, _ = _inputs(m.counts, events, (c > 0).astype(np.float32))
-            weight = (c > 0)[events.owner].astype(np.float64)
-            _descend(weights, squares, mass, stretched, gates, events.bits, weight)
+            known = (c > 0).astype(np.float64)
+            pieces = [(*_inputs(tables, e)[:2], e.bits, known[e.owner]) for e in _pieces(model.code, *_symbols(words))]
+            _descend(weights, squares, mass, *_joined(pieces))
         out = np.concatenate([(weights * mass[:, None]).ravel(), mass])
         yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], ["sums"])
 
@@ -385,17 +457,19 @@ def _mapped(model: Model, counts):
     """Sums for the probability map: weight, and weight of ones, by row and level of the mix."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = replace(model, counts=counts.value)
+        tables = counts.tables(own=True)
         size = SEEN_LEVELS * MAP_LEVELS
-        sums = np.zeros(2 * size)
-        for _, c, events in _batches(batches, m.code):
-            stretched, gates, row = _inputs(m.counts, events, (c > 0).astype(np.float32))
-            low, share = _map_place(m.mix(stretched, gates))
-            weight = (c > 0)[events.owner].astype(np.float64)
-            for place, part in ((low, 1 - share), (low + 1, share)):
-                sums[:size] += np.bincount(row * MAP_LEVELS + place, weights=weight * part, minlength=size)
-                sums[size:] += np.bincount(row * MAP_LEVELS + place, weights=weight * part * events.bits, minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], ["sums"])
+        sums = np.zeros((2, size))
+        for words, c in _batches(batches):
+            for events in _pieces(model.code, *_symbols([w for w, n in zip(words, c.tolist()) if n])):
+                stretched, gates, row = _inputs(tables, events)
+                low, share = _map_place(_mix(stretched, gates, model.weights))
+                row *= MAP_LEVELS
+                row += low
+                for place, part in ((row, 1 - share), (row + 1, share)):
+                    sums[0] += np.bincount(place, weights=part, minlength=size)
+                    sums[1] += np.bincount(place, weights=part * events.bits, minlength=size)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))], ["sums"])
 
     return rows
 
@@ -424,9 +498,13 @@ def code_events(code: Code, symbols: np.ndarray, before: list[np.ndarray]) -> Ev
     return _events(code, symbols, before, np.arange(len(symbols)), HISTORY_BITS, _word_offsets)
 
 
+def _code_pieces(code: Code, symbols: np.ndarray, before: list[np.ndarray]) -> Iterator[Events]:
+    return _pieces(code, symbols, before, np.arange(len(symbols)), HISTORY_BITS, _word_offsets)
+
+
 @dataclass
 class Words:
-    """Predicts a word's code from the words before it. ``share``: what a gate leaves to it; ``counts`` is put in where it is used."""
+    """Predicts a word's code from the words before it. ``share``: what a gate leaves to it; ``counts``, or their tables, are put in where it is used."""
 
     code: Code
     weights: np.ndarray
@@ -435,22 +513,28 @@ class Words:
 
     def predicted(self, symbols: np.ndarray, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each code, and its share."""
-        events = code_events(self.code, symbols, before)
-        stretched, seen = _predictions(self.counts, events, np.zeros(len(symbols), np.float32), 1)
-        gates = seen[0] * SEEN_LEVELS + seen[1]
-        costs = np.bincount(events.owner, weights=_costs(stretched, gates, self.weights, events.bits), minlength=len(symbols))
-        return costs / np.log(10), self.share[gates[np.searchsorted(events.owner, np.arange(len(symbols)))]]
+        tables = _tables(self.counts)
+        found, first = [np.zeros(0)], [np.zeros(0, np.int64)]
+        for events in _code_pieces(self.code, symbols, before):
+            stretched, seen = tables.predicted(events, (1, 2))
+            gates, starts = _gates(*seen), events.starts
+            found.append(np.add.reduceat(_costs(stretched, gates, self.weights, events.bits), starts))
+            first.append(gates[starts])
+        return np.concatenate(found) / np.log(10), self.share[np.concatenate(first)]
 
 
 def _costs(stretched: np.ndarray, gates: np.ndarray, weights: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Log probability of each bit."""
-    z = np.clip(np.einsum("kn,nk->n", stretched, weights[gates]), -REACH * 1.5, REACH * 1.5)
-    return _log_sigmoid(z, bits)
+    return _log_sigmoid(np.clip(_mix(stretched, gates, weights), -REACH * 1.5, REACH * 1.5), bits)
 
 
 def _log_sigmoid(z: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Log probability of bits whose stretched prediction is ``z``, of small size."""
-    return -np.log(1 + np.exp(np.where(bits == 1, -z, z)))
+    y = 1 - 2 * bits
+    y = np.exp(y * z)
+    y += 1
+    np.log(y, out=y)
+    return np.negative(y, out=y)
 
 
 def first_word_weights() -> np.ndarray:
@@ -459,30 +543,32 @@ def first_word_weights() -> np.ndarray:
     return np.stack([1 - near, near * (1 - far / 2), near * far / 2], axis=1)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[Iterator[Events]]:
-    """For each chunk the bits of the codes of all words in training texts."""
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple[np.ndarray, list[np.ndarray]]]]:
+    """For each chunk the codes of all words in training texts, and the words before them."""
 
-    def events(keys, tokens, starts, learned) -> Iterator[Events]:
+    def some(keys, tokens, starts, learned) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
         for at in range(0, len(learned), TOKENS_AT_ONCE):
             places = learned[at : at + TOKENS_AT_ONCE]
-            yield code_events(code, (keys[tokens[places]] % WORD_CODES).astype(np.int64), histories(keys, tokens, starts[places], places))
+            yield (keys[tokens[places]] % WORD_CODES).astype(np.int64), histories(keys, tokens, starts[places], places)
 
     for batch in batches:
         for row in range(batch.num_rows):
             keys, tokens = np.frombuffer(batch.column("keys")[row].as_buffer(), np.uint32), from_planes(batch.column("tokens")[row].as_buffer())
             sizes = batch.column("words")[row].values.to_numpy()
             learned = np.repeat(batch.column("train")[row].values.to_numpy(zero_copy_only=False), sizes)
-            yield events(keys, tokens, np.repeat(np.cumsum(sizes) - sizes, sizes), np.flatnonzero(learned))
+            yield some(keys, tokens, np.repeat(np.cumsum(sizes) - sizes, sizes), np.flatnonzero(learned))
 
 
 def _count_histories(code):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((WORD_SLOTS, 2), np.float32)
-        flat = counts.reshape(-1)
-        for chunk in _occurrences(batches, code.value):
-            for events in chunk:
-                for slots in events.slots:
-                    np.add.at(flat, slots * 2 + events.bits, np.float32(1))
+        counts, masses = np.zeros((WORD_SLOTS, 2), np.float32), np.zeros(WORD_CODES)
+        for chunk in _occurrences(batches):
+            for symbols, before in chunk:
+                masses += np.bincount(symbols, minlength=WORD_CODES)
+                for events in _code_pieces(code.value, symbols, before):
+                    add_counts(counts, events, first=1)
+        # Without context a bit is as frequent as the codes that pass it.
+        counts.reshape(-1)[: 2 * WORD_CODES] = np.bincount(code.value.path, weights=np.repeat(masses, code.value.sizes), minlength=2 * WORD_CODES)
         yield from _blocks(counts)
 
     return rows
@@ -494,19 +580,23 @@ def _learned_words(code, counts):
     the word's first bit."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = counts.tables(own=True)
         total, ratios = np.zeros(GATES * (len(HISTORY_BITS) + 2)), np.zeros(GATES * RATIO_LEVELS)
-        for chunk in _occurrences(batches, code.value):
+        for chunk in _occurrences(batches):
             weights = first_word_weights()
             squares, mass = np.full(weights.shape, 1e-6), np.zeros(GATES)
-            for events in chunk:
-                n = int(events.owner[-1]) + 1 if len(events.owner) else 0
-                stretched, seen = _predictions(counts.value, events, np.ones(n, np.float32), 1)
-                gates = seen[0] * SEEN_LEVELS + seen[1]
-                gain = _costs(stretched, gates, weights, events.bits) - _log_sigmoid(stretched[0], events.bits)
-                gain = np.bincount(events.owner, weights=gain, minlength=n)
-                level = np.rint((np.clip(gain, -REACH, REACH) + REACH) / (2 * REACH) * (RATIO_LEVELS - 1)).astype(np.int64)
-                ratios += np.bincount(gates[np.searchsorted(events.owner, np.arange(n))] * RATIO_LEVELS + level, minlength=len(ratios))
-                _descend(weights, squares, mass, stretched, gates, events.bits, np.ones(len(gates)))
+            for symbols, before in chunk:
+                pieces = []
+                for events in _code_pieces(code.value, symbols, before):
+                    stretched, seen = tables.predicted(events, (1, 2))
+                    gates, starts = _gates(*seen), events.starts
+                    gain = _costs(stretched, gates, weights, events.bits)
+                    gain -= _log_sigmoid(stretched[0].astype(float), events.bits)
+                    gain = np.add.reduceat(gain, starts)
+                    level = np.rint((np.clip(gain, -REACH, REACH) + REACH) / (2 * REACH) * (RATIO_LEVELS - 1)).astype(np.int64)
+                    ratios += np.bincount(gates[starts] * RATIO_LEVELS + level, minlength=len(ratios))
+                    pieces.append((stretched, gates, events.bits))
+                _descend(weights, squares, mass, *_joined(pieces))
             total += np.concatenate([(weights * mass[:, None]).ravel(), mass])
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total, ratios]).tolist()], pa.list_(pa.float64()))], ["sums"])
 
@@ -545,13 +635,14 @@ def _scored(model: Model, counts):
     """word, log10 probability of its spelling after the first byte, and its counts by class in bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = replace(model, counts=counts.value)
+        m = replace(model, counts=counts.tables())
         for whole in batches:
             for at in range(0, whole.num_rows, WORDS_AT_ONCE):
                 batch = whole.slice(at, WORDS_AT_ONCE)
                 words = batch.column("word").to_pylist()
-                events = word_events(m.code, words)
-                rest = np.bincount(events.owner, weights=m.cost(events), minlength=len(words))
+                rest = np.zeros(len(words))
+                for events in _pieces(m.code, *_symbols(words)):
+                    rest += np.bincount(events.owners, weights=np.add.reduceat(m.cost(events), events.starts), minlength=len(words))
                 lists = batch.column("by")
                 pairs = lists.flatten()
                 by = np.empty(len(pairs), PAIR)
@@ -686,36 +777,50 @@ class Corpus:
         return np.log10((self.class_documents + 0.5) / (self.class_documents.sum() + 0.5 * CLASSES))
 
 
-def _log10_sum(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return top + np.log10((10 ** (x - top[:, None])).sum(axis=1))
+LOG10 = np.log(10)
 
 
 def text_scores(words: Words, corpus: Corpus, masses: np.ndarray, logs: np.ndarray, c: np.ndarray, keys: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """log10 probability of each text's words. ``logs``: of each word in each class; ``c``: its count; ``masses``: counts by code."""
     out = np.zeros(len(sizes))
-    starts = np.cumsum(sizes) - sizes
+    starts, texts = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
     shares, known = corpus.shares(), corpus.known()
-    carried = shares
+    opening = 10**shares
+    # By class: the log of its weight times what it has predicted of the text so far; of all classes: the log of the sum, and what they leave to known words.
+    carried, begun, left_begun = shares, np.log10(opening.sum()), opening @ known / opening.sum()
+    so_far_carried, left_carried = begun, left_begun
     for begin in range(0, len(tokens), TOKENS_AT_ONCE):
-        own = tokens[begin : begin + TOKENS_AT_ONCE]
+        own, text = tokens[begin : begin + TOKENS_AT_ONCE], texts[begin : begin + TOKENS_AT_ONCE]
         at = np.arange(begin, begin + len(own))
-        text = np.searchsorted(starts, at, "right") - 1
+        opens = starts[text]
         # What the classes have predicted so far is their weight for the next word; a text may go on from the block before.
-        by = logs[own]
-        before = np.cumsum(by, axis=0) - by
-        before -= before[np.maximum(starts[text], begin) - begin]
-        before += np.where((starts[text] < begin)[:, None], carried, shares)
-        so_far = _log10_sum(before)
-        after = before + by
-        carried = after[-1]
-        found = _log10_sum(after) - so_far
+        by = np.ascontiguousarray(logs[own].T)
+        after = np.cumsum(by, axis=1)
+        before = after - by
+        after -= before.take(np.maximum(opens, begin) - begin, axis=1)
+        going = int(np.searchsorted(opens, begin))
+        after[:, :going] += carried[:, None]
+        after[:, going:] += shares[:, None]
+        carried = after[:, -1].copy()
+        top = after.max(axis=0)
+        after -= top
+        after *= LOG10
+        weights = np.exp(after, out=after)
+        total = weights.sum(axis=0)
+        sums = top + np.log(total) / LOG10
+        so_far, left = np.empty(len(own)), np.empty(len(own))
+        so_far[0], left[0], so_far[1:] = so_far_carried, left_carried, sums[:-1]
+        leaves = known @ weights / total
+        left[1:] = leaves[:-1]
+        so_far_carried, left_carried = sums[-1], leaves[-1]
+        first = at == opens
+        so_far[first], left[first] = begun, left_begun
+        found = sums - so_far
         some = np.flatnonzero(c[own])
         if len(some):
             symbols = (keys[own[some]] % WORD_CODES).astype(np.int64)
-            code, share = words.predicted(symbols, histories(keys, tokens, starts[text[some]], at[some]))
-            left = (10 ** (before[some] - so_far[some, None])) @ known
-            found[some] = np.log10((1 - share) * 10 ** found[some] + share * left * 10**code * c[own[some]] / masses[symbols])
+            code, share = words.predicted(symbols, histories(keys, tokens, opens[some], at[some]))
+            found[some] = np.log((1 - share) * np.exp(found[some] * LOG10) + share * left[some] * np.exp(code * LOG10) * c[own[some]] / masses[symbols]) / LOG10
         out += np.bincount(text, weights=found, minlength=len(sizes))
     return out
 
@@ -739,7 +844,7 @@ def _documents(first, corpus: Corpus, model_of_words: Words, counts, masses):
         of = np.repeat(np.arange(len(sizes)), sizes)
         logs = corpus.words(by, rest + heads_after[heads])
         c = by.sum(axis=1)
-        model = text_scores(replace(model_of_words, counts=counts.value), corpus, masses.value, logs, c, keys, tokens, sizes)
+        model = text_scores(replace(model_of_words, counts=counts.tables()), corpus, masses.value, logs, c, keys, tokens, sizes)
         model += np.bincount(of, weights=np.log10(1 - ends_after)[before], minlength=len(sizes)) + np.log10(ends_after[last])
         rate = corpus.tokens + corpus.distinct + 1
         base = np.log10((c + 1) / rate)
@@ -822,7 +927,7 @@ def score(docs: DataFrame) -> DataFrame:
         masses[r.code] = r.c
     words, seen = trained_words(chunks, masses, corpus.tokens)
     released(docs.sparkSession)
-    after = sc.broadcast(_first_scores(replace(model, counts=shared.value), first))
+    after = sc.broadcast(_first_scores(replace(model, counts=shared.tables()), first))
     scored = vocabulary.select("word", "by").mapInArrow(_scored(model, shared), "word binary, rest float, by binary")
     listed = chunks.select("chunk", F.posexplode("listed").alias("at", "word"))
     back = listed.join(scored, "word").select("chunk", "at", "rest", "by")
