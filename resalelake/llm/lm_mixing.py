@@ -35,17 +35,17 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import byte_class, crc32_of_id, mixed, released, slices, span_hashes, span_sums, written
+from resalelake.llm.common import byte_class, crc32_of_id, mixed, released, slices, span_hashes, span_sums, text_bytes, written
 
 FOLDS = 7
 HELD_OUT = 2
@@ -74,6 +74,8 @@ TOKENS_AT_ONCE = 1 << 15
 SYMBOLS_AT_ONCE = 1 << 11
 #: Levels of the log of how much better the contexts predict a word than its code's count.
 RATIO_LEVELS = 65
+#: Different pairs of counts that are numbered; with more, slots have tables of their own.
+DISTINCT = 1 << 20
 RATE = 0.1
 #: Steps of descent for each batch of words.
 STEPS = 16
@@ -232,35 +234,52 @@ def _level(seen: np.ndarray) -> np.ndarray:
     return np.minimum(exponent - 127, SEEN_LEVELS - 1).astype(np.uint8)
 
 
+def coded(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """The different pairs of counts that slots hold, and the number of each slot's pair; all pairs and None where too many differ."""
+    pairs = counts.reshape(-1).view(np.uint64)
+    seen = np.unique(pairs)
+    if len(seen) > DISTINCT:
+        return counts, None
+    codes = np.searchsorted(seen, pairs).astype(np.uint16 if len(seen) <= 1 << 16 else np.uint32)
+    return seen.view(np.float32).reshape(-1, 2), codes
+
+
 class Tables:
-    """What counts (slots x 2) predict, by slot: the stretched prediction, and the level of what was seen. With ``own`` by slot and bit,
-    one occurrence of that bit taken out. Made once, they spare a logarithm for every bit that is read."""
+    """What counts predict: the stretched prediction, and the level of what was seen; with ``own`` by bit, one occurrence of that bit
+    taken out. Made once for each pair of counts (``seen``, ``codes``: of slots), they spare a logarithm for every bit that is read,
+    and what is read at random is small."""
 
-    def __init__(self, counts: np.ndarray, own: bool = False):
-        self.own = own
+    def __init__(self, seen: np.ndarray, codes: np.ndarray | None, own: bool = False):
+        self.codes, self.own = codes, own
         kinds = 2 if own else 1
-        self.stretched, self.levels = np.empty((len(counts), kinds), np.float32), np.empty((len(counts), kinds), np.uint8)
-        for begin in range(0, len(counts), BLOCK_SLOTS):
+        wide = codes is not None
+        self.stretched = np.empty((len(seen), kinds), np.float64 if wide else np.float32)
+        self.levels = np.empty((len(seen), kinds), np.int64 if wide else np.uint8)
+        for begin in range(0, len(seen), BLOCK_SLOTS):
             some = slice(begin, begin + BLOCK_SLOTS)
             for bit in range(kinds):
-                zero, one = counts[some, 0], counts[some, 1]
+                zero, one = seen[some, 0], seen[some, 1]
                 if own:
                     zero, one = (np.maximum(x - np.float32(taken), 0) for x, taken in ((zero, bit == 0), (one, bit == 1)))
                 self.stretched[some, bit] = np.clip(np.log((one + np.float32(PRIOR)) / (zero + np.float32(PRIOR))), -REACH, REACH)
                 self.levels[some, bit] = _level(zero + one)
         self.stretched, self.levels = self.stretched.reshape(-1), self.levels.reshape(-1)
 
-    def predicted(self, events: Events, gating: tuple) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Stretched predictions (contexts x bits), and of the contexts ``gating`` the levels."""
-        at = events.slots
+    def places(self, slots: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        at = slots if self.codes is None else self.codes.take(slots).astype(np.int64)
         if self.own:
             at = at * 2
-            at += events.bits
-        return self.stretched.take(at), [self.levels.take(at[k]) for k in gating]
+            at += bits
+        return at
+
+    def predicted(self, events: Events, gating: tuple) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Stretched predictions (contexts x bits), and of the contexts ``gating`` the levels."""
+        at = self.places(events.slots, events.bits)
+        return self.stretched.take(at), [self.levels.take(at[k]).astype(np.int64, copy=False) for k in gating]
 
 
 def _tables(counts) -> Tables:
-    return counts if isinstance(counts, Tables) else Tables(counts)
+    return counts if isinstance(counts, Tables) else Tables(*coded(counts))
 
 
 #: The contexts whose levels select: the gate by the longest of all and the longest fixed order but one, the map's row by order 3.
@@ -270,20 +289,22 @@ GATING = (6, 4, 3)
 def _inputs(tables: Tables, events: Events) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stretched predictions, gates, and the map's row."""
     stretched, (longest, fixed, row) = tables.predicted(events, GATING)
-    return stretched, _gates(longest, fixed), row.astype(np.int64)
+    return stretched, _gates(longest, fixed), row
 
 
 def _gates(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return (first * np.uint8(SEEN_LEVELS) + second).astype(np.int64)
+    out = first * SEEN_LEVELS
+    out += second
+    return out
 
 
 def _mix(stretched: np.ndarray, gates: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """``weights``: (gates, contexts)."""
-    z = np.zeros(len(gates))
+    z = None
     for x, w in zip(stretched, np.ascontiguousarray(weights.T)):
         own = w.take(gates)
         own *= x
-        z += own
+        z = own if z is None else np.add(z, own, out=z)
     return z
 
 
@@ -333,6 +354,14 @@ def from_planes(data) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
+def shrunk(tokens: np.ndarray) -> bytes:
+    return pa.compress(planes(tokens), codec="zstd", asbytes=True)
+
+
+def from_shrunk(data: pa.Buffer, size: int) -> np.ndarray:
+    return from_planes(pa.decompress(data, 4 * size, codec="zstd"))
+
+
 def packed(counts: np.ndarray) -> bytes:
     return zlib.compress(planes(np.ascontiguousarray(counts).reshape(-1).view(np.uint32)), 1)
 
@@ -345,14 +374,17 @@ class Packed:
     """Counts that are unpacked, and made into tables, once per process."""
 
     def __init__(self, counts: np.ndarray):
-        self.data = packed(counts)
+        self.seen, codes = coded(counts)
+        self.kind = None if codes is None else (codes.dtype, codes.nbytes)
+        self.codes = None if codes is None else pa.compress(codes.tobytes(), codec="zstd", asbytes=True)
 
     def __getstate__(self):
-        return {"data": self.data}
+        return {"seen": self.seen, "kind": self.kind, "codes": self.codes}
 
     def tables(self, own: bool) -> Tables:
         if "found" not in self.__dict__ or self.found.own != own:
-            self.found = Tables(unpacked(self.data).reshape(-1, 2), own)
+            codes = None if self.kind is None else np.frombuffer(pa.decompress(self.codes, self.kind[1], codec="zstd"), self.kind[0])
+            self.found = Tables(self.seen, codes, own)
         return self.found
 
 
@@ -553,8 +585,8 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple[n
 
     for batch in batches:
         for row in range(batch.num_rows):
-            keys, tokens = np.frombuffer(batch.column("keys")[row].as_buffer(), np.uint32), from_planes(batch.column("tokens")[row].as_buffer())
             sizes = batch.column("words")[row].values.to_numpy()
+            keys, tokens = np.frombuffer(batch.column("keys")[row].as_buffer(), np.uint32), from_shrunk(batch.column("tokens")[row].as_buffer(), int(sizes.sum()))
             learned = np.repeat(batch.column("train")[row].values.to_numpy(zero_copy_only=False), sizes)
             yield some(keys, tokens, np.repeat(np.cumsum(sizes) - sizes, sizes), np.flatnonzero(learned))
 
@@ -581,6 +613,8 @@ def _learned_words(code, counts):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = counts.tables(own=True)
+        nodes = np.arange(2 * WORD_CODES)
+        without = _log_sigmoid(tables.stretched.take(tables.places(nodes >> 1, nodes & 1)), nodes & 1)
         total, ratios = np.zeros(GATES * (len(HISTORY_BITS) + 2)), np.zeros(GATES * RATIO_LEVELS)
         for chunk in _occurrences(batches):
             weights = first_word_weights()
@@ -591,7 +625,7 @@ def _learned_words(code, counts):
                     stretched, seen = tables.predicted(events, (1, 2))
                     gates, starts = _gates(*seen), events.starts
                     gain = _costs(stretched, gates, weights, events.bits)
-                    gain -= _log_sigmoid(stretched[0].astype(float), events.bits)
+                    gain -= without.take(events.slots[0] * 2 + events.bits)
                     gain = np.add.reduceat(gain, starts)
                     level = np.rint((np.clip(gain, -REACH, REACH) + REACH) / (2 * REACH) * (RATIO_LEVELS - 1)).astype(np.int64)
                     ratios += np.bincount(gates[starts] * RATIO_LEVELS + level, minlength=len(ratios))
@@ -628,7 +662,41 @@ def trained_words(chunks: DataFrame, masses: np.ndarray, tokens: int):
     return Words(code, weights, shares_of(sums[size + GATES :].reshape(GATES, -1))), shared
 
 
-PAIR = np.dtype([("k", "u1"), ("n", "<i8")])
+def pairs(kinds: np.ndarray, counted: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Counts by class of words that have ``sizes`` of them, one at least: a byte that says how many bytes a number has, and the numbers."""
+    values = (counted << 3 | kinds).astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    most = np.maximum.reduceat(values, starts) if len(sizes) else values
+    widths = 1 << np.searchsorted(np.array([1 << 8, 1 << 16, 1 << 32], np.uint64), most, "right")
+    ends = np.cumsum(1 + widths * sizes)
+    begins = ends - (1 + widths * sizes)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out[begins] = widths
+    at, width = _numbers(begins, widths, sizes)
+    for byte in range(int(widths.max()) if len(widths) else 0):
+        some = width > byte
+        out[at[some] + byte] = (values[some] >> np.uint64(8 * byte)).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(out.tobytes())])
+
+
+def _numbers(begins: np.ndarray, widths: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each number begins and how many bytes it has."""
+    width = np.repeat(widths, sizes)
+    step = np.arange(len(width)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(begins + 1, sizes) + step * width, width
+
+
+def from_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each number in ``pairs``: its word, its class and its count."""
+    data, at = text_bytes(column)
+    widths = data[at[:-1]].astype(np.int64)
+    sizes = (np.diff(at) - 1) // widths
+    place, width = _numbers(at[:-1], widths, sizes)
+    values = np.zeros(len(place), np.int64)
+    for byte in range(int(widths.max()) if len(widths) else 0):
+        some = np.flatnonzero(width > byte)
+        values[some] |= data[place[some] + byte].astype(np.int64) << (8 * byte)
+    return np.repeat(np.arange(len(sizes)), sizes), values & 7, values >> 3
 
 
 def _scored(model: Model, counts):
@@ -644,11 +712,8 @@ def _scored(model: Model, counts):
                 for events in _pieces(m.code, *_symbols(words)):
                     rest += np.bincount(events.owners, weights=np.add.reduceat(m.cost(events), events.starts), minlength=len(words))
                 lists = batch.column("by")
-                pairs = lists.flatten()
-                by = np.empty(len(pairs), PAIR)
-                by["k"], by["n"] = pairs.field("k").to_numpy(), pairs.field("n").to_numpy()
-                ends = np.cumsum(lists.value_lengths().to_numpy()) * PAIR.itemsize
-                data = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(by.tobytes())])
+                found = lists.flatten()
+                data = pairs(found.field("k").to_numpy(), found.field("n").to_numpy(), lists.value_lengths().to_numpy().astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(rest.astype(np.float32)), data], ["word", "rest", "by"])
 
     return rows
@@ -659,41 +724,50 @@ CHUNK_FILES = {"compression": "zstd", "parquet.block.size": str(32 << 20)}
 CHUNK = "chunk bigint, listed array<binary>, entries array<struct<word: binary, k: int, n: bigint>>, first array<bigint>, spelled array<bigint>, heads binary, tails binary, keys binary, classes array<bigint>, train array<boolean>, words array<bigint>, bytes array<bigint>, tokens binary"
 
 
-def document_classes(tokens: np.ndarray, sizes: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """The class of each text; 0 without short words."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of all texts as they come, lower-cased; the number of each text's words in turn, and how many a text has."""
+    # Of bytes: A-Z, and \x20 \x09-\x0D. White space at the ends of a text leaves empty parts.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    parts = lists.flatten()
+    some = np.asarray(pc.not_equal(pc.binary_length(parts), 0))
+    before = np.concatenate([[0], np.cumsum(some)])
+    sizes = np.diff(before[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])])
+    if not some.all():
+        parts = parts.filter(pa.array(some))
+    coded = parts.dictionary_encode()
+    return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy().astype(np.uint32), sizes.astype(np.int64)
+
+
+def document_classes(tokens: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The class of each text: the crc32 of its most frequent short word; 0 without short words."""
     out = np.zeros(len(sizes), np.int64)
-    short = np.array([SHORT[0] <= len(w) <= SHORT[1] for w in words], bool)
-    ends = np.cumsum(sizes)
-    for text, (start, end) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
-        own = tokens[start:end]
-        kinds, counts = np.unique(own[short[own]], return_counts=True)
-        if len(kinds):
-            out[text] = max((c, zlib.crc32(words[w])) for c, w in zip(counts.tolist(), kinds.tolist()))[1] % CLASSES
+    short = np.flatnonzero(((lengths >= SHORT[0]) & (lengths <= SHORT[1]))[tokens])
+    if len(short):
+        n = len(lengths)
+        kinds, counts = np.unique(np.repeat(np.arange(len(sizes)), sizes)[short] * n + tokens[short], return_counts=True)
+        texts = kinds // n
+        begin = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
+        most = np.maximum.reduceat((counts << 32) + keys[kinds % n], begin)
+        out[texts[begin]] = (most & 0xFFFFFFFF) % CLASSES
     return out
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get().partitionId() << 32
     for n, batch in enumerate(slices(batches, "text", CHUNK_BYTES)):
-        texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+        texts = batch.column("text")
         train = batch.column("train").to_numpy(zero_copy_only=False)
-        found: defaultdict = defaultdict()
-        found.default_factory = found.__len__
-        # Of bytes: A-Z, and \x20 \x09-\x0D. One text at a time, so that only distinct words are held.
-        parts = [np.array([*map(found.__getitem__, t.lower().split())], np.uint32) for t in texts]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        lengths = [len(t) for t in texts]
+        lengths = pc.binary_length(texts).fill_null(0).cast(pa.int64())
+        listed, tokens, sizes = words_of(texts)
         del texts
-        tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        del parts
-        words = list(found)
-        heads = np.frombuffer(bytes(w[0] for w in words), np.uint8)
-        tails = _ending[np.frombuffer(bytes(w[-1] for w in words), np.uint8)]
-        keys = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+        raw, at = text_bytes(listed)
+        letters = np.diff(at)
+        heads, tails = raw[at[:-1]], _ending[raw[at[1:] - 1]]
+        keys = np.fromiter(map(zlib.crc32, listed.to_pylist()), np.uint32, len(listed))
         learned = tokens[np.repeat(train, sizes)]
-        counts = np.bincount(learned, minlength=len(words))
-        kinds = document_classes(tokens, sizes, words)
-        by_class = np.bincount(learned * np.int64(CLASSES) + np.repeat(kinds[train], sizes[train]), minlength=len(words) * CLASSES)
+        counts = np.bincount(learned, minlength=len(listed))
+        kinds = document_classes(tokens, sizes, letters, keys)
+        by_class = np.bincount(learned * np.int64(CLASSES) + np.repeat(kinds[train], sizes[train]), minlength=len(listed) * CLASSES)
         pairs = np.flatnonzero(by_class)
         n_pairs = by_class[pairs]
         del by_class
@@ -701,15 +775,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         absent = np.flatnonzero(counts == 0)
         at = np.concatenate([pairs // CLASSES, absent])
         k = np.concatenate([pairs % CLASSES, np.zeros(len(absent), np.int64)])
-        first = np.zeros(ENDINGS * SYMBOLS, np.int64)
         before, last = endings(tokens, sizes, tails)
-        np.add.at(first, before[np.repeat(train, sizes)].astype(np.int64) * SYMBOLS + heads[learned], 1)
-        np.add.at(first, last[train].astype(np.int64) * SYMBOLS + END, 1)
+        first = np.bincount(before[np.repeat(train, sizes)].astype(np.int64) * SYMBOLS + heads[learned], minlength=ENDINGS * SYMBOLS)
+        first += np.bincount(last[train].astype(np.int64) * SYMBOLS + END, minlength=ENDINGS * SYMBOLS)
         del learned, before
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        spelled = np.bincount(raw, weights=np.repeat(counts, [len(w) for w in words]), minlength=SYMBOLS).astype(np.int64)
+        spelled = np.bincount(raw, weights=np.repeat(counts, letters), minlength=SYMBOLS).astype(np.int64)
         spelled[CLOSE], spelled[END] = counts.sum(), train.sum()
-        listed = pa.array(words, pa.binary())
         entries = pa.StructArray.from_arrays([listed.take(pa.array(at)), pa.array(k, pa.int32()), pa.array(np.concatenate([n_pairs, 0 * absent]), pa.int64())], ["word", "k", "n"])
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         yield pa.RecordBatch.from_arrays(
@@ -722,8 +793,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 one(pa.array(np.bincount(kinds[train], minlength=CLASSES))),
                 one(pa.array(train)),
                 one(pa.array(sizes)),
-                one(pa.array(lengths, pa.int64())),
-                pa.array([planes(tokens)], pa.binary()),
+                one(lengths),
+                pa.array([shrunk(tokens)], pa.binary()),
                 one(batch.column("doc_id")),
             ],
             ["chunk", "listed", "entries", "first", "spelled", "heads", "tails", "keys", "classes", "train", "words", "bytes", "tokens", "ids"],
@@ -828,18 +899,18 @@ def text_scores(words: Words, corpus: Corpus, masses: np.ndarray, logs: np.ndarr
 def _documents(first, corpus: Corpus, model_of_words: Words, counts, masses):
     def rows(chunk: pa.Table, words: pa.Table) -> pa.Table:
         row = {c: chunk.column(c)[0] for c in chunk.column_names}
-        sizes, tokens = np.array(row["words"].as_py(), np.int64), from_planes(row["tokens"].as_py())
-        heads, tails = (np.frombuffer(row[c].as_py(), np.uint8) for c in ("heads", "tails"))
-        keys = np.frombuffer(row["keys"].as_py(), np.uint32)
+        sizes = row["words"].values.to_numpy()
+        tokens = from_shrunk(row["tokens"].as_buffer(), int(sizes.sum()))
+        heads, tails = (np.frombuffer(row[c].as_buffer(), np.uint8) for c in ("heads", "tails"))
+        keys = np.frombuffer(row["keys"].as_buffer(), np.uint32)
         heads_after, ends_after = first.value
         by, rest = np.zeros((len(heads), CLASSES), np.int64), np.zeros(len(heads))
         packed = words.column("by").combine_chunks() if words.num_rows else None
         if packed is not None:
             place = words.column("at").to_numpy()
             rest[place] = words.column("rest").to_numpy()
-            ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
-            data = np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(PAIR)
-            by[np.repeat(place, np.diff(ends) // PAIR.itemsize), data["k"]] = data["n"]
+            owner, kinds, counted = from_pairs(packed)
+            by[place[owner], kinds] = counted
         before, last = endings(tokens, sizes, tails)
         of = np.repeat(np.arange(len(sizes)), sizes)
         logs = corpus.words(by, rest + heads_after[heads])
