@@ -12,7 +12,8 @@ documents is one block-diagonal matrix with one block for each distinct unit.
 ``aligned`` works in three steps. Tasks encode chunks of documents; a chunk keeps its distinct units (links, numbers of
 tokens), its documents as lists of unit numbers, and its count of each id pair. Counts of pairs are summed over all chunks, with
 the highest per B id. The pairs of a chunk then meet its units and documents again. What is shuffled is the distinct id pairs
-of each chunk, never occurrences; a pair of which every chunk has some is split by chunk.
+of each chunk, never occurrences; a pair of which every chunk has some is split by chunk. A chunk is written and moved in parts,
+so no task of the JVM holds a row of a chunk's size.
 
 Defined cases: texts that are null, empty or not given back byte by byte by both tokenizers have no tokens, and count for nothing; null ids,
 repeated rows and ties are rows of their own; an empty table gives no rows; other columns are not read.
@@ -33,11 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resalelake.llm.common import slices, written
+from resalelake.llm.common import given_back, slices, written
 from resalelake.llm.token_counts import byte_letters
 
 #: Bytes of text in a chunk.
 CHUNK = 10 << 20
+#: Bytes of a row that is part of a chunk; arrays of half a region or more lie apart in the JVM's heap.
+PART = 1 << 18
 #: Bytes of new units that are linked at a time, and encoded as one text.
 AT_ONCE = 1 << 18
 TOGETHER = 1 << 13
@@ -305,7 +308,7 @@ class Chunk:
             last = np.cumsum(unit_a) - 1
             before = np.where(last >= 0, groups.columns[np.maximum(last, 0)] + 1, 0) if len(linked.a) else np.zeros(stop - at, np.int64)
             self.good.append(good)
-            self.counts.append(np.stack([unit_a, unit_b, np.diff(before, prepend=0), n_links], axis=1))
+            self.counts.append(np.stack([unit_a, unit_b, np.diff(before, prepend=0), n_links], axis=1).astype(np.int32))
             self.links.append(linked.a[i] << 32 | linked.b[j])
             self.texts += [text[s:e] for s, e in zip(starts, starts[1:])]
             at = stop
@@ -322,23 +325,27 @@ class Chunk:
         self.bytes += len(text)
 
     def row(self) -> dict:
-        """What is kept of the chunk: arrays as little-endian bytes."""
+        """What is kept of the chunk, which is used up: arrays as little-endian bytes."""
         # Units that are encoded as one text come first.
         odd = np.array([bool(_WHITE_AT_EDGE.search(u)) or not u for u in self.new], bool)
         order = np.argsort(odd, kind="stable")
-        self._learn([self.new[n] for n in order])
+        new, self.new, self.numbers = [self.new[n] for n in order], [], {}
+        self._learn(new)
+        del new
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
         self.docs = [place[units] for units in self.docs]
         good = np.concatenate(self.good) if self.good else np.zeros(0, bool)
-        counts = np.concatenate(self.counts) if self.counts else np.zeros((0, 4), np.int64)
+        counts = np.concatenate(self.counts) if self.counts else np.zeros((0, 4), np.int32)
         links = np.concatenate(self.links) if self.links else np.zeros(0, np.int64)
+        self.good, self.counts, self.links = [], [], []
         hashes, sums = [], []
         for n, units in enumerate(self.docs):
             if not good[units].all():
                 self.docs[n] = units = units[:0]
-            sums.append(counts[units].sum(axis=0))
+            sums.append(counts[units].sum(axis=0, dtype=np.int64))
             hashes.append(hashlib.sha256(b"".join(map(self.texts.__getitem__, units.tolist()))[:-1]).hexdigest() if len(units) else "")
+        self.texts = []
         used = np.concatenate(self.docs) if self.docs else np.zeros(0, np.int32)
         uses = np.bincount(used, minlength=len(good))
         sums = np.stack(sums) if sums else np.zeros((0, 4), np.int64)
@@ -358,24 +365,36 @@ class Chunk:
         }
 
 
+def _parts(row: dict) -> Iterator[dict]:
+    """A chunk's row dealt out in order to rows of about ``PART`` bytes; lists of documents are cut alike, bytes anywhere."""
+    size = sum(len(v) for v in row.values() if isinstance(v, bytes)) + 16 * len(row["pairs"]) + 128 * len(row["doc_ids"])
+    n = max(1, -(-size // PART))
+    for part in range(n):
+        yield {"part": part} | {name: v[len(v) * part // n : len(v) * (part + 1) // n] for name, v in row.items()}
+
+
 def _chunks(a_path: str, b_path: str, limit: int, schema: pa.Schema):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(a_path, b_path)
         task = TaskContext.get().partitionId() << 32
         made, chunk = 0, Chunk(aligner)
 
-        def batch_of(done: Chunk) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"chunk": task + made} | done.row()], schema)
+        def batches_of(done: Chunk) -> Iterator[pa.RecordBatch]:
+            for part in _parts(done.row()):
+                yield pa.RecordBatch.from_pylist([{"chunk": task + made} | part], schema)
+            given_back()
 
         for batch in slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
                 chunk.add(doc_id, text)
                 if chunk.bytes >= limit:
-                    yield batch_of(chunk)
+                    yield from batches_of(chunk)
                     made, chunk = made + 1, Chunk(aligner)
         if chunk.ids:
-            yield batch_of(chunk)
+            yield from batches_of(chunk)
+        del aligner, chunk
+        given_back()
 
     return rows
 
@@ -386,7 +405,8 @@ def _with_counts(kind: pa.DataType):
     def rows(chunks: pa.Table, counts: pa.Table) -> pa.Table:
         counts = counts.sort_by("pair")
         total, best = counts["n"].to_numpy(), counts["best"].to_numpy().astype(np.int64)
-        row = chunks.select(["doc_units", "units", "unit_links", "links"]).to_pylist()[0]
+        chunks = chunks.sort_by("part")
+        row = {name: b"".join(chunks[name].to_pylist()) for name in ("doc_units", "units", "unit_links", "links")}
         place, unit_links = np.frombuffer(row["links"], np.int32), np.frombuffer(row["unit_links"], np.int32)
         of_unit = np.repeat(np.arange(len(unit_links)), unit_links)
         units, sizes = np.frombuffer(row["units"], np.int32), np.frombuffer(row["doc_units"], np.int64)
@@ -421,7 +441,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK, copie
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     lists = "n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
-    layout = f"chunk long, doc_ids array<{kind}>, {lists}, doc_units binary, units binary, unit_links binary, links binary, pairs array<long>, times array<long>"
+    layout = f"chunk long, part int, doc_ids array<{kind}>, {lists}, doc_units binary, units binary, unit_links binary, links binary, pairs array<long>, times array<long>"
     schema = to_arrow_schema(StructType.fromDDL(layout))
     chunks = written(docs.select("doc_id", "text").mapInArrow(_chunks(a_path, b_path, chunk, schema), layout), "aligned-chunks")
     counts = written(pair_counts(chunks), "pair-counts")

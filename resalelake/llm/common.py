@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
 from functools import wraps
@@ -32,6 +33,13 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def given_back() -> None:
+    """Give memory that a worker has freed back to the system: workers outlive their tasks, and share an executor with its JVM."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+        trim(0)
+
+
 def names_kept(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """For operators that return the columns of their input: columns named like those the operator makes for itself (``__``...)
     keep their names and values. A column that the operator adds under a name that is taken gets underscores at its end."""

@@ -15,6 +15,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from resalelake.llm import alignment, centroids, token_counts
+from resalelake.llm.common import written
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 WORDS = ["a", "b", " ", "  ", "\n", "'s", "<s>", "<|endoftext|>", "é", "1", "\x1c", "　", "▁", "!", "the", " the", "日本", "\x85", "\t", "ﬁ", "\x00"]
@@ -164,6 +165,26 @@ def test_alignment(spark, chunk):
     assert alignment.aligned(df.limit(0), A, B).count() == 0
 
 
+def test_chunks_are_moved_in_small_parts(spark, monkeypatch):
+    """One long text, and many texts with as many units: no row holds a whole chunk, and results are those of chunks of few texts."""
+    rng, seen = random.Random(5), []
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(40_000)]
+    texts = [" ".join(words), *(" ".join(words[i : i + 400]) for i in range(0, 40_000, 400)), None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+    def kept(frame, label):
+        seen.append(written(frame, label))
+        return seen[-1]
+
+    monkeypatch.setattr(alignment, "written", kept)
+    got, apart = (sorted(map(tuple, alignment.aligned(df, A, B, chunk=chunk).collect())) for chunk in (10 << 20, 1 << 13))
+    assert got == apart and len(got) == len(texts) and got[0][4] > 40_000
+    whole = seen[0].groupBy("chunk").agg(F.count("part").alias("parts"), F.sum(F.length("units")).alias("bytes")).collect()
+    assert [(r.parts > 2, r.bytes) for r in whole] == [(True, 4 * 80_000)]  # a unit of every word, once in the long text and once in the short ones
+    sizes = seen[0].select(sum(F.length(c) for c in ("doc_units", "units", "unit_links", "links")) + 16 * F.size("pairs")).collect()
+    assert max(r[0] for r in sizes) <= alignment.PART
+
+
 def test_links_by_bytes_and_by_groups(spark):
     texts = ["unbelievably long words, 1234567!", "日本語テキスト x", "", None, "a\tb  c"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
