@@ -69,6 +69,17 @@ def test_attach_as_of(spark, known):
         assert got[n] == ((row[1], row[2]) if row else (None, None))
 
 
+def test_attach_as_of_does_not_make_the_rows_to_find_their_newest_day(spark, known):
+    """Given a day that no row is after, however late, the rows are the same and are not read for it."""
+    found = history.versions(spark.createDataFrame(known, SCHEMA), ["k"], "d", ["u"])
+    left = spark.createDataFrame([(f"k{n % 11}", DAY + timedelta(days=7 * n % 120 - 10), n) for n in range(200)], "k string, on_day date, n int")
+    want = sorted(map(str, history.attach_as_of(left, found, ["k"], "on_day").collect()))
+    for late in (DAY + timedelta(days=109), DAY + timedelta(days=900)):
+        assert sorted(map(str, history.attach_as_of(left, found, ["k"], "on_day", late).collect())) == want
+    broken = left.withColumn("n", F.raise_error(F.lit("read")).cast("int")).where("n > 0")
+    assert history.attach_as_of(broken, found, ["k"], "on_day", DAY + timedelta(days=109)).columns[:3] == ["k", "on_day", "n"]
+
+
 def test_daily_stock_equals_each_day_by_itself(spark):
     facts = Facts(DriverTables(spark, "/root/testdata/sf0.001").raw())
     days = [date(2001, 6, 13), date(2001, 6, 14), date(2001, 7, 13), date(2001, 7, 20)]
