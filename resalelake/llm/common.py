@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator, Sequence
 from functools import wraps
 
@@ -13,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resalelake.session import shared_folder
+from resalelake.session import released, shared_folder  # noqa: F401  released: for the operators
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +26,6 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of tables that are written by now; it does so once nothing refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def given_back() -> None:
     """Give memory that a worker has freed back to the system: workers outlive their tasks, and share an executor with its JVM."""
     pa.default_memory_pool().release_unused()
