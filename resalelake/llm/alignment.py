@@ -12,8 +12,8 @@ documents is one block-diagonal matrix with one block for each distinct unit.
 ``aligned`` works in three steps. Tasks encode chunks of documents; a chunk keeps its distinct units (links, numbers of
 tokens), its documents as lists of unit numbers, and its count of each id pair. Counts of pairs are summed over all chunks, with
 the highest per B id. The pairs of a chunk then meet its units and documents again. What is shuffled is the distinct id pairs
-of each chunk, never occurrences; a pair of which every chunk has some is split by chunk. A chunk is written and moved in parts,
-so no task of the JVM holds a row of a chunk's size.
+of each chunk and, once, its lists of unit numbers; a pair of which every chunk has some is split by chunk. A chunk is written
+and moved in parts, so no row is of a chunk's size.
 
 Defined cases: texts that are null, empty or not given back byte by byte by both tokenizers have no tokens, and count for nothing; null ids,
 repeated rows and ties are rows of their own; an empty table gives no rows; other columns are not read.
